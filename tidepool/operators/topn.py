@@ -29,14 +29,13 @@ def format_top_n(df: DataFrame, group: str, rank: str, item: str, count: str,
     list gathered per group is bounded by ``n``.
     """
     rule = "=" * 36
-    # Group time shown is the window end minus one millisecond, like the timer time.
-    shown = F.date_format(F.col(group) - F.expr("INTERVAL 0.001 SECOND"), time_format)
     line = F.format_string("No%d:  item=%s  views=%s", F.col(rank), F.col(item), F.col(count))
     ranked = df.groupBy(group).agg(
-        F.array_sort(F.collect_list(F.struct(F.col(rank).alias("r"), line.alias("l")))).alias("_ls"),
-        F.first(shown).alias("_shown"))
+        F.array_sort(F.collect_list(F.struct(F.col(rank).alias("r"), line.alias("l")))).alias("_ls"))
     body = F.concat_ws("\n", F.transform("_ls", lambda x: x["l"]))
+    # The time shown is the window end (the timer fires at end + 1 and prints time - 1).
+    shown = F.date_format(F.col(group), time_format)
     return ranked.select(
         group,
-        F.concat(F.lit(rule + "\ntime: "), F.col("_shown"), F.lit("\n"), body,
+        F.concat(F.lit(rule + "\ntime: "), shown, F.lit("\n"), body,
                  F.lit("\n" + rule + "\n\n")).alias("report"))

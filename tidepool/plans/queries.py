@@ -1,14 +1,45 @@
-"""Query definitions on the driver tables (see ``registry``)."""
+"""Query definitions on the driver tables (see ``registry``).
+
+Every query reads whole tables.  Keys, orders and block columns:
+
+* events: key ``user_id`` (or ``event_type``), order ``(ts, event_id)``,
+  blocks day then hour of ``ts``;
+* conversations: order ``(conv_id, turn, pos)``, blocks ``conv_id div 64``
+  then ``(conv_id, turn)`` (one text);
+* documents: order ``(doc_id, pos)``, blocks ``doc_id div 64`` then ``doc_id``.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidepool.operators.aggregates import first_value, min_row
 from tidepool.operators.hot import hot_items
+from tidepool.operators.lookup import broadcast_lookup, last_per_key
+from tidepool.operators.records import attach_json, counted, project_json, tuple_text
+from tidepool.operators.sequence import time_blocks
+from tidepool.operators.sequences import (count_window, delta_trigger_max, every_n_average,
+                                          full_batches, position_from)
+from tidepool.operators.sequence import running_total
+from tidepool.operators.text import running_count, split_words, tokenize, word_count
+from tidepool.operators.topn import format_top_n
+from tidepool.operators.windows import sessions, sliding, sliding_panes, tumbling
 from tidepool.plans.registry import register
-from tidepool.sources.tables import events_with_item
+from tidepool.sources.tables import events_with_item, table
+
+EVENT_ORDER = ["ts", "event_id"]
+
 
+def _events_blocked(spark: SparkSession, sf_dir: str, *cols: str) -> tuple[DataFrame, list]:
+    ev = table(spark, sf_dir, "events")
+    if cols:
+        ev = ev.select(*dict.fromkeys(["user_id", "ts", "event_id", *cols]))
+    ev, blocks = time_blocks(ev, "ts", ("day", "hour"))
+    return ev, [[b] for b in blocks]
+
+
+# --- hot items --------------------------------------------------------------
 
 @register("hot_items")
 def q_hot_items(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,3 +47,201 @@ def q_hot_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = events_with_item(spark, sf_dir)
     return hot_items(ev, "ts", "item_id", size="60 minutes", slide="5 minutes", n=5,
                      behavior_col="event_type", behavior="view")
+
+
+@register("hot_items_report")
+def q_hot_items_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The top 5 per window end as the reference's printed text block."""
+    top = q_hot_items(spark, sf_dir)
+    return format_top_n(top, "window_end", "rank", "item_id", "view_count", 5)
+
+
+# --- words ------------------------------------------------------------------
+
+@register("word_count")
+def q_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lower-cased ``\\W+`` tokens of every document, counted."""
+    docs = table(spark, sf_dir, "documents")
+    return word_count(tokenize(docs, "text"))
+
+
+@register("word_count_text")
+def q_word_count_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Word counts written as tuple text ``(word,count)``."""
+    return q_word_count(spark, sf_dir).select(tuple_text(["word", "count"]).alias("line"))
+
+
+@register("ws_word_count")
+def q_ws_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversation texts split on single whitespace characters (Java rules), counted."""
+    conv = table(spark, sf_dir, "conversations")
+    return word_count(split_words(conv, "text"))
+
+
+@register("running_count")
+def q_running_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Running count of each word over all conversation turns, one row per token."""
+    conv = table(spark, sf_dir, "conversations")
+    toks = tokenize(conv, "text", keep=["conv_id", "turn"], pos="pos")
+    toks = toks.withColumn("_tp_cblk", F.expr("conv_id div 64"))
+    out = running_count(toks, ["conv_id", "turn", "pos"],
+                        [["_tp_cblk"], ["conv_id", "turn"]])
+    return out.select("conv_id", "turn", "pos", "word", "running_count")
+
+
+@register("word_count_window")
+def q_word_count_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Count window per word over documents: every 3 occurrences, the last 5."""
+    docs = table(spark, sf_dir, "documents")
+    toks = tokenize(docs, "text", keep=["doc_id"], pos="pos").withColumn("one", F.lit(1))
+    toks = toks.withColumn("_tp_dblk", F.expr("doc_id div 64"))
+    return count_window(toks, ["word"], ["doc_id", "pos"], 5, 3, "one",
+                        [["_tp_dblk"], ["doc_id"]])
+
+
+# --- time windows -----------------------------------------------------------
+
+def _round_value_sum(df: DataFrame) -> DataFrame:
+    return df.withColumn("value_sum", F.round("value_sum", 2))
+
+
+@register("tumbling_sum")
+def q_tumbling_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly tumbling sum and count of ``value`` per event type."""
+    ev = table(spark, sf_dir, "events")
+    out = tumbling(ev, "ts", "1 hour", ["event_type"],
+                   [F.sum("value").alias("value_sum"), F.count(F.lit(1)).alias("n")])
+    return _round_value_sum(out.select("event_type", F.col("window.start").alias("window_start"),
+                                       F.col("window.end").alias("window_end"), "value_sum", "n"))
+
+
+@register("sliding_sum")
+def q_sliding_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sliding sum per event type, 150 min every 30 min (the 2.5 / 0.5 shape), by panes."""
+    ev = table(spark, sf_dir, "events")
+    out = sliding_panes(ev, "ts", "150 minutes", "30 minutes", ["event_type"],
+                        {"value_sum": ("sum", "value"), "n": ("count", F.lit(1))})
+    return _round_value_sum(out.select("event_type", "window_start", "window_end", "value_sum", "n"))
+
+
+@register("sliding_count")
+def q_sliding_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sliding count and sum per event type, 20 min every 10 min (the 2 / 1 shape), direct."""
+    ev = table(spark, sf_dir, "events")
+    out = sliding(ev, "ts", "20 minutes", "10 minutes", ["event_type"],
+                  [F.sum("value").alias("value_sum"), F.count(F.lit(1)).alias("n")])
+    return _round_value_sum(out.select("event_type", F.col("window.start").alias("window_start"),
+                                       F.col("window.end").alias("window_end"), "value_sum", "n"))
+
+
+@register("tumbling_min_row")
+def q_tumbling_min_row(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per event type and hour, the row with the smallest value (first in time on ties)."""
+    ev = table(spark, sf_dir, "events")
+    out = tumbling(ev, "ts", "1 hour", ["event_type"],
+                   [min_row("value", EVENT_ORDER, ["event_id", "ts", "user_id", "value"]).alias("m")])
+    return out.select("event_type", F.col("window.start").alias("window_start"),
+                      F.col("window.end").alias("window_end"), "m.event_id", "m.ts",
+                      "m.user_id", "m.value")
+
+
+@register("user_sessions")
+def q_user_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sessions per user with a 30 min gap: sum of value, first event type, size."""
+    ev = table(spark, sf_dir, "events")
+    out = sessions(ev, ["user_id"], "ts", "30 minutes",
+                   [F.sum("value").alias("value_sum"), F.count(F.lit(1)).alias("n"),
+                    first_value("event_type", EVENT_ORDER).alias("first_event_type")])
+    return _round_value_sum(out.select(
+        "user_id", F.col("session.start").alias("session_start"),
+        F.col("session.end").alias("session_end"), "first_event_type", "value_sum", "n"))
+
+
+# --- keyed sequences --------------------------------------------------------
+
+@register("count_window_sum")
+def q_count_window_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per user in time order: every 3 events, the sum of the last 5 values."""
+    ev, blocks = _events_blocked(spark, sf_dir, "value")
+    out = count_window(ev, ["user_id"], EVENT_ORDER, 5, 3, "value", blocks, fields=["ts"])
+    return out.withColumn("window_sum", F.round("window_sum", 2))
+
+
+@register("every_n_average")
+def q_every_n_average(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per order, the truncated average quantity of every 2 line items."""
+    li = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+        F.col("l_quantity").cast("long").alias("qty"))
+    li = li.withColumn("_tp_lblk", F.expr("l_linenumber div 64"))
+    # line numbers repeat within an order in this data: part and supplier break ties
+    return every_n_average(li, ["l_orderkey"], ["l_linenumber", "l_partkey", "l_suppkey"],
+                           "qty", 2, [["_tp_lblk"]])
+
+
+@register("every_n_average_events")
+def q_every_n_average_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per user in time order, the truncated average of every 3 values in cents."""
+    ev, blocks = _events_blocked(spark, sf_dir, "value")
+    ev = ev.withColumn("cents", position_from("value"))
+    return every_n_average(ev, ["user_id"], EVENT_ORDER, "cents", 3, blocks)
+
+
+@register("full_batches")
+def q_full_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per user in time order, events in complete groups of 10 (the buffering sink)."""
+    ev, blocks = _events_blocked(spark, sf_dir, "value")
+    out = full_batches(ev, ["user_id"], EVENT_ORDER, 10, blocks)
+    return out.select("user_id", "batch_no", "slot", "event_id", "ts", "value")
+
+
+@register("delta_trigger_max")
+def q_delta_trigger_max(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per user: each time the running value total moves 500.00 past the last mark,
+    the event with the top value among the last day's events."""
+    ev, blocks = _events_blocked(spark, sf_dir, "value")
+    ev = ev.withColumn("cents", position_from("value"))
+    pos = running_total(ev, ["user_id"], EVENT_ORDER, blocks, "cents", "pos")
+    return delta_trigger_max(pos, "user_id", "ts", ["event_id"], "pos", "value",
+                             delta=50_000, keep="1 day", fields=["event_id", "ts", "value", "pos"])
+
+
+# --- lookups, records -------------------------------------------------------
+
+@register("broadcast_lookup")
+def q_broadcast_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each customer's nation name from the (size-checked, broadcast) nation table."""
+    cust = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    nation = table(spark, sf_dir, "nation")
+    return broadcast_lookup(cust, nation, "c_nationkey", "n_nationkey", "n_name", text="line")
+
+
+@register("lookup_last_wins")
+def q_lookup_last_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each customer's status of their latest order (one value per key, last wins)."""
+    cust = table(spark, sf_dir, "customer").select("c_custkey")
+    orders = table(spark, sf_dir, "orders")
+    dim = last_per_key(orders, "o_custkey", "o_orderstatus",
+                       F.struct("o_orderdate", "o_orderkey"))
+    return broadcast_lookup(cust, dim, "c_custkey", "o_custkey", "o_orderstatus")
+
+
+@register("json_project")
+def q_json_project(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``props`` JSON text to a typed column, keeping the event id."""
+    ev = table(spark, sf_dir, "events")
+    return project_json(ev, "props", "k bigint", keep=["event_id"])
+
+
+@register("json_attach")
+def q_json_attach(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event id with its parsed ``props`` object, serialised compactly."""
+    ev = table(spark, sf_dir, "events")
+    return attach_json(ev, "props", ["event_id"], out="json")
+
+
+@register("counted_rows")
+def q_counted_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders passed through an identity step that counts rows (an observation)."""
+    df, _ = counted(table(spark, sf_dir, "orders"), "num_lines")
+    return df
