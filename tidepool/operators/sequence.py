@@ -3,15 +3,16 @@
 A plain ``sum(...).over(Window.partitionBy(key).orderBy(...))`` sends every
 row of a key to one task.  With a key that holds a third of all rows that task
 is a third of the job.  ``running_total`` splits the order into *blocks*
-(columns that grow with the order, e.g. day and hour of ``ts``, or conversation
-id ranges): it sums each block with a partial aggregation, turns the block
-sums into per-block offsets with a window over the (small) block table, and
-finally runs a window per ``(key, block)`` whose first row is the block's
-offset.  Only the last step touches all rows, and its partitions are bounded
-by the block size, not by the key size.
-
-No join is used: the offset enters the final window as one extra marker row
-per block (sorted first), so null keys behave exactly like in ``groupBy``.
+(columns that grow with the order, e.g. day and hour of ``ts``, or document
+id ranges) and makes two passes over the input:
+
+1. block totals: a partial + final aggregate per ``(key, blocks)`` (small);
+   a chain of windows over that table gives each block's exclusive offset
+   within its key (level by level, coarse to fine);
+2. the rows plus one offset marker row per block go through one window per
+   ``(key, block)``; the marker sorts first, so the running sum starts at the
+   block's offset.  Its partitions are bounded by the block size, not by the
+   key size.  Null keys behave as in ``groupBy`` (no join is involved).
 """
 
 from __future__ import annotations
@@ -33,30 +34,30 @@ def _levels(blocks: Levels) -> list[list[str]]:
     return [[b] if isinstance(b, str) else list(b) for b in blocks]
 
 
-def _block_offsets(totals: DataFrame, keys: list[str], levels: list[list[str]]) -> DataFrame:
-    """Exclusive offset of each finest block within its key.
+def block_offsets(totals: DataFrame, keys: list[str], levels: list[list[str]]) -> DataFrame:
+    """Exclusive offset ``_tp_off`` of each finest block within its key.
 
-    ``totals`` has ``keys + all level columns + _S``.  Level ``i`` is solved by
-    a window partitioned by ``keys + levels[:i]``, ordered by ``levels[i]``;
-    the offset of the enclosing block from level ``i-1`` enters as a marker.
+    ``totals`` has one row per ``keys + all level columns`` with the block sum
+    ``_tp_s``.  For level ``i`` the offset of a block inside its parent block
+    is (sum over the parent up to and including this block's peers) minus
+    (sum over this block); the offsets of all levels add up.  Every window is
+    partitioned by ``keys`` plus a prefix of the levels, so one exchange by
+    ``keys`` serves them all.
     """
-    prev: DataFrame | None = None
+    t = totals
+    parts = []
     prefix: list[str] = []
-    for lvl in levels:
-        cols = prefix + lvl
-        t = totals.groupBy(*keys, *cols).agg(F.sum(_S).alias(_S)).withColumn(_KIND, F.lit(1))
-        if prev is not None:
-            markers = prev.select(*keys, *prefix, F.col(_OFF).alias(_S), F.lit(0).alias(_KIND))
-            t = t.unionByName(markers, allowMissingColumns=True)
-        w = (Window.partitionBy(*keys, *prefix)
-             .orderBy(_KIND, *lvl)
-             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        prev = (t.withColumn(_OFF, F.sum(_S).over(w) - F.col(_S))
-                .filter(F.col(_KIND) == 1)
-                .select(*keys, *cols, _OFF))
-        prefix = cols
-    assert prev is not None
-    return prev
+    for i, lvl in enumerate(levels):
+        upto = Window.partitionBy(*keys, *prefix).orderBy(*lvl)  # RANGE up to current peers
+        whole = Window.partitionBy(*keys, *prefix, *lvl)
+        a, b = f"_tp_a{i}", f"_tp_b{i}"
+        t = t.withColumn(a, F.sum(_S).over(upto)).withColumn(b, F.sum(_S).over(whole))
+        parts.append(F.col(a) - F.col(b))
+        prefix = prefix + lvl
+    off = parts[0]
+    for p in parts[1:]:
+        off = off + p
+    return t.select(*keys, *prefix, off.alias(_OFF))
 
 
 def running_total(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
@@ -75,7 +76,7 @@ def running_total(df: DataFrame, keys: Sequence[str], order: Sequence[str | Colu
     base = df.withColumn(_V, v).withColumn(_KIND, F.lit(1))
     if levels:
         totals = base.groupBy(*keys, *fine).agg(F.sum(_V).alias(_S))
-        offs = _block_offsets(totals, keys, levels)
+        offs = block_offsets(totals, keys, levels)
         markers = offs.select(*keys, *fine, F.col(_OFF).alias(_V), F.lit(0).alias(_KIND))
         base = base.unionByName(markers, allowMissingColumns=True)
     w = (Window.partitionBy(*keys, *fine)

@@ -61,7 +61,7 @@ def q_hot_items_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("word_count")
 def q_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lower-cased ``\\W+`` tokens of every document, counted."""
-    docs = table(spark, sf_dir, "documents")
+    docs = table(spark, sf_dir, "documents", spread=True)
     return word_count(tokenize(docs, "text"))
 
 
@@ -74,14 +74,14 @@ def q_word_count_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("ws_word_count")
 def q_ws_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversation texts split on single whitespace characters (Java rules), counted."""
-    conv = table(spark, sf_dir, "conversations")
+    conv = table(spark, sf_dir, "conversations", spread=True)
     return word_count(split_words(conv, "text"))
 
 
 @register("running_count")
 def q_running_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Running count of each word over all conversation turns, one row per token."""
-    conv = table(spark, sf_dir, "conversations")
+    conv = table(spark, sf_dir, "conversations", spread=True)
     toks = tokenize(conv, "text", keep=["conv_id", "turn"], pos="pos")
     toks = toks.withColumn("_tp_cblk", F.expr("conv_id div 64"))
     out = running_count(toks, ["conv_id", "turn", "pos"],
@@ -92,7 +92,7 @@ def q_running_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("word_count_window")
 def q_word_count_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Count window per word over documents: every 3 occurrences, the last 5."""
-    docs = table(spark, sf_dir, "documents")
+    docs = table(spark, sf_dir, "documents", spread=True)
     toks = tokenize(docs, "text", keep=["doc_id"], pos="pos").withColumn("one", F.lit(1))
     toks = toks.withColumn("_tp_dblk", F.expr("doc_id div 64"))
     return count_window(toks, ["word"], ["doc_id", "pos"], 5, 3, "one",

@@ -14,9 +14,31 @@ TABLES = (
 )
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One driver table as a DataFrame (parquet; pushdown and pruning by Catalyst)."""
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    """One driver table as a DataFrame (parquet; pushdown and pruning by Catalyst).
+
+    ``spread=True`` is for CPU-heavy per-row work (tokenizing whole texts):
+    see ``spread_scan``.
+    """
+    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    return spread_scan(df) if spread else df
+
+
+def spread_scan(df: DataFrame) -> DataFrame:
+    """Round-robin a scan that has fewer input splits than the session has cores.
+
+    A table stored as one parquet row group is read by one task, and all
+    per-row work up to the first exchange runs in that task.  Large inputs
+    have many splits and are returned unchanged (no extra shuffle).  Filters
+    and column pruning still reach the scan below the repartition.
+    """
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < cores:
+            return df.repartition(cores)
+    except Exception:  # noqa: BLE001 - e.g. a client session without RDD access
+        pass
+    return df
 
 
 def events_with_item(spark: SparkSession, sf_dir: str) -> DataFrame:
