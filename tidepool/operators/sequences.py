@@ -93,6 +93,51 @@ def full_batches(df: DataFrame, keys: Sequence[str], order: Sequence[str], n: in
 # ---------------------------------------------------------------------------
 # Distance trigger with time eviction
 
+def delta_walk(pos: np.ndarray, t_us: np.ndarray, meas: np.ndarray, first_new: int,
+               mark: float | None, delta: float, keep_us: int
+               ) -> tuple[list[tuple[int, int]], float | None]:
+    """Walk one key's rows (sorted by time) from ``first_new`` on.
+
+    Rows before ``first_new`` are carried rows still inside the eviction span.
+    Returns ``(fires, mark)``: ``fires`` holds ``(firing row, top row)`` index
+    pairs.  The first row ever seen sets the mark; a row more than ``delta``
+    past the mark fires and becomes the mark; the top row is the first row
+    with the largest measure among rows up to the firing one whose time is
+    after ``fire time - keep``.
+    """
+    e = len(pos)
+    fires: list[tuple[int, int]] = []
+    i = first_new
+    if i >= e:
+        return fires, mark
+    m = mark
+    if m is None:
+        m = float(pos[i])
+        i += 1
+    monotone = bool(np.all(np.diff(pos) >= 0)) if e > 1 else True
+    while i < e:
+        if monotone:
+            # first row with pos beyond mark + delta, then settle the exact test
+            j = max(int(np.searchsorted(pos, m + delta, side="left")) - 1, i)
+        else:
+            j = i
+        while j < e and not (pos[j] - m > delta):
+            j += 1
+        if j >= e:
+            break
+        m = float(pos[j])
+        lo = int(np.searchsorted(t_us, t_us[j] - keep_us, side="right"))
+        if lo <= j:  # an empty window after eviction emits nothing
+            fires.append((j, lo + int(np.argmax(meas[lo:j + 1]))))
+        i = j + 1
+    return fires, m
+
+
+def keep_span(t_us: np.ndarray, keep_us: int) -> int:
+    """Index of the first row that a later firing can still see."""
+    return int(np.searchsorted(t_us, t_us[-1] - keep_us, side="right"))
+
+
 def _fold_delta_trigger(batches, key: str, time: str, position: str, measure: str,
                         delta: float, keep_us: int, fire_cols: list[str],
                         fields: list[str], out_cols: list[str]):
@@ -102,11 +147,9 @@ def _fold_delta_trigger(batches, key: str, time: str, position: str, measure: st
     for pdf in batches:
         if pdf.empty:
             continue
-        if carry is not None and len(carry):
+        n_old = 0 if carry is None else len(carry)
+        if n_old:
             pdf = pd.concat([carry, pdf], ignore_index=True)
-            n_old = len(carry)
-        else:
-            n_old = 0
         keys = pdf[key].to_numpy()
         t_us = pdf[time].to_numpy(dtype="datetime64[us]").astype(np.int64)
         pos = pdf[position].to_numpy(dtype=np.float64)
@@ -115,37 +158,12 @@ def _fold_delta_trigger(batches, key: str, time: str, position: str, measure: st
         ends = np.r_[starts[1:], len(pdf)]
         out_idx: list[tuple[int, int]] = []
         for s, e in zip(starts, ends):
-            first_new = max(s, n_old)
-            if first_new >= e:
-                continue
-            carried_key = s == 0 and n_old > 0
-            m = mark if carried_key else None
-            i = first_new
-            if m is None:
-                m = pos[i]
-                i += 1
-            p = pos[s:e]
-            monotone = bool(np.all(np.diff(p) >= 0)) if e - s > 1 else True
-            while i < e:
-                if monotone:
-                    # first row with pos beyond mark + delta, then settle the exact test
-                    j = s + int(np.searchsorted(p, m + delta, side="left"))
-                    j = max(j - 1, i)
-                    while j < e and not (pos[j] - m > delta):
-                        j += 1
-                else:
-                    j = i
-                    while j < e and not (pos[j] - m > delta):
-                        j += 1
-                if j >= e:
-                    break
-                m = pos[j]
-                lo = s + int(np.searchsorted(t_us[s:e], t_us[j] - keep_us, side="right"))
-                if lo <= j:  # an empty window after eviction emits nothing
-                    top = lo + int(np.argmax(meas[lo:j + 1]))
-                    out_idx.append((j, top))
-                i = j + 1
-            mark = m
+            carried = s == 0 and n_old > 0
+            fires, m = delta_walk(pos[s:e], t_us[s:e], meas[s:e], max(0, n_old - s),
+                                  mark if carried else None, delta, keep_us)
+            out_idx.extend((s + a, s + b) for a, b in fires)
+            if e - s > max(0, n_old - s):
+                mark = m
         if out_idx:
             fi = np.array([a for a, _ in out_idx])
             ti = np.array([b for _, b in out_idx])
@@ -157,9 +175,7 @@ def _fold_delta_trigger(batches, key: str, time: str, position: str, measure: st
             yield res[out_cols]
         # keep the last key's rows that can still be inside a later frame
         last = starts[-1]
-        tail_t = t_us[last:]
-        cut = last + int(np.searchsorted(tail_t, tail_t[-1] - keep_us, side="right"))
-        carry = pdf.iloc[cut:].reset_index(drop=True)
+        carry = pdf.iloc[last + keep_span(t_us[last:], keep_us):].reset_index(drop=True)
 
 
 def delta_trigger_max(df: DataFrame, key: str, time: str, order: Sequence[str],

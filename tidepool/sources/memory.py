@@ -1,0 +1,12 @@
+"""In-memory rows (hand cases, small lookup sets)."""
+
+from __future__ import annotations
+
+from collections.abc import Iterable
+
+from pyspark.sql import DataFrame, SparkSession
+
+
+def rows(spark: SparkSession, data: Iterable[tuple], schema: str) -> DataFrame:
+    """A DataFrame from literal rows with an explicit DDL schema."""
+    return spark.createDataFrame(list(data), schema)
