@@ -14,17 +14,17 @@ def project_json(df: DataFrame, col: str, schema: T.StructType | str,
                  keep: Sequence[str] = (), rejects: bool = False) -> DataFrame:
     """Parse JSON text in ``col`` and return ``keep`` plus one column per field.
 
-    Rows whose text is not a JSON object give nulls in PERMISSIVE mode; with
-    ``rejects=True`` only those rows (``keep`` and the raw text) are returned,
-    so a caller can route them to a reject sink.
+    Malformed text gives nulls (PERMISSIVE mode).  With ``rejects=True`` only
+    the rows that did not parse (or are null) come back, ``keep`` and the raw
+    text, so a caller can route them to a reject sink.
     """
     sch = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
-    parsed = F.from_json(F.col(col), sch)
+    probe = T.StructType(list(sch.fields) + [T.StructField("_tp_corrupt", T.StringType())])
+    parsed = F.from_json(F.col(col), probe, {"columnNameOfCorruptRecord": "_tp_corrupt"})
+    p = df.select(*keep, col, parsed.alias("_tp_j"))
     if rejects:
-        bad = parsed.isNull() & F.col(col).isNotNull()
-        return df.filter(bad | F.col(col).isNull()).select(*keep, col)
-    return df.select(*keep, parsed.alias("_tp_j")).select(
-        *keep, *[F.col(f"_tp_j.{f.name}").alias(f.name) for f in sch.fields])
+        return p.filter(F.col(col).isNull() | F.col("_tp_j._tp_corrupt").isNotNull()).select(*keep, col)
+    return p.select(*keep, *[F.col(f"_tp_j.{f.name}").alias(f.name) for f in sch.fields])
 
 
 def attach_json(df: DataFrame, col: str, keep: Sequence[str], out: str = "json",

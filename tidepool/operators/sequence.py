@@ -106,3 +106,30 @@ def time_blocks(df: DataFrame, ts: str, units: Sequence[str] = ("day", "hour"),
 
 def drop_blocks(df: DataFrame, prefix: str = "_tp_blk_") -> DataFrame:
     return df.drop(*[c for c in df.columns if c.startswith(prefix)])
+
+
+def running_max(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
+                block: str, value: str | Column, out: str = "running_max",
+                inclusive: bool = True) -> DataFrame:
+    """Running maximum of ``value`` per key (or over all rows with ``keys=[]``).
+
+    Same two-pass plan as ``running_total`` with one block level: the block
+    maxima give each block's carried-in maximum (a window over the small block
+    table), which enters the block's window as a marker row.  With
+    ``inclusive=False`` the current row is left out (the state *before* it).
+    """
+    keys = list(keys)
+    v = F.col(value) if isinstance(value, str) else value
+    base = df.withColumn(_V, v).withColumn(_KIND, F.lit(1))
+    bmax = base.groupBy(*keys, block).agg(F.max(_V).alias(_S))
+    before = (Window.partitionBy(*keys).orderBy(block)
+              .rowsBetween(Window.unboundedPreceding, -1))
+    markers = (bmax.withColumn(_OFF, F.max(_S).over(before))
+               .select(*keys, block, F.col(_OFF).alias(_V), F.lit(0).alias(_KIND)))
+    end = Window.currentRow if inclusive else -1
+    w = (Window.partitionBy(*keys, block).orderBy(_KIND, *order)
+         .rowsBetween(Window.unboundedPreceding, end))
+    return (base.unionByName(markers, allowMissingColumns=True)
+            .withColumn(out, F.max(_V).over(w))
+            .filter(F.col(_KIND) == 1)
+            .drop(_V, _KIND))

@@ -192,3 +192,25 @@ SELECT event_id, CAST(json(props) AS VARCHAR) AS json FROM events
 """
 
 ORACLE["counted_rows"] = "SELECT * FROM orders"
+
+ORACLE["tumbling_max_row"] = """
+SELECT event_type, window_start, window_start + INTERVAL '1 hour' AS window_end,
+       event_id, ts, user_id, value
+FROM (SELECT *, time_bucket(INTERVAL '1 hour', ts) AS window_start,
+             row_number() OVER (PARTITION BY event_type, time_bucket(INTERVAL '1 hour', ts)
+                                ORDER BY value DESC, ts, event_id) AS rn
+      FROM events)
+WHERE rn = 1
+"""
+
+ORACLE["punctuated_min_row"] = """
+WITH e AS (SELECT *, CASE WHEN event_type = 'error' THEN ts END AS mark FROM events),
+w AS (SELECT *, max(mark) OVER (ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS wm_before,
+             time_bucket(INTERVAL '1 hour', ts) AS ws FROM e),
+ok AS (SELECT * FROM w
+       WHERE wm_before IS NULL OR wm_before < ws + INTERVAL '1 hour' - INTERVAL '1 microsecond'),
+r AS (SELECT *, row_number() OVER (PARTITION BY event_type, ws ORDER BY value, ts, event_id) AS rn FROM ok),
+fin AS (SELECT max(mark) AS fwm FROM e)
+SELECT event_type, ws AS window_start, ws + INTERVAL '1 hour' AS window_end, event_id, ts, user_id, value
+FROM r, fin WHERE rn = 1 AND ws + INTERVAL '1 hour' - INTERVAL '1 microsecond' <= fwm
+"""

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepool.operators.aggregates import first_value, min_row
+from tidepool.operators.aggregates import first_value, max_row, min_row
 from tidepool.operators.hot import hot_items
 from tidepool.operators.lookup import broadcast_lookup, last_per_key
 from tidepool.operators.records import attach_json, counted, project_json, tuple_text
@@ -27,6 +27,7 @@ from tidepool.operators.topn import format_top_n
 from tidepool.operators.windows import sessions, sliding, sliding_panes, tumbling
 from tidepool.plans.registry import register
 from tidepool.sources.tables import events_with_item, table
+from tidepool.streaming.punctuated import punctuated_windows
 
 EVENT_ORDER = ["ts", "event_id"]
 
@@ -245,3 +246,29 @@ def q_counted_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders passed through an identity step that counts rows (an observation)."""
     df, _ = counted(table(spark, sf_dir, "orders"), "num_lines")
     return df
+
+
+@register("tumbling_max_row")
+def q_tumbling_max_row(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per event type and hour, the row with the largest value (first in time on ties)."""
+    ev = table(spark, sf_dir, "events")
+    out = tumbling(ev, "ts", "1 hour", ["event_type"],
+                   [max_row("value", EVENT_ORDER, ["event_id", "ts", "user_id", "value"]).alias("m")])
+    return out.select("event_type", F.col("window.start").alias("window_start"),
+                      F.col("window.end").alias("window_end"), "m.event_id", "m.ts",
+                      "m.user_id", "m.value")
+
+
+@register("punctuated_min_row")
+def q_punctuated_min_row(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly min-value row per event type under a punctuated watermark: events in
+    arrival (``event_id``) order, ``error`` events are the markers; late rows are
+    dropped and only windows a marker closed are emitted."""
+    ev = table(spark, sf_dir, "events").withColumn("_tp_blk", F.expr("event_id div 4096"))
+    out = punctuated_windows(
+        ev, "event_id", "ts", F.col("event_type") == "error", ["event_type"], "1 hour",
+        [min_row("value", EVENT_ORDER, ["event_id", "ts", "user_id", "value"]).alias("m")],
+        "_tp_blk")
+    return out.select("event_type", F.col("window.start").alias("window_start"),
+                      F.col("window.end").alias("window_end"), "m.event_id", "m.ts",
+                      "m.user_id", "m.value")
