@@ -66,3 +66,31 @@ def test_full_batches_and_remainder(spark):
     sizes = full.groupBy("k", "batch_no").count().select("count").distinct().collect()
     assert [r[0] for r in sizes] == [10]
     assert rest.groupBy("k").count().filter("count >= 10").count() == 0
+
+
+def test_split_sessions_equal_session_window(spark):
+    from tidepool.operators.windows import sessions, split_sessions
+    rnd = random.Random(42)
+    rows, eid = [], 0
+    for k in [0] * 6 + [1, 2, None]:          # key 0 is hot
+        t = rnd.randint(0, 3600)
+        for _ in range(rnd.randint(50, 150)):
+            # mostly short steps (sessions chain across many hour blocks),
+            # some exactly the gap (touching windows merge), some long breaks
+            t += rnd.choice([60, 300, 600, 600, 1800, 5000])
+            eid += 1
+            rows.append((k, t, eid, rnd.randint(1, 9)))
+    df = (spark.createDataFrame(rows, "k int, t long, eid long, v long")
+          .withColumn("ts", F.timestamp_seconds("t")))
+    m = {"s": ("sum", "v"), "n": ("count", F.lit(1)), "hi": ("max", "v")}
+    got = split_sessions(df, ["k"], "ts", "10 minutes", m, first={"fv": "v"},
+                         order=["ts", "eid"], block_unit="hour")
+    want = sessions(df, ["k"], "ts", "10 minutes",
+                    [F.sum("v").alias("s"), F.count(F.lit(1)).alias("n"), F.max("v").alias("hi"),
+                     F.min_by("v", F.struct("ts", "eid")).alias("fv")])
+    cols = ["k", "session.start", "session.end", "s", "n", "hi", "fv"]
+    def key(r):
+        return (-1 if r[0] is None else r[0],) + tuple(r[1:])
+    g = sorted((tuple(r) for r in got.select(*cols).collect()), key=key)
+    w = sorted((tuple(r) for r in want.select(*cols).collect()), key=key)
+    assert len(w) > 50 and g == w

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidepool.functions.intervals import interval_col, millis, spark_interval
@@ -87,6 +87,65 @@ def sessions(df: DataFrame, keys: Sequence[str], time: str, gap: str | int,
             .agg(*aggs))
 
 
+def split_sessions(df: DataFrame, keys: Sequence[str], time: str, gap: str | int,
+                   measures: Mapping[str, tuple[str, Column | str]],
+                   first: Mapping[str, str] | None = None, order: Sequence[str] = (),
+                   block_unit: str = "day") -> DataFrame:
+    """Session windows per key, split by time blocks so a hot key is not one task.
+
+    Same result as ``sessions`` (batch only).  ``session_window`` alone sends
+    all rows of a key to one task.  Here sessions are first merged per
+    ``(key, date_trunc(block_unit, time))``; a per-block table (small) then
+    finds, with windows over a key's blocks, which block-first partial session
+    continues the previous block's last session and from which start; partial
+    results are merged per ``(key, session start)`` with partial aggregation.
+
+    ``measures`` maps output names to ``(kind, expr)`` with kind ``sum``,
+    ``count``, ``min`` or ``max``; ``first`` maps output names to columns
+    taken from the session's first row in ``order`` (default ``time``).
+    Output: ``keys``, ``session`` (start, end), measures, first fields.
+    """
+    keys = list(keys)
+    first = dict(first or {})
+    okey = F.struct(*(list(order) or [time]))
+    blk = "_tp_sblk"
+    parts = [_PARTIAL[kind](F.col(e) if isinstance(e, str) else e).alias(n)
+             for n, (kind, e) in measures.items()]
+    parts += [F.min_by(F.col(c), okey).alias(n) for n, c in first.items()]
+    parts += [F.min(okey).alias("_tp_fkey")]
+    p = (df.withColumn(blk, F.date_trunc(block_unit, F.col(time)))
+         .groupBy(*keys, blk, F.session_window(time, spark_interval(gap)).alias("_tp_sw"))
+         .agg(*parts)
+         .withColumn("_tp_start", F.col("_tp_sw.start"))
+         .withColumn("_tp_end", F.col("_tp_sw.end"))
+         .drop("_tp_sw"))
+    # one row per (key, block): does its first partial session continue the previous block's?
+    bt = p.groupBy(*keys, blk).agg(F.min("_tp_start").alias("_tp_first"),
+                                   F.max("_tp_start").alias("_tp_last"),
+                                   F.max("_tp_end").alias("_tp_bend"),
+                                   F.count(F.lit(1)).alias("_tp_n"))
+    wk = Window.partitionBy(*keys).orderBy(blk)
+    cont = F.lag("_tp_bend").over(wk).isNotNull() & (F.col("_tp_first") <= F.lag("_tp_bend").over(wk))
+    bt = bt.withColumn("_tp_cont", cont)
+    # start of the session that the block's last partial session belongs to
+    own = F.when((F.col("_tp_n") >= 2) | ~F.col("_tp_cont"), F.col("_tp_last"))
+    bt = bt.withColumn("_tp_root", F.last(own, ignorenulls=True).over(
+        wk.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    bt = bt.withColumn("_tp_prev_root", F.lag("_tp_root").over(wk))
+    g = "_tp_g"
+    bt = bt.select(F.struct(*keys, blk).alias(g), "_tp_cont", "_tp_first", "_tp_prev_root")
+    j = p.withColumn(g, F.struct(*keys, blk)).join(bt, g, "left")
+    sid = F.when(F.col("_tp_cont") & (F.col("_tp_start") == F.col("_tp_first")),
+                 F.col("_tp_prev_root")).otherwise(F.col("_tp_start"))
+    merged = j.withColumn("_tp_sid", sid).groupBy(*keys, "_tp_sid").agg(
+        F.max("_tp_end").alias("_tp_end"),
+        *[_MERGE[kind](n).alias(n) for n, (kind, _) in measures.items()],
+        *[F.min_by(F.col(n), F.col("_tp_fkey")).alias(n) for n in first])
+    return merged.select(
+        *keys, F.struct(F.col("_tp_sid").alias("start"), F.col("_tp_end").alias("end")).alias("session"),
+        *measures.keys(), *first.keys())
+
+
 def processing_time(df: DataFrame, out: str = "proc_time") -> DataFrame:
     """Stamp each row with the current time (ingestion/processing-time windows).
 

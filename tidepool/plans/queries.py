@@ -24,7 +24,7 @@ from tidepool.operators.sequences import (count_window, delta_trigger_max, every
 from tidepool.operators.sequence import running_total
 from tidepool.operators.text import running_count, split_words, tokenize, word_count
 from tidepool.operators.topn import format_top_n
-from tidepool.operators.windows import sessions, sliding, sliding_panes, tumbling
+from tidepool.operators.windows import sliding, sliding_panes, split_sessions, tumbling
 from tidepool.plans.registry import register
 from tidepool.sources.tables import events_with_item, table
 from tidepool.streaming.punctuated import punctuated_windows
@@ -148,11 +148,13 @@ def q_tumbling_min_row(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("user_sessions")
 def q_user_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sessions per user with a 30 min gap: sum of value, first event type, size."""
+    """Sessions per user with a 30 min gap: sum of value, first event type, size.
+
+    Split by day so one busy user's sessions are built in many tasks."""
     ev = table(spark, sf_dir, "events")
-    out = sessions(ev, ["user_id"], "ts", "30 minutes",
-                   [F.sum("value").alias("value_sum"), F.count(F.lit(1)).alias("n"),
-                    first_value("event_type", EVENT_ORDER).alias("first_event_type")])
+    out = split_sessions(ev, ["user_id"], "ts", "30 minutes",
+                         {"value_sum": ("sum", "value"), "n": ("count", F.lit(1))},
+                         first={"first_event_type": "event_type"}, order=EVENT_ORDER)
     return _round_value_sum(out.select(
         "user_id", F.col("session.start").alias("session_start"),
         F.col("session.end").alias("session_end"), "first_event_type", "value_sum", "n"))
