@@ -13,6 +13,12 @@ id ranges) and makes two passes over the input:
    ``(key, block)``; the marker sorts first, so the running sum starts at the
    block's offset.  Its partitions are bounded by the block size, not by the
    key size.  Null keys behave as in ``groupBy`` (no join is involved).
+
+Sizing: the final window holds one ``(key, finest block)``; the offset windows
+hold one row per finest block of a key.  Pick finest blocks of up to about a
+million rows of a hot key (e.g. minutes of event time, ranges of a few hundred
+documents): then both are bounded at any input size.  Blocks far smaller than
+that only add per-partition overhead.
 """
 
 from __future__ import annotations

@@ -1,14 +1,18 @@
 """Query definitions on the driver tables (see ``registry``).
 
-Every query reads whole tables.  Keys, orders and block columns:
-
-* events: key ``user_id`` (or ``event_type``), order ``(ts, event_id)``,
-  blocks day then hour of ``ts``;
-* conversations: order ``(conv_id, turn, pos)``, blocks ``conv_id div 64``
-  then ``(conv_id, turn)`` (one text);
-* documents: order ``(doc_id, pos)``, blocks ``doc_id div 64`` then ``doc_id``.
+Every query reads whole tables.  Keys, orders and block columns (see
+``tidepool.operators.sequence``; a finest block should hold up to about a
+million rows of one key, and a key has one offset row per finest block):
+
+* events: key ``user_id``, order ``(ts, event_id)``, blocks day then minute
+  of ``ts`` (a user with a third of 100 TB of events still has only millions
+  of rows per minute, and 43,200 minute blocks a month);
+* conversations: order ``(conv_id, turn, pos)``, block ``conv_id div 256``;
+* documents: order ``(doc_id, pos)``, block ``doc_id div 256``;
+* arrival order over all events (punctuated watermark): ``event_id div 2^20``.
 """
 
+
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,13 +34,15 @@ from tidepool.sources.tables import events_with_item, table
 from tidepool.streaming.punctuated import punctuated_windows
 
 EVENT_ORDER = ["ts", "event_id"]
+TEXT_BLOCK = 256          # texts per block for per-word sequences
+ARRIVAL_BLOCK = 1 << 20   # rows per block for the global running maximum
 
 
 def _events_blocked(spark: SparkSession, sf_dir: str, *cols: str) -> tuple[DataFrame, list]:
     ev = table(spark, sf_dir, "events")
     if cols:
         ev = ev.select(*dict.fromkeys(["user_id", "ts", "event_id", *cols]))
-    ev, blocks = time_blocks(ev, "ts", ("day", "hour"))
+    ev, blocks = time_blocks(ev, "ts", ("day", "minute"))
     return ev, [[b] for b in blocks]
 
 
@@ -84,9 +90,8 @@ def q_running_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Running count of each word over all conversation turns, one row per token."""
     conv = table(spark, sf_dir, "conversations", spread=True)
     toks = tokenize(conv, "text", keep=["conv_id", "turn"], pos="pos")
-    toks = toks.withColumn("_tp_cblk", F.expr("conv_id div 64"))
-    out = running_count(toks, ["conv_id", "turn", "pos"],
-                        [["_tp_cblk"], ["conv_id", "turn"]])
+    toks = toks.withColumn("_tp_cblk", F.expr(f"conv_id div {TEXT_BLOCK}"))
+    out = running_count(toks, ["conv_id", "turn", "pos"], [["_tp_cblk"]])
     return out.select("conv_id", "turn", "pos", "word", "running_count")
 
 
@@ -95,9 +100,8 @@ def q_word_count_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Count window per word over documents: every 3 occurrences, the last 5."""
     docs = table(spark, sf_dir, "documents", spread=True)
     toks = tokenize(docs, "text", keep=["doc_id"], pos="pos").withColumn("one", F.lit(1))
-    toks = toks.withColumn("_tp_dblk", F.expr("doc_id div 64"))
-    return count_window(toks, ["word"], ["doc_id", "pos"], 5, 3, "one",
-                        [["_tp_dblk"], ["doc_id"]])
+    toks = toks.withColumn("_tp_dblk", F.expr(f"doc_id div {TEXT_BLOCK}"))
+    return count_window(toks, ["word"], ["doc_id", "pos"], 5, 3, "one", [["_tp_dblk"]])
 
 
 # --- time windows -----------------------------------------------------------
@@ -266,7 +270,7 @@ def q_punctuated_min_row(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hourly min-value row per event type under a punctuated watermark: events in
     arrival (``event_id``) order, ``error`` events are the markers; late rows are
     dropped and only windows a marker closed are emitted."""
-    ev = table(spark, sf_dir, "events").withColumn("_tp_blk", F.expr("event_id div 4096"))
+    ev = table(spark, sf_dir, "events").withColumn("_tp_blk", F.expr(f"event_id div {ARRIVAL_BLOCK}"))
     out = punctuated_windows(
         ev, "event_id", "ts", F.col("event_type") == "error", ["event_type"], "1 hour",
         [min_row("value", EVENT_ORDER, ["event_id", "ts", "user_id", "value"]).alias("m")],
