@@ -43,16 +43,24 @@ def every_n_average_stream(df: DataFrame, key: str, order: Sequence[str], value:
 
     def step(k, pdfs, state):
         cnt, tot = state.get if state.exists else (0, 0)
-        res = []
-        for pdf in pdfs:
-            for v in pdf.sort_values(order)[value].to_numpy(dtype=np.int64):
-                cnt, tot = cnt + 1, tot + int(v)
-                if cnt >= n:
-                    res.append(_trunc_div(tot, cnt))
-                    cnt, tot = 0, 0
-        state.update((cnt, tot))
-        if res:
+        frames = [p for p in pdfs if len(p)]
+        v = (pd.concat(frames).sort_values(order)[value].to_numpy(dtype=np.int64)
+             if frames else np.zeros(0, dtype=np.int64))
+        # carried partial group first, then the new values, cut into groups of n
+        seq = np.r_[np.int64(tot), v]
+        idx = np.r_[cnt, cnt + np.arange(1, len(v) + 1)]   # count after each element
+        full = len(v) + cnt
+        n_groups = full // n
+        if n_groups:
+            csum = np.cumsum(seq)
+            ends = np.arange(1, n_groups + 1) * n - cnt       # index into seq of each group end
+            sums = np.diff(np.r_[0, csum[ends]])
+            res = [_trunc_div(int(x), n) for x in sums]
             yield pd.DataFrame({key: [k[0]] * len(res), out: res})
+            rest = seq[ends[-1] + 1:]
+            state.update((int(len(rest)), int(rest.sum())))
+        else:
+            state.update((int(idx[-1]), int(seq.sum())))
 
     return df.groupBy(key).applyInPandasWithState(
         step, out_schema, state_schema, "append", GroupStateTimeout.NoTimeout)
@@ -71,16 +79,20 @@ def count_window_stream(df: DataFrame, key: str, order: Sequence[str], size: int
     def step(k, pdfs, state):
         cnt, last = state.get if state.exists else (0, [])
         last = list(last or [])
-        rows = []
-        for pdf in pdfs:
-            for v in pdf.sort_values(order)[value].tolist():
-                cnt += 1
-                last = (last + [v])[-size:]
-                if cnt % slide == 0:
-                    rows.append((k[0], cnt, sum(last), len(last)))
-        state.update((cnt, last[-(size - 1):] if size > 1 else []))
-        if rows:
-            yield pd.DataFrame(rows, columns=[key, "fire_seq", out, "n_rows"])
+        frames = [p for p in pdfs if len(p)]
+        v = pd.concat(frames).sort_values(order)[value].to_numpy() if frames else np.zeros(0)
+        allv = np.r_[np.asarray(last, dtype=v.dtype if len(v) else float), v]
+        csum = np.r_[0, np.cumsum(allv)]
+        seqs = cnt + np.arange(1, len(v) + 1)                # position of each new row
+        fire = np.flatnonzero(seqs % slide == 0)
+        if len(fire):
+            hi = len(last) + fire + 1                         # exclusive end in allv
+            lo = np.maximum(hi - size, np.maximum(0, len(last) - cnt))
+            rows = pd.DataFrame({key: [k[0]] * len(fire), "fire_seq": seqs[fire],
+                                 out: csum[hi] - csum[lo], "n_rows": hi - lo})
+            yield rows[[key, "fire_seq", out, "n_rows"]]
+        keep_n = size - 1
+        state.update((int(cnt + len(v)), allv[len(allv) - keep_n:].tolist() if keep_n else []))
 
     return df.groupBy(key).applyInPandasWithState(
         step, out_schema, state_schema, "append", GroupStateTimeout.NoTimeout)
