@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepool.operators.aggregates import first_value, max_row, min_row
+from tidepool.operators.aggregates import max_row, min_row
 from tidepool.operators.hot import hot_items
 from tidepool.operators.lookup import broadcast_lookup, last_per_key
 from tidepool.operators.records import attach_json, counted, project_json, tuple_text
