@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
-from tidepool.operators.hot import hot_items
+from tidepool.operators.hot import hot_items, item_view_counts
 from tidepool.operators.sequences import (count_window, delta_trigger_max, every_n_average,
                                           full_batches, position_from)
 from tidepool.operators.text import split_words, tokenize, word_count
@@ -17,6 +17,7 @@ from tidepool.sources.tables import table
 from tidepool.sources.text import read_lines
 from tidepool.streaming import stateful
 from tidepool.streaming.runner import drain, start
+from tidepool.streaming.topn import stream_top_n
 from tidepool.streaming.watermarks import dropped_by_watermark, with_event_time
 
 N_FILES = 4
@@ -79,23 +80,14 @@ def test_hot_items_stream_top_n_per_batch(spark, replay):
     root, schema, ev = replay
     s = with_event_time(replay_stream(spark, root, schema), "ts")
     s = s.withColumn("item_id", F.get_json_object("props", "$.k").cast("long"))
-    counts = (s.filter("event_type = 'view'")
-              .groupBy("item_id", F.window("ts", "60 minutes", "15 minutes").alias("w"))
-              .agg(F.count(F.lit(1)).alias("view_count"))
-              .select("item_id", F.col("w.end").alias("window_end"), "view_count"))
+    counts = item_view_counts(s, "ts", "item_id", "60 minutes", "5 minutes", "event_type", "view")
     out_dir = tempfile.mkdtemp(prefix="tp-top-")
-
-    def each(batch, epoch):
-        from tidepool.operators.topn import top_n
-        top = top_n(batch, ["window_end"], [F.desc("view_count"), F.asc("item_id")], 5)
-        top.write.mode("append").parquet(out_dir)
-
-    drain(start(counts, output_mode="append", foreach_batch=each,
-                checkpoint=tempfile.mkdtemp(prefix="tp-ck-")))
+    drain(stream_top_n(counts, ["window_end"], [F.desc("view_count"), F.asc("item_id")], 5,
+                       out_dir, tempfile.mkdtemp(prefix="tp-ck-")))
     got = spark.read.parquet(out_dir).select("window_end", "rank", "item_id", "view_count")
     got = drop_sentinel(got, "window_end")
     bev = _batch_events(ev).withColumn("item_id", F.get_json_object("props", "$.k").cast("long"))
-    want = hot_items(bev, "ts", "item_id", "60 minutes", "15 minutes", 5, "event_type", "view")
+    want = hot_items(bev, "ts", "item_id", "60 minutes", "5 minutes", 5, "event_type", "view")
     assert _rows(got, want.columns) == _rows(want, want.columns)
 
 

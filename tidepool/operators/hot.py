@@ -16,11 +16,13 @@ def item_view_counts(df: DataFrame, time: str, item: str, size: str, slide: str,
 
     The filter goes before the exchange (pushed into the scan by Catalyst).
     Long windows go through panes; few overlaps use ``F.window`` directly.
+    On a stream the direct form is used: a window end made by ``explode``
+    carries no event-time mark, so a second aggregation could not close.
     """
     if behavior_col is not None:
         df = df.filter(F.col(behavior_col) == behavior)
     df = df.select(F.col(item).alias("item_id"), time)
-    if millis(size) / millis(slide) > MAX_DIRECT_OVERLAP:
+    if millis(size) / millis(slide) > MAX_DIRECT_OVERLAP and not df.isStreaming:
         return sliding_panes(df, time, size, slide, ["item_id"],
                              {"view_count": ("count", F.lit(1))}).drop("window_start")
     return (df.groupBy("item_id", F.window(time, f"{millis(size)} milliseconds",
