@@ -11,7 +11,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_BROADCAST_ROWS = 1_000_000
+# A broadcast side is collected through the driver and copied to every executor:
+# keep it to small lookup sets (the reference broadcasts a handful of pairs).
+DEFAULT_BROADCAST_ROWS = 100_000
 
 
 def fits_broadcast(dim: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:

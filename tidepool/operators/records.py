@@ -62,8 +62,9 @@ def parse_key_number(df: DataFrame, col: str, key: str = "key", number: str = "t
 def counted(df: DataFrame, name: str = "num_lines") -> tuple[DataFrame, Observation]:
     """Identity that counts its rows; read ``obs.get[name]`` after an action.
 
-    An observation is computed inside the job (like an accumulator) and is
-    exact under task retries, unlike a hand-made counter.
+    The count is computed inside the job that writes or collects ``df`` (like
+    the reference's accumulator) and read on the driver afterwards; it is one
+    number, no rows pass through the driver.
     """
     obs = Observation(name)
     return df.observe(obs, F.count(F.lit(1)).alias(name)), obs
