@@ -187,3 +187,13 @@ def test_late_rows_are_dropped(spark):
     first = [r.n for r in got.collect() if r.start.second == 0 and r.start.minute == 0]
     assert first == [2]  # the row at 1.5 s came after the watermark passed 5 s
     assert dropped_by_watermark(q.recentProgress) >= 1
+
+
+def test_buffered_stream_keeps_timestamps_across_batches(spark, replay):
+    root, schema, ev = replay
+    s = replay_stream(spark, root, schema).filter("user_id >= 0")
+    got, _ = _memory(stateful.buffered_stream(s, "user_id", ["ts", "event_id"], 7,
+                                              ["event_id", "ts", "value"]))
+    want = full_batches(_batch_events(ev), ["user_id"], ["ts", "event_id"], 7, [])
+    cols = ["user_id", "batch_no", "slot", "event_id", "ts"]
+    assert _rows(got, cols) == _rows(want, cols)

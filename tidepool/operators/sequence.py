@@ -81,7 +81,7 @@ def running_total(df: DataFrame, keys: Sequence[str], order: Sequence[str | Colu
     v = F.lit(1).cast("long") if value is None else (F.col(value) if isinstance(value, str) else value)
     base = df.withColumn(_V, v).withColumn(_KIND, F.lit(1))
     if levels:
-        totals = base.groupBy(*keys, *fine).agg(F.sum(_V).alias(_S))
+        totals = base.groupBy(*keys, *fine).agg(F.coalesce(F.sum(_V), F.lit(0)).alias(_S))
         offs = block_offsets(totals, keys, levels)
         markers = offs.select(*keys, *fine, F.col(_OFF).alias(_V), F.lit(0).alias(_KIND))
         base = base.unionByName(markers, allowMissingColumns=True)

@@ -10,11 +10,11 @@ under the query checkpoint, so a restarted query continues where it stopped.
 
 from __future__ import annotations
 
-import json
 from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupStateTimeout
@@ -98,26 +98,38 @@ def count_window_stream(df: DataFrame, key: str, order: Sequence[str], size: int
         step, out_schema, state_schema, "append", GroupStateTimeout.NoTimeout)
 
 
+def _to_ipc(pdf: pd.DataFrame) -> bytes:
+    sink = pa.BufferOutputStream()
+    table = pa.Table.from_pandas(pdf, preserve_index=False)
+    with pa.ipc.new_stream(sink, table.schema) as w:
+        w.write_table(table)
+    return sink.getvalue().to_pybytes()
+
+
+def _from_ipc(buf: bytes) -> pd.DataFrame:
+    return pa.ipc.open_stream(pa.py_buffer(buf)).read_all().to_pandas()
+
+
 def buffered_stream(df: DataFrame, key: str, order: Sequence[str], n: int,
                     fields: Sequence[str]) -> DataFrame:
     """The buffering sink's state: emit a key's rows in complete groups of ``n``.
 
-    Fewer than ``n`` rows per key stay in state (serialised as JSON records).
-    Output: ``key, batch_no, slot, fields``.
+    Fewer than ``n`` rows per key stay in state (as Arrow IPC bytes, exact for
+    every column type).  Output: ``key, batch_no, slot, fields``.
     """
     fields = [f for f in fields if f != key]
     out_schema = T.StructType([_field(df, key), T.StructField("batch_no", T.LongType()),
                                T.StructField("slot", T.LongType())]
                               + [_field(df, f) for f in fields])
     state_schema = T.StructType([T.StructField("emitted", T.LongType()),
-                                 T.StructField("buf", T.StringType())])
+                                 T.StructField("buf", T.BinaryType())])
     order = list(order)
 
     def step(k, pdfs, state):
-        emitted, buf = state.get if state.exists else (0, "[]")
-        pending = pd.DataFrame(json.loads(buf), columns=fields)
-        new = [p.sort_values(order)[fields] for p in pdfs]
-        allrows = pd.concat([pending, *new], ignore_index=True) if new else pending
+        emitted, buf = state.get if state.exists else (0, None)
+        new = [p.sort_values(order)[fields] for p in pdfs if len(p)]
+        parts = ([_from_ipc(bytes(buf))] if buf else []) + new
+        allrows = pd.concat(parts, ignore_index=True) if parts else pd.DataFrame(columns=fields)
         full = (len(allrows) // n) * n
         if full:
             out = allrows.iloc[:full].copy()
@@ -127,9 +139,8 @@ def buffered_stream(df: DataFrame, key: str, order: Sequence[str], n: int,
             out.insert(0, key, k[0])
             emitted += full // n
             yield out[[key, "batch_no", "slot", *fields]]
-        rest = allrows.iloc[full:]
-        state.update((emitted, rest.to_json(orient="values", date_format="iso")
-                      if len(rest) else "[]"))
+        rest = allrows.iloc[full:].reset_index(drop=True)
+        state.update((emitted, _to_ipc(rest) if len(rest) else None))
 
     return df.groupBy(key).applyInPandasWithState(
         step, out_schema, state_schema, "append", GroupStateTimeout.NoTimeout)
