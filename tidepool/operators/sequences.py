@@ -94,7 +94,7 @@ def full_batches(df: DataFrame, keys: Sequence[str], order: Sequence[str], n: in
 # Distance trigger with time eviction
 
 def delta_walk(pos: np.ndarray, t_us: np.ndarray, meas: np.ndarray, first_new: int,
-               mark: float | None, delta: float, keep_us: int
+               mark: float | None, delta: float, keep_us: int, tops: bool = True
                ) -> tuple[list[tuple[int, int]], float | None]:
     """Walk one key's rows (sorted by time) from ``first_new`` on.
 
@@ -103,7 +103,8 @@ def delta_walk(pos: np.ndarray, t_us: np.ndarray, meas: np.ndarray, first_new: i
     pairs.  The first row ever seen sets the mark; a row more than ``delta``
     past the mark fires and becomes the mark; the top row is the first row
     with the largest measure among rows up to the firing one whose time is
-    after ``fire time - keep``.
+    after ``fire time - keep``.  With ``tops=False`` only the mark is tracked
+    (fires are returned with top ``-1``).
     """
     e = len(pos)
     fires: list[tuple[int, int]] = []
@@ -126,6 +127,10 @@ def delta_walk(pos: np.ndarray, t_us: np.ndarray, meas: np.ndarray, first_new: i
         if j >= e:
             break
         m = float(pos[j])
+        if not tops:
+            fires.append((j, -1))
+            i = j + 1
+            continue
         lo = int(np.searchsorted(t_us, t_us[j] - keep_us, side="right"))
         if lo <= j:  # an empty window after eviction emits nothing
             fires.append((j, lo + int(np.argmax(meas[lo:j + 1]))))
