@@ -117,14 +117,9 @@ def _group_of(id_: Column, bounds: list[int]) -> Column:
     if not bounds:
         return F.lit(0)
     arr = F.array(*[F.lit(b) for b in bounds])
-    lo = F.lit(0)
-    step = 1 << (len(bounds).bit_length() - 1)
-    while step:
-        at = lo + step
-        lo = F.when((at <= len(bounds)) & (F.get(arr, F.least(at, F.lit(len(bounds))) - 1) <= id_),
-                    at).otherwise(lo)
-        step >>= 1
-    return lo
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(len(bounds).bit_length()))])
+    return F.aggregate(steps, F.lit(0), lambda lo, step: F.when(
+        (lo + step <= len(bounds)) & (F.get(arr, lo + step - 1) <= id_), lo + step).otherwise(lo))
 
 
 def with_next(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
