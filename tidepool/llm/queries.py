@@ -5,10 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidepool.llm.archive import convert_pages
+from tidepool.llm.lines import clean_lines
 from tidepool.llm.merkle import fingerprint_edits
+from tidepool.llm.minhash import near_duplicates
 from tidepool.llm.mixing import entropy_mix
+from tidepool.llm.permutation import permutation_search
+from tidepool.llm.suffix import remove_repeats
 from tidepool.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,6 +36,31 @@ def op1_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken", "copies", "rate")
 
 
+@register("op2_minhash_join")
+def op2_minhash_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents (five-word shingles, Jaccard 0.75)."""
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@register("op6_fuzzy_lines")
+def op6_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the lines that repeat, exactly or nearly, an earlier line."""
+    return clean_lines(table(spark, sf_dir, "documents")).select(
+        "row.doc_id", "n_lines", "n_removed", "text")
+
+
+@register("op7_repeated_bytes")
+def op7_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the bytes of repeated 100-byte strings, the first copy kept."""
+    return remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
+@register("op8_permutation_search")
+def op8_permutation_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 nearest vectors of every vector whose id is divisible by 100."""
+    return permutation_search(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)
+
+
 @register("op9_arc_to_warc", """
 WITH p AS (
   SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes,
@@ -45,8 +75,6 @@ FROM p LEFT JOIN f USING (payload_digest)
 """)
 def op9_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages as ARC files, converted to WARC files, read back."""
-    from pyspark.sql import functions as F
-
     return convert_pages(table(spark, sf_dir, "pages")).select(
         F.col("key").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
 
