@@ -18,7 +18,7 @@ depends on source and size alone, so the iterations run on the table of
 rate``; then single copies are added or taken where they bring a source nearest
 its target, until no single copy helps.  Inside a cell the copies go to its
 documents as evenly as possible, in the order of a hash of the id; ranks are
-split over hash buckets of a few thousand documents, so a cell that holds a
+split over hash buckets of a few hundred documents, so a cell that holds a
 third of all rows is not one task.  Everything is a function of the rows:
 reruns agree.
 
@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 from tidepool.llm.common import cut
 
 WORD = r"[^\x20\x09-\x0D]+"
-BUCKET_DOCS = 4096
+BUCKET_DOCS = 256
 
 
 def word_count(text: Column) -> Column:
