@@ -7,11 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
+from tidepool.llm import ordinal, toxicity
 from tidepool.llm.archive import convert_pages
 from tidepool.llm.lines import clean_lines
 from tidepool.llm.merkle import fingerprint_edits
 from tidepool.llm.minhash import near_duplicates
 from tidepool.llm.mixing import entropy_mix
+from tidepool.llm.packing import pack
 from tidepool.llm.permutation import permutation_search
 from tidepool.llm.suffix import remove_repeats
 from tidepool.sources.tables import table
@@ -42,6 +45,33 @@ def op2_minhash_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@register("op3_toxicity")
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents; labels of two thirds of the ids train the model."""
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), toxicity.fold(F.col("doc_id")) != 1)
+    scored = toxicity.score(docs, model, keep=["doc_id"])
+    return scored.select("row.doc_id", (toxicity.fold(F.col("row.doc_id")) == 1).alias("held_out"), "score",
+                         (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+@register("op4_conflict_packing")
+def op4_conflict_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in bins of 2,048 words; no source and no copy twice in a bin."""
+    return pack(table(spark, sf_dir, "documents"))
+
+
+@register("op5_ordinal_quality")
+def op5_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected grade (0 poor, 1 good but toxic, 2 good) and tail probabilities of all documents."""
+    docs = table(spark, sf_dir, "documents")
+    rated = table(spark, sf_dir, "labels").select(
+        "doc_id", ordinal.rating(F.col("quality"), F.col("toxic")).alias("grade"))
+    scored = ordinal.grade(docs, ordinal.fit(docs, rated, top=2), keep=["doc_id"])
+    return scored.select("row.doc_id", "expected_grade", F.col("tails")[0].alias("p_good"),
+                         F.col("tails")[1].alias("p_clean"), (F.col("tails")[0] >= 0.5).alias("kept"))
+
+
 @register("op6_fuzzy_lines")
 def op6_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without the lines that repeat, exactly or nearly, an earlier line."""
@@ -83,3 +113,9 @@ def op9_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_merkle_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Merkle fingerprints of all documents and of their edited texts."""
     return fingerprint_edits(table(spark, sf_dir, "documents"))
+
+
+@register("pipeline", corpus_pipeline.ORACLE_SQL)
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The corpus pipeline over all documents."""
+    return corpus_pipeline.run(spark, sf_dir)
