@@ -13,8 +13,8 @@ locates the edits.
 
 with the root in full and inner hashes shortened.  ``likeness`` of two
 fingerprints is 1 when the roots are equal, else the Dice coefficient of the
-multisets' distinct leaves.  ``edits`` lists the paragraphs of one fingerprint
-that the other does not have.
+distinct leaves.  ``edits`` lists the paragraph branches of one fingerprint that
+the other does not have.
 
 Only DataFrame functions are used; a text is one row, so memory is bounded by
 the longest text.  Edge cases: a null text is an empty text; the tree of an
@@ -46,36 +46,38 @@ def _join_hash(parts: Column) -> Column:
     return F.sha2(F.array_join(parts, ""), 256)
 
 
-def tree(text: Column) -> Column:
-    """Array of sections, each a struct ``h, paragraphs``; paragraphs are ``h, leaves``."""
-    def paragraph(p: Column) -> Column:
-        leaves = F.transform(_cut(p, CLAUSE_RE), lambda c: F.sha2(c, 256))
-        return F.struct(_join_hash(leaves).alias("h"),
-                        F.transform(leaves, lambda x: F.substring(x, 1, SHORT)).alias("leaves"))
+def leaf_hashes(text: Column) -> Column:
+    """Clause hashes of a text: an array (sections) of arrays (paragraphs) of arrays."""
+    return F.transform(_cut(F.coalesce(text, F.lit("")), SECTION_RE), lambda s: F.transform(
+        _cut(s, PARAGRAPH_RE), lambda p: F.transform(_cut(p, CLAUSE_RE), lambda c: F.sha2(c, 256))))
 
-    def section(s: Column) -> Column:
-        return F.transform(_cut(s, PARAGRAPH_RE), paragraph)
 
-    return F.transform(_cut(F.coalesce(text, F.lit("")), SECTION_RE), section)
+def _paragraph_nodes(hashes: Column) -> Column:
+    return F.transform(hashes, lambda s: F.transform(s, lambda p: F.struct(
+        _join_hash(p).alias("h"),
+        F.array_join(F.transform(p, lambda x: F.substring(x, 1, SHORT)), ".").alias("leaves"))))
 
 
-def _serialise(paras: Column) -> Column:
-    """Fingerprint string of an array (sections) of arrays (paragraphs) of structs."""
-    full = F.transform(paras, lambda s: F.transform(s, lambda p: p["h"]))
-    root = _join_hash(F.transform(full, _join_hash))
+def _section_nodes(paragraphs: Column) -> Column:
+    return F.transform(paragraphs, lambda s: F.struct(
+        _join_hash(F.transform(s, lambda p: p["h"])).alias("h"),
+        F.array_join(F.transform(s, lambda p: F.concat(F.substring(p["h"], 1, SHORT), F.lit("="), p["leaves"])),
+                     ",").alias("body")))
 
-    def sec(s: Column) -> Column:
-        head = F.substring(_join_hash(F.transform(s, lambda p: p["h"])), 1, SHORT)
-        body = F.array_join(F.transform(s, lambda p: F.concat(
-            F.substring(p["h"], 1, SHORT), F.lit("="), F.array_join(p["leaves"], "."))), ",")
-        return F.concat(head, F.lit(":"), body)
 
-    return F.concat_ws("/", root, F.array_join(F.transform(paras, sec), "/"))
+def _serialise(sections: Column) -> Column:
+    return F.concat_ws("/", _join_hash(F.transform(sections, lambda s: s["h"])), F.array_join(
+        F.transform(sections, lambda s: F.concat(F.substring(s["h"], 1, SHORT), F.lit(":"), s["body"])), "/"))
 
 
-def fingerprint(text: Column) -> Column:
-    """Serialised Merkle tree of a text."""
-    return _serialise(tree(text))
+def with_fingerprints(df: DataFrame, texts: dict[str, str]) -> DataFrame:
+    """Add the fingerprint of each text column (``{new column: text column}``).
+
+    One step per tree level, so every hash is computed once.
+    """
+    for step in (leaf_hashes, _paragraph_nodes, _section_nodes, _serialise):
+        df = df.withColumns({out: step(F.col(text if step is leaf_hashes else out)) for out, text in texts.items()})
+    return df
 
 
 def root(fp: Column) -> Column:
@@ -106,10 +108,8 @@ def likeness(a: Column, b: Column) -> Column:
 
 
 def edits(a: Column, b: Column) -> Column:
-    """Numbers (from 0) of the paragraphs of ``a`` whose branch ``b`` does not have."""
-    have = paragraphs(b)
-    return F.filter(F.transform(paragraphs(a), lambda p, i: F.when(~F.array_contains(have, p), i)),
-                    lambda i: i.isNotNull())
+    """Distinct paragraph branches (``hash=leaves``) of ``a`` that ``b`` does not have."""
+    return F.array_except(paragraphs(a), paragraphs(b))
 
 
 def _group_of(id_: Column, bounds: list[int]) -> Column:
@@ -163,7 +163,7 @@ def fingerprint_edits(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     Edited: the last ``floor(n_chars / 4)`` code points give way to the first as
     many of the next document.  Columns: ``doc_id, n_chars, edited_sha256,
     fingerprint, edited_fingerprint, near_edited, near_next, edited_at`` (the
-    paragraphs of the edited text that the text does not have).
+    paragraph branches of the edited text that the text does not have).
     """
     t = with_next(docs, id_col=id_col, text_col=text_col)
     n = F.length("text")
@@ -171,12 +171,12 @@ def fingerprint_edits(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     t = t.withColumn("n_chars", n.cast("long")).withColumn(
         "edited", F.concat(F.substring(F.col("text"), F.lit(1), n - k),
                            F.substring(F.col("next_text"), F.lit(1), k)))
-    fp = t.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
-                  fingerprint(F.col("text")).alias("fingerprint"),
-                  fingerprint(F.col("edited")).alias("edited_fingerprint"),
-                  fingerprint(F.col("next_text")).alias("next_fingerprint"))
-    return fp.select(
-        "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
-        likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
-        likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"),
-        edits(F.col("edited_fingerprint"), F.col("fingerprint")).alias("edited_at"))
+    t = t.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "text", "edited", "next_text")
+    fp = with_fingerprints(t, {"fingerprint": "text", "edited_fingerprint": "edited", "next_fingerprint": "next_text"})
+    fp = fp.drop("text", "edited", "next_text").withColumns({
+        f"leaves_{c}": F.array_distinct(leaves(F.col(f"{c}fingerprint"))) for c in ("", "edited_", "next_")})
+    near = lambda c: likeness_of(root(F.col("fingerprint")), F.col("leaves_"),
+                                 root(F.col(f"{c}fingerprint")), F.col(f"leaves_{c}"))
+    return fp.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
+                     near("edited_").alias("near_edited"), near("next_").alias("near_next"),
+                     edits(F.col("edited_fingerprint"), F.col("fingerprint")).alias("edited_at"))
