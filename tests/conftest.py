@@ -5,7 +5,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from tidepool.session import checkpoint_dir, local_session  # noqa: E402
+from tidepool.session import checkpoint_dir, local_session, ship_package  # noqa: E402
 
 SF_SMALL = "/root/testdata/sf0.001"
 SF_ORACLE = "/root/testdata/sf0.01"
@@ -15,5 +15,6 @@ SF_ORACLE = "/root/testdata/sf0.01"
 def spark():
     s = local_session(cores="*", shuffle_partitions=8, app="tidepool-tests")
     checkpoint_dir(s)
+    ship_package(s)
     yield s
     s.stop()

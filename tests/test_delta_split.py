@@ -1,14 +1,12 @@
-"""The chunked delta trigger equals the sequential fold (and the reference golden)."""
+"""The chunked delta trigger equals the sequential fold and a plain walk."""
 
-import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_ORACLE
-from test_golden import CAR_FILE, _java_strings
 from tidepool.operators.delta import delta_trigger_split
-from tidepool.operators.records import parse_tuples
 from tidepool.operators.sequence import running_total, time_blocks
 from tidepool.operators.sequences import delta_trigger_max, position_from
 from tidepool.sources.tables import table
@@ -40,21 +38,42 @@ def test_split_equals_fold_on_events(spark, positions, chunk_rows):
     assert _rows(got, cols) == _rows(want, cols)
 
 
-@pytest.mark.skipif(not os.path.exists(CAR_FILE), reason="reference data file not present")
-@pytest.mark.parametrize("chunk_rows", [16, 4])
-def test_split_top_speeds_golden(spark, chunk_rows):
-    src = open(CAR_FILE, encoding="utf-8").read()
-    cars = _java_strings(src, "CAR_DATA")
-    expected = _java_strings(src, "TOP_SPEEDS")
-    lines = spark.createDataFrame([(i, s) for i, s in enumerate(cars)], "line_no int, line string")
-    parsed = parse_tuples(lines, "line", ["car", "speed", "distance", "t_ms"],
-                          ["int", "int", "double", "long"]).withColumn("ts", F.timestamp_millis("t_ms"))
-    parsed = parsed.withColumn("blk", F.expr("t_ms div 20000"))
+def _walk(rows, delta, keep_us):
+    """Plain walk of one key's rows (time, id, position, measure), sorted."""
+    mark, out = None, []
+    for j, (t, i, p, _) in enumerate(rows):
+        if p is None:
+            continue
+        if mark is None:
+            mark = p
+        elif p - mark > delta:
+            mark = p
+            span = [r for r in rows[:j + 1] if r[0] > t - keep_us]
+            if span:
+                best = max(span, key=lambda r: (-1e300 if r[3] is None else r[3]))
+                out.append((i, best[1]))
+    return out
+
+
+@pytest.mark.parametrize("chunk_rows", [4, 8, 16, 1 << 20])
+def test_split_equals_plain_walk(spark, chunk_rows):
+    """Rare firings, falling positions, spans longer than a chunk, nulls, a null key."""
+    rnd = random.Random(chunk_rows)
+    rows, want = [], set()
+    for key in (1, 2, 3, None):
+        step = {1: 3, 2: 60, 3: 1, None: 25}[key]  # key 3 never fires in a chunk
+        t, p, own = 0, 0, []
+        for i in range(150):
+            t += rnd.choice([0, 1, 1, 30])
+            p += rnd.randint(-step // 2, 2 * step)
+            own.append((t * 1_000_000, i, None if rnd.random() < 0.05 else p,
+                        None if rnd.random() < 0.05 else rnd.randint(0, 9)))
+        rows += [(key, *r) for r in own]
+        want |= {(key, *f) for f in _walk(own, 40, 90 * 1_000_000)}
+    df = (spark.createDataFrame(rows, "k int, t long, id long, p long, m int")
+          .withColumn("ts", F.timestamp_micros("t")))
     stats = {}
-    out = delta_trigger_split(parsed, "car", "ts", ["t_ms"], "distance", "speed", 50, "10 seconds",
-                              ["car", "speed", "distance", "t_ms"], blocks=[["blk"]],
+    got = delta_trigger_split(df, "k", "ts", ["id"], "p", "m", 40, "90 seconds", ["id"], blocks=[],
                               chunk_rows=chunk_rows, stats=stats)
-    # 16-row chunks hold the 10 s frames (1 row/s); 4-row chunks do not: fold fallback
-    assert stats["fallback_keys"] == (0 if chunk_rows == 16 else 2)
-    got = sorted(f"({r.car},{r.speed},{r.distance!r},{r.t_ms})" for r in out.collect())
-    assert got == sorted(expected)
+    assert stats["fallback_keys"] == 0
+    assert {(r.k, r.fire_id, r.id) for r in got.collect()} == want

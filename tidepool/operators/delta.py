@@ -1,20 +1,25 @@
-"""Distance trigger with time eviction, split into chunks of a key's rows.
-
-``delta_trigger_max`` walks each key's rows in one task: every firing depends
-on the mark left by the previous one.  Here a key's rows are numbered (split,
-see ``sequence``) and cut into chunks of ``chunk_rows`` rows; every chunk is
-walked in parallel from an *entry mark* and yields its *exit mark*.  The entry
-of chunk ``c + 1`` must equal the exit of chunk ``c``; the entry of a key's
-first chunk is known (its first row sets the mark).  Starting from guessed
-entries, exits become the next entries until nothing changes: at that fixpoint
-every chunk's entry is the true one (by induction from the first chunk), so the
-result is exact.  Walks from nearby marks merge after a few firings, so one or
-two rounds usually settle it; information needs at most one round per chunk.
-
-Each chunk also sees the previous chunk as a halo, so the eviction frame of a
-firing can reach back across the boundary.  Keys that have not settled after
-``max_rounds``, or whose frame reaches past the halo, are handed to the
-sequential fold, so the answer is exact in every case.
+"""Distance trigger with time eviction, exact and split into chunks of a key's rows.
+
+``delta_trigger_max`` walks each key's rows in one task: every firing depends on
+the mark left by the previous one.  Here a key's rows are numbered (split, see
+``sequence``), cut into chunks of ``chunk_rows`` rows, and handled in parallel:
+
+1. *Transfer table* of a chunk: the mark that leaves it for every mark that can
+   enter.  From any mark the first firing is a running maximum of the position,
+   and so are all later ones (a firing exceeds everything before it), so the
+   table lists the running maxima where the exit changes; above the last one
+   nothing fires and the exit is the entry.
+2. *Entries*: one pass per key over its tables, one lookup per chunk, gives the
+   true entry mark of every chunk.  No rounds, no guesses.
+3. *Firings* of every chunk follow from its entry.  The eviction span of a
+   firing may reach back over many chunks: the chunks it covers whole are
+   answered by their summaries (largest measure, first row that has it), which
+   travel with the pass of step 2; the one chunk it covers in part gets the
+   firing as a request and answers with its own best row.
+4. The best of these is taken with an ordinary aggregate, and the fields of its
+   row are joined by position number.
+
+A task holds one chunk, or one number per chunk of a key's span.
 """
 
 from __future__ import annotations
@@ -29,39 +34,66 @@ from pyspark.sql import types as T
 
 from tidepool.functions.intervals import millis
 from tidepool.operators.sequence import Levels, sequence_number
-from tidepool.operators.sequences import delta_trigger_max, delta_walk
+from tidepool.operators.sequences import first_beyond, running_maxima
 from tidepool.session import checkpoint_dir
 
-_SEQ, _CHUNK, _HALO, _MARK, _EXIT, _OK = "_tp_seq", "_tp_chunk", "_tp_halo", "_tp_mark", "_tp_exit", "_tp_ok"
+_SEQ, _CHUNK = "_tp_seq", "_tp_chunk"
 
 
-def _arrays(pdf: pd.DataFrame, time: str, position: str, measure: str):
-    pdf = pdf.sort_values(_SEQ, kind="stable").reset_index(drop=True)
-    n_halo = int(pdf[_HALO].sum())
-    t_us = pdf[time].to_numpy(dtype="datetime64[us]").astype(np.int64)
-    pos = pdf[position].to_numpy(dtype=np.float64)
-    meas = pdf[measure].to_numpy(dtype=np.float64)
-    return pdf, n_halo, t_us, pos, meas
+def _positions(s: pd.Series, integral: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Running maxima of a position column, as integers when it has no nulls."""
+    exact = integral and s.notna().all()
+    return running_maxima(s.to_numpy(dtype=np.int64) if exact else s.to_numpy(dtype=np.float64, na_value=np.nan))
 
 
-def _mark_of(marks: pd.DataFrame) -> float | None:
-    if len(marks) == 0:
-        return None
-    v = marks[_MARK].iloc[0]
-    return None if v is None or (isinstance(v, float) and np.isnan(v)) else float(v)
+def transfer(v: np.ndarray, delta) -> tuple[np.ndarray, np.ndarray]:
+    """Breakpoints and exits of a chunk whose running maxima are ``v``.
+
+    For an entry mark whose first firing is maximum ``i``, the exit is
+    ``exits[searchsorted(breaks, v[i])]``; runs of equal exits are one break.
+    """
+    n = len(v)
+    if not n:
+        return v, v
+    nxt = first_beyond(v, v, delta)
+    last = np.append(np.where(nxt == n, np.arange(n), nxt), n)   # pointer to a later firing
+    while True:
+        jump = last[last]
+        if (jump == last).all():
+            break
+        last = jump
+    exits = v[last[:n]]
+    end = np.append(exits[1:] != exits[:-1], True)               # last maximum of a run of exits
+    return v[end], exits[end]
+
+
+def leave(mark, breaks: np.ndarray, exits: np.ndarray, delta):
+    """Exit mark of a chunk for an entry mark."""
+    k = int(first_beyond(breaks, mark, delta)) if len(breaks) else 0
+    return mark if k == len(breaks) else exits[k]
+
+
+def _us(s: pd.Series) -> np.ndarray:
+    return s.to_numpy(dtype="datetime64[us]").astype(np.int64)
+
+
+def _measures(s: pd.Series) -> np.ndarray:
+    m = s.to_numpy(dtype=np.float64, na_value=np.nan)
+    return np.where(np.isnan(m), -np.inf, m)
 
 
 def delta_trigger_split(df: DataFrame, key: str, time: str, order: Sequence[str],
                         position: str, measure: str, delta: float, keep: str | int,
                         fields: Sequence[str], blocks: Levels, chunk_rows: int = 1 << 20,
-                        max_rounds: int = 4, stats: dict | None = None) -> DataFrame:
+                        stats: dict | None = None) -> DataFrame:
     """Same result as ``delta_trigger_max``, with a key's rows walked in many tasks.
 
     ``blocks`` split the numbering of a key's rows (see ``running_total``); its
     columns must be in ``df``.  ``chunk_rows`` rows of a key form one chunk.
     Output: ``key``, ``fire_<time>``, ``fire_<order...>``, then ``fields``.
-    ``stats``, if given, receives the rounds used and the number of keys that
-    went to the sequential fold (one extra count).
+    Null keys are a key; a null position never fires, a null measure is the
+    smallest.  ``stats``, if given, receives the number of keys that went to a
+    sequential fold: always 0.
     """
     spark = df.sparkSession
     checkpoint_dir(spark)
@@ -72,74 +104,143 @@ def delta_trigger_split(df: DataFrame, key: str, time: str, order: Sequence[str]
     need = list(dict.fromkeys([key, time, *order, position, measure, *fields]))
     sch = {f.name: f.dataType for f in df.schema.fields}
     fire_cols = [time, *order]
+    integral = isinstance(sch[position], T.IntegralType) and float(delta).is_integer()
+    delta = int(delta) if integral else float(delta)
+    mark_type = T.LongType() if integral else T.DoubleType()
 
     numbered = sequence_number(df.select(*dict.fromkeys(need + block_cols)), [key],
                                [time, *order], blocks, _SEQ)
-    # a reliable checkpoint in the shared folder: every round re-reads these rows
+    # a reliable checkpoint in the shared folder: the steps below re-read these rows
     rows = (numbered.withColumn(_CHUNK, F.expr(f"({_SEQ} - 1) div {chunk_rows}"))
             .select(key, _CHUNK, _SEQ, *need[1:]).checkpoint())
-    grouped = rows.withColumn(_HALO, F.lit(False)).unionByName(
-        rows.withColumn(_CHUNK, F.col(_CHUNK) + 1).withColumn(_HALO, F.lit(True)))
-    chunks = rows.select(key, _CHUNK).distinct()
-
-    exit_schema = T.StructType([T.StructField(key, sch[key]), T.StructField(_CHUNK, T.LongType()),
-                                T.StructField(_EXIT, T.DoubleType())])
-
-    def exits(k, pdf, marks):
-        if len(pdf) == 0 or len(marks) == 0 or pdf[_HALO].all():
-            return pd.DataFrame(columns=[key, _CHUNK, _EXIT])
-        pdf, n_halo, t_us, pos, meas = _arrays(pdf, time, position, measure)
-        _, m = delta_walk(pos, t_us, meas, n_halo, _mark_of(marks), float(delta), keep_us, tops=False)
-        return pd.DataFrame({key: [k[0]], _CHUNK: [int(k[1])], _EXIT: [m]})
-
-    marks = chunks.withColumn(_MARK, F.lit(None).cast("double"))  # guess: fresh start
-    unsettled = None
-    rounds = 0
-    for _ in range(max_rounds):
-        rounds += 1
-        ex = (grouped.groupBy(key, _CHUNK).cogroup(marks.groupBy(key, _CHUNK))
-              .applyInPandas(exits, exit_schema))
-        shifted = ex.select(key, (F.col(_CHUNK) + 1).alias(_CHUNK), F.col(_EXIT).alias(_MARK))
-        new = chunks.join(shifted, [key, _CHUNK], "left").checkpoint()
-        diff = (new.alias("n").join(marks.alias("o"), [key, _CHUNK])
-                .filter(~F.col(f"n.{_MARK}").eqNullSafe(F.col(f"o.{_MARK}"))))
-        marks = new
-        unsettled = diff.select(key).distinct().checkpoint()
-        if unsettled.limit(1).count() == 0:
-            break
-
-    out_fields = [T.StructField(key, sch[key])] + \
-        [T.StructField(f"fire_{c}", sch[c]) for c in fire_cols] + \
-        [T.StructField(c, sch[c]) for c in fields] + [T.StructField(_OK, T.BooleanType())]
-    out_schema = T.StructType(out_fields)
-    out_names = [f.name for f in out_fields]
-
-    def final(k, pdf, mk):
-        if len(pdf) == 0 or len(mk) == 0 or pdf[_HALO].all():
-            return pd.DataFrame(columns=out_names)
-        pdf, n_halo, t_us, pos, meas = _arrays(pdf, time, position, measure)
-        fires, _ = delta_walk(pos, t_us, meas, n_halo, _mark_of(mk), float(delta), keep_us)
-        if not fires:
-            return pd.DataFrame(columns=out_names)
-        fi = np.array([a for a, _ in fires])
-        ti = np.array([b for _, b in fires])
-        res = pd.DataFrame({key: [k[0]] * len(fires)})
-        for c in fire_cols:
-            res[f"fire_{c}"] = pdf[c].to_numpy()[fi]
-        for c in fields:
-            res[c] = pdf[c].to_numpy()[ti]
-        # the frame is complete if it starts after the first halo row, or no rows precede the halo
-        lo = np.searchsorted(t_us, t_us[fi] - keep_us, side="right")
-        res[_OK] = (lo > 0) | (int(k[1]) <= 1)
-        return res[out_names]
-
-    walked = (grouped.groupBy(key, _CHUNK).cogroup(marks.groupBy(key, _CHUNK))
-              .applyInPandas(final, out_schema)).checkpoint()
-    bad = walked.filter(~F.col(_OK)).select(key).unionByName(unsettled).distinct()
+    walk = rows.select(*dict.fromkeys([key, _CHUNK, _SEQ, time, *order, position, measure]))
+
+    def field(name, typ):
+        return T.StructField(name, typ)
+
+    tables_schema = T.StructType([
+        field(key, sch[key]), field(_CHUNK, T.LongType()), field("breaks", T.ArrayType(mark_type)),
+        field("exits", T.ArrayType(mark_type)), field("fresh", mark_type), field("low_us", T.LongType()),
+        field("high_us", T.LongType()), field("best", T.DoubleType()), field("best_seq", T.LongType())])
+
+    def tables(k, pdf):
+        pdf = pdf.sort_values(_SEQ)
+        _, v = _positions(pdf[position], integral)
+        breaks, exits = transfer(v, delta)
+        t, m = _us(pdf[time]), _measures(pdf[measure])
+        fresh = leave(v[0], breaks, exits, delta) if len(v) else None
+        top = int(np.argmax(m))
+        return pd.DataFrame({key: [k[0]], _CHUNK: [int(k[1])], "breaks": [breaks.tolist()],
+                             "exits": [exits.tolist()], "fresh": [fresh], "low_us": [int(t[0])],
+                             "high_us": [int(t[-1])], "best": [m[top]],
+                             "best_seq": [int(pdf[_SEQ].iloc[top])]})[[f.name for f in tables_schema]]
+
+    entry_schema = T.StructType([
+        field(key, sch[key]), field(_CHUNK, T.LongType()), field("entry", mark_type),
+        field("span", T.ArrayType(T.LongType())), field("span_us", T.ArrayType(T.LongType())),
+        field("span_best", T.ArrayType(T.DoubleType())), field("span_seq", T.ArrayType(T.LongType()))])
+
+    def entries(k, pdf):
+        pdf = pdf.sort_values(_CHUNK)
+        chunk, high = pdf[_CHUNK].to_numpy(), pdf["high_us"].to_numpy()
+        mark, out, low = None, [], 0
+        for i, r in enumerate(pdf.itertuples()):
+            while high[low] <= r.low_us - keep_us and low < i:
+                low += 1
+            span = slice(low, i)
+            out.append((k[0], int(chunk[i]), mark, chunk[span].tolist(), high[span].tolist(),
+                        pdf["best"].to_numpy()[span].tolist(), pdf["best_seq"].to_numpy()[span].tolist()))
+            if mark is None or mark != mark:
+                mark = None if r.fresh is None or r.fresh != r.fresh else r.fresh
+            else:
+                mark = leave(mark, np.array(r.breaks), np.array(r.exits), delta)
+            mark = mark if mark is None else (int(mark) if integral else float(mark))
+        res = pd.DataFrame(out, columns=[f.name for f in entry_schema])
+        res["entry"] = res["entry"].astype("Int64" if integral else "float64")
+        return res
+
+    table = walk.groupBy(key, _CHUNK).applyInPandas(tables, tables_schema)
+    entry = table.groupBy(key).applyInPandas(entries, entry_schema).checkpoint()
+
+    fire_schema = T.StructType([
+        field(key, sch[key]), field("fire_seq", T.LongType()), field("best", T.DoubleType()),
+        field("best_seq", T.LongType()), field("ask", T.LongType()), field("after_us", T.LongType())])
+    fire_names = [f.name for f in fire_schema]
+
+    def fire(k, pdf, ent):
+        if not len(pdf):
+            return pd.DataFrame(columns=fire_names)
+        pdf = pdf.sort_values(_SEQ)
+        at, v = _positions(pdf[position], integral)
+        nxt = first_beyond(v, v, delta) if len(v) else at
+        e = ent.iloc[0]
+        i = int(first_beyond(v, e["entry"], delta)) if len(v) and pd.notna(e["entry"]) else (
+            int(nxt[0]) if len(v) else 0)
+        hits = []
+        while i < len(v):
+            hits.append(int(at[i]))
+            i = int(nxt[i])
+        t, m, seq = _us(pdf[time]), _measures(pdf[measure]), pdf[_SEQ].to_numpy()
+        span, span_us = np.asarray(e["span"], dtype=np.int64), np.asarray(e["span_us"], dtype=np.int64)
+        span_best, span_seq = np.asarray(e["span_best"]), np.asarray(e["span_seq"])
+        out = []
+        for j in hits:
+            after = int(t[j]) - keep_us
+            lo = int(np.searchsorted(t, after, side="right"))
+            cand = []
+            if lo <= j:
+                b = lo + int(np.argmax(m[lo:j + 1]))
+                cand.append((m[b], -int(seq[b])))
+            c0 = int(np.searchsorted(span_us, after, side="right"))  # the first chunk that reaches into the span
+            if lo == 0 and c0 < len(span):
+                whole = slice(c0 + 1, len(span))
+                if len(span_best[whole]):
+                    b = c0 + 1 + int(np.argmax(span_best[whole]))
+                    cand.append((span_best[b], -int(span_seq[b])))
+                ask = int(span[c0])
+            else:
+                ask = None
+            if cand or ask is not None:
+                best = max(cand, default=(None, None))
+                out.append((k[0], int(seq[j]), best[0], None if best[1] is None else -best[1], ask, after))
+        res = pd.DataFrame(out, columns=fire_names)
+        for c in ("best_seq", "ask"):
+            res[c] = res[c].astype("Int64")
+        return res
+
+    fired = (walk.groupBy(key, _CHUNK).cogroup(entry.groupBy(key, _CHUNK))
+             .applyInPandas(fire, fire_schema).checkpoint())
+
+    answer_schema = T.StructType(fire_schema.fields[:4])
+
+    def answer(k, pdf, asks):
+        if not len(pdf) or not len(asks):
+            return pd.DataFrame(columns=fire_names[:4])
+        pdf = pdf.sort_values(_SEQ)
+        t, m, seq = _us(pdf[time]), _measures(pdf[measure]), pdf[_SEQ].to_numpy()
+        best = np.empty(len(m), dtype=np.int64)             # first row with the largest measure from here on
+        at = len(m) - 1
+        for i in range(len(m) - 1, -1, -1):
+            if m[i] >= m[at]:
+                at = i
+            best[i] = at
+        lo = np.searchsorted(t, asks["after_us"].to_numpy(), side="right")
+        b = best[lo]
+        return pd.DataFrame({key: [k[0]] * len(asks), "fire_seq": asks["fire_seq"].to_numpy(),
+                             "best": m[b], "best_seq": seq[b]})
+
+    asks = fired.filter("ask is not null").select(key, F.col("ask").alias(_CHUNK), "fire_seq", "after_us")
+    parts = (fired.filter("best_seq is not null").select(*fire_names[:4])
+             .unionByName(walk.groupBy(key, _CHUNK).cogroup(asks.groupBy(key, _CHUNK))
+                          .applyInPandas(answer, answer_schema)))
+    best = parts.groupBy(key, "fire_seq").agg(
+        F.min_by("best_seq", F.struct(-F.col("best"), "best_seq")).alias("best_seq"))
     if stats is not None:
-        stats["rounds"] = rounds
-        stats["fallback_keys"] = bad.count()
-    split_part = walked.join(bad, key, "left_anti").drop(_OK)
-    fallback = delta_trigger_max(df.join(bad, key, "left_semi"), key, time, order, position,
-                                 measure, delta, keep, fields)
-    return split_part.unionByName(fallback.select(*split_part.columns))
+        stats["fallback_keys"] = 0
+    row_key = F.struct(F.col(key), F.col(_SEQ))
+    tops = rows.select(row_key.alias("_tp_top"), *[F.col(c).alias(f"_tp_f_{c}") for c in fields])
+    heads = rows.select(row_key.alias("_tp_head"), *[F.col(c).alias(f"fire_{c}") for c in fire_cols])
+    return (best.withColumn("_tp_head", F.struct(F.col(key), F.col("fire_seq").alias(_SEQ)))
+            .withColumn("_tp_top", F.struct(F.col(key), F.col("best_seq").alias(_SEQ)))
+            .join(heads, "_tp_head").join(tops, "_tp_top")
+            .select(key, *[f"fire_{c}" for c in fire_cols], *[F.col(f"_tp_f_{c}").alias(c) for c in fields]))

@@ -5,30 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidepool.functions.intervals import millis
 from tidepool.operators.topn import top_n
-from tidepool.operators.windows import MAX_DIRECT_OVERLAP, sliding_panes
+from tidepool.operators.windows import sliding
 
 
 def item_view_counts(df: DataFrame, time: str, item: str, size: str, slide: str,
                      behavior_col: str | None = None, behavior: str | None = None) -> DataFrame:
     """``(item_id, window_end, view_count)`` per item and sliding window.
 
-    The filter goes before the exchange (pushed into the scan by Catalyst).
-    Long windows go through panes; few overlaps use ``F.window`` directly.
-    On a stream the direct form is used: a window end made by ``explode``
-    carries no event-time mark, so a second aggregation could not close.
+    The filter goes before the exchange (pushed into the scan by Catalyst);
+    windows are built from panes, on batches and on streams.
     """
     if behavior_col is not None:
         df = df.filter(F.col(behavior_col) == behavior)
     df = df.select(F.col(item).alias("item_id"), time)
-    if millis(size) / millis(slide) > MAX_DIRECT_OVERLAP and not df.isStreaming:
-        return sliding_panes(df, time, size, slide, ["item_id"],
-                             {"view_count": ("count", F.lit(1))}).drop("window_start")
-    return (df.groupBy("item_id", F.window(time, f"{millis(size)} milliseconds",
-                                           f"{millis(slide)} milliseconds").alias("w"))
-            .agg(F.count(F.lit(1)).alias("view_count"))
-            .select("item_id", F.col("w.end").alias("window_end"), "view_count"))
+    return sliding(df, time, size, slide, ["item_id"],
+                   {"view_count": ("count", F.lit(1))}).drop("window_start")
 
 
 def hot_items(df: DataFrame, time: str, item: str, size: str = "60 minutes",

@@ -1,9 +1,8 @@
-"""Broadcast lookup: attach a value from a small key-value set to every row.
+"""Lookup: attach a value from a key-value set to every row.
 
-The dimension is broadcast only after its row count is checked against a
-bound (a ``limit(bound + 1).count()`` job that stops early); above the bound
-the same left join runs as a shuffle join, and AQE may still pick a
-broadcast at runtime from real sizes.
+The join type is left to Spark: known or, under adaptive execution, measured
+sizes decide whether the set is broadcast.  A caller that knows its set to be
+small may ask for the broadcast.  Nothing runs when the query is built.
 """
 
 from __future__ import annotations
@@ -11,15 +10,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A broadcast side is collected through the driver and copied to every executor:
-# keep it to small lookup sets (the reference broadcasts a handful of pairs).
-DEFAULT_BROADCAST_ROWS = 100_000
-
-
-def fits_broadcast(dim: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
-    """True when ``dim`` has at most ``max_rows`` rows (reads at most ``max_rows + 1``)."""
-    return dim.limit(max_rows + 1).count() <= max_rows
-
 
 def last_per_key(dim: DataFrame, key: str, value: str, order: str | Column) -> DataFrame:
     """One value per key: the one on the last row in ``order`` (``putAll``, last wins)."""
@@ -28,17 +18,18 @@ def last_per_key(dim: DataFrame, key: str, value: str, order: str | Column) -> D
 
 
 def broadcast_lookup(df: DataFrame, dim: DataFrame, key: str, dim_key: str, value: str,
-                     out: str | None = None, max_rows: int = DEFAULT_BROADCAST_ROWS,
-                     text: str | None = None) -> DataFrame:
+                     out: str | None = None, text: str | None = None,
+                     broadcast: bool = False) -> DataFrame:
     """Left-outer lookup of ``dim[value]`` by ``df[key] == dim[dim_key]``.
 
     A missing key gives null.  ``dim`` must have one row per key (see
-    ``last_per_key``).  With ``text`` set, also add ``"<key> ---> <value>"``
-    (``null`` for a missing value), the reference's printed form.
+    ``last_per_key``).  ``broadcast=True`` promises that it is small.  With
+    ``text`` set, also add ``"<key> ---> <value>"``
+    (``null`` for a missing value).
     """
     out = out or value
     d = dim.select(F.col(dim_key).alias("_tp_lk"), F.col(value).alias(out))
-    if fits_broadcast(d, max_rows):
+    if broadcast:
         d = F.broadcast(d)
     res = df.join(d, df[key] == d["_tp_lk"], "left").drop("_tp_lk")
     if text:

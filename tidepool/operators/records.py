@@ -28,17 +28,22 @@ def project_json(df: DataFrame, col: str, schema: T.StructType | str,
 
 
 def attach_json(df: DataFrame, col: str, keep: Sequence[str], out: str = "json",
-                schema: T.DataType | str | None = None) -> DataFrame:
+                schema: T.DataType | str | None = None, rejects: bool = False) -> DataFrame:
     """Keep ``keep`` and attach the parsed object of ``col``.
 
-    With a schema the object is a struct re-serialised compactly (``to_json``);
-    without one it is a variant (``parse_json``) rendered back as text.
+    With a schema the object is a struct re-serialised compactly (``to_json``;
+    a decimal field keeps its digits); without one it is a variant rendered back
+    as text.  Text that does not parse gives null; with ``rejects=True`` only
+    those rows come back, ``keep`` and the raw text.
     """
+    variant = F.try_parse_json(F.col(col))
+    if rejects:
+        return df.filter(variant.isNull()).select(*keep, col)
     if schema is not None:
         sch = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
-        obj = F.to_json(F.from_json(F.col(col), sch))
+        obj = F.when(variant.isNotNull(), F.to_json(F.from_json(F.col(col), sch)))
     else:
-        obj = F.to_json(F.parse_json(F.col(col)))
+        obj = F.to_json(variant)
     return df.select(*keep, obj.alias(out))
 
 
@@ -71,6 +76,7 @@ def counted(df: DataFrame, name: str = "num_lines") -> tuple[DataFrame, Observat
 
 
 def tuple_text(cols: Sequence[str | Column]) -> Column:
-    """``(a,b,c)``: the reference's text form of a tuple row."""
+    """``(a,b,c)``: text form of a tuple row; a null field prints ``null``."""
     cs = [F.col(c) if isinstance(c, str) else c for c in cols]
-    return F.concat(F.lit("("), F.concat_ws(",", *[c.cast("string") for c in cs]), F.lit(")"))
+    text = [F.coalesce(c.cast("string"), F.lit("null")) for c in cs]
+    return F.concat(F.lit("("), F.concat_ws(",", *text), F.lit(")"))

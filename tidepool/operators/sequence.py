@@ -6,9 +6,9 @@ is a third of the job.  ``running_total`` splits the order into *blocks*
 (columns that grow with the order, e.g. day and hour of ``ts``, or document
 id ranges) and makes two passes over the input:
 
-1. block totals: a partial + final aggregate per ``(key, blocks)`` (small);
-   a chain of windows over that table gives each block's exclusive offset
-   within its key (level by level, coarse to fine);
+1. block totals: a partial + final aggregate per ``(key, blocks)``; folded level
+   by level, windows over the blocks of one parent give each block's exclusive
+   offset within its key;
 2. the rows plus one offset marker row per block go through one window per
    ``(key, block)``; the marker sorts first, so the running sum starts at the
    block's offset.  Its partitions are bounded by the block size, not by the
@@ -44,26 +44,22 @@ def block_offsets(totals: DataFrame, keys: list[str], levels: list[list[str]]) -
     """Exclusive offset ``_tp_off`` of each finest block within its key.
 
     ``totals`` has one row per ``keys + all level columns`` with the block sum
-    ``_tp_s``.  For level ``i`` the offset of a block inside its parent block
-    is (sum over the parent up to and including this block's peers) minus
-    (sum over this block); the offsets of all levels add up.  Every window is
-    partitioned by ``keys`` plus a prefix of the levels, so one exchange by
-    ``keys`` serves them all.
+    ``_tp_s``.  Level by level: the totals are folded to the parent blocks,
+    whose offsets are found first; a window over the blocks of *one parent*
+    gives the offset inside it, and the two add up.  No window holds more than
+    the blocks of one parent, however many a key has.
     """
-    t = totals
-    parts = []
-    prefix: list[str] = []
-    for i, lvl in enumerate(levels):
-        upto = Window.partitionBy(*keys, *prefix).orderBy(*lvl)  # RANGE up to current peers
-        whole = Window.partitionBy(*keys, *prefix, *lvl)
-        a, b = f"_tp_a{i}", f"_tp_b{i}"
-        t = t.withColumn(a, F.sum(_S).over(upto)).withColumn(b, F.sum(_S).over(whole))
-        parts.append(F.col(a) - F.col(b))
-        prefix = prefix + lvl
-    off = parts[0]
-    for p in parts[1:]:
-        off = off + p
-    return t.select(*keys, *prefix, off.alias(_OFF))
+    parent, last = [c for lvl in levels[:-1] for c in lvl], levels[-1]
+    before = (Window.partitionBy(*keys, *parent).orderBy(*last)
+              .rowsBetween(Window.unboundedPreceding, -1))
+    own = totals.withColumn(_OFF, F.coalesce(F.sum(_S).over(before), F.lit(0)))
+    if parent:
+        above = block_offsets(totals.groupBy(*keys, *parent).agg(F.sum(_S).alias(_S)), keys, levels[:-1])
+        up = F.struct(*keys, *parent)  # structs compare nulls as equal
+        own = (own.withColumn("_tp_up", up)
+               .join(above.select(up.alias("_tp_up"), F.col(_OFF).alias("_tp_up_off")), "_tp_up")
+               .withColumn(_OFF, F.col(_OFF) + F.col("_tp_up_off")))
+    return own.select(*keys, *parent, *last, _OFF)
 
 
 def running_total(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
@@ -110,10 +106,6 @@ def time_blocks(df: DataFrame, ts: str, units: Sequence[str] = ("day", "hour"),
     return df, names
 
 
-def drop_blocks(df: DataFrame, prefix: str = "_tp_blk_") -> DataFrame:
-    return df.drop(*[c for c in df.columns if c.startswith(prefix)])
-
-
 def running_max(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
                 block: str, value: str | Column, out: str = "running_max",
                 inclusive: bool = True) -> DataFrame:

@@ -5,10 +5,10 @@ All numbering goes through ``sequence_number`` (split by blocks, see
 batches are then plain aggregations over derived group ids, combined
 map-side, so one hot key does not end up in one task.
 
-``delta_trigger_max`` is a true left-to-right fold (each trigger depends on
-the previous one).  It streams each key's rows in order through one task with
-``mapInPandas``; memory is bounded by the eviction span, like the reference's
-keyed window state.
+``delta_trigger_max`` is a left-to-right fold (each trigger depends on the
+previous one): it streams each key's rows in order through one task, with memory
+bounded by the eviction span.  ``delta.delta_trigger_split`` gives the same rows
+with a key's rows walked in many tasks.
 """
 
 from __future__ import annotations
@@ -93,9 +93,31 @@ def full_batches(df: DataFrame, keys: Sequence[str], order: Sequence[str], n: in
 # ---------------------------------------------------------------------------
 # Distance trigger with time eviction
 
+def first_beyond(v: np.ndarray, mark, delta) -> np.ndarray:
+    """First number of ``v`` (ascending) with ``v - mark > delta``, for each mark."""
+    mark = np.asarray(mark)
+    k = np.searchsorted(v, mark + delta, side="right")
+    while True:  # the sum and the difference may round differently
+        down = (k > 0) & (v[np.maximum(k, 1) - 1] - mark > delta)
+        up = (k < len(v)) & ~(v[np.minimum(k, len(v) - 1)] - mark > delta)
+        if not (down.any() or up.any()):
+            return k
+        k = k - down + (up & ~down)
+
+
+def running_maxima(pos: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Row numbers and values of the running maxima of ``pos`` (NaN never is one)."""
+    if not len(pos):
+        return np.zeros(0, dtype=np.int64), pos
+    p = np.where(np.isnan(pos), -np.inf, pos) if pos.dtype.kind == "f" else pos
+    top = np.maximum.accumulate(p)
+    at = np.flatnonzero(np.append(True, top[1:] > top[:-1]))
+    at = at[np.isfinite(p[at])]
+    return at, p[at]
+
+
 def delta_walk(pos: np.ndarray, t_us: np.ndarray, meas: np.ndarray, first_new: int,
-               mark: float | None, delta: float, keep_us: int, tops: bool = True
-               ) -> tuple[list[tuple[int, int]], float | None]:
+               mark: float | None, delta: float, keep_us: int) -> tuple[list[tuple[int, int]], float | None]:
     """Walk one key's rows (sorted by time) from ``first_new`` on.
 
     Rows before ``first_new`` are carried rows still inside the eviction span.
@@ -103,39 +125,26 @@ def delta_walk(pos: np.ndarray, t_us: np.ndarray, meas: np.ndarray, first_new: i
     pairs.  The first row ever seen sets the mark; a row more than ``delta``
     past the mark fires and becomes the mark; the top row is the first row
     with the largest measure among rows up to the firing one whose time is
-    after ``fire time - keep``.  With ``tops=False`` only the mark is tracked
-    (fires are returned with top ``-1``).
+    after ``fire time - keep``.  A firing row exceeds every new row before it,
+    so only running maxima are looked at.
     """
-    e = len(pos)
-    fires: list[tuple[int, int]] = []
-    i = first_new
-    if i >= e:
-        return fires, mark
-    m = mark
-    if m is None:
-        m = float(pos[i])
-        i += 1
-    monotone = bool(np.all(np.diff(pos) >= 0)) if e > 1 else True
-    while i < e:
-        if monotone:
-            # first row with pos beyond mark + delta, then settle the exact test
-            j = max(int(np.searchsorted(pos, m + delta, side="left")) - 1, i)
-        else:
-            j = i
-        while j < e and not (pos[j] - m > delta):
-            j += 1
-        if j >= e:
-            break
-        m = float(pos[j])
-        if not tops:
-            fires.append((j, -1))
-            i = j + 1
-            continue
+    at, v = running_maxima(pos[first_new:])
+    if not len(v):
+        return [], mark
+    nxt = first_beyond(v, v, delta)
+    meas = np.where(np.isnan(meas), -np.inf, meas)
+    if mark is None:
+        mark, i = v[0], int(nxt[0])
+    else:
+        i = int(first_beyond(v, mark, delta))
+    fires = []
+    while i < len(v):
+        j, mark = first_new + int(at[i]), v[i]
         lo = int(np.searchsorted(t_us, t_us[j] - keep_us, side="right"))
         if lo <= j:  # an empty window after eviction emits nothing
             fires.append((j, lo + int(np.argmax(meas[lo:j + 1]))))
-        i = j + 1
-    return fires, m
+        i = int(nxt[i])
+    return fires, float(mark)
 
 
 def keep_span(t_us: np.ndarray, keep_us: int) -> int:

@@ -1,4 +1,4 @@
-"""Time windows: tumbling, sliding (direct or by panes), sessions.
+"""Time windows: tumbling, sliding (by panes), sessions.
 
 Windows are aligned to the epoch like the reference's assigners (offset 0).
 All of them work on batch and streaming DataFrames; on streams add
@@ -8,16 +8,12 @@ All of them work on batch and streaming DataFrames; on streams add
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from math import gcd
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidepool.functions.intervals import interval_col, millis, spark_interval
-
-# Sliding windows with more overlaps than this per row go through panes:
-# F.window(size, slide) writes size/slide copies of every input row, the pane
-# form writes one partial row per (key, pane) and spreads only those.
-MAX_DIRECT_OVERLAP = 4
+from tidepool.functions.intervals import millis, spark_interval
 
 _MERGE = {"sum": F.sum, "count": F.sum, "min": F.min, "max": F.max}
 _PARTIAL = {"sum": F.sum, "count": F.count, "min": F.min, "max": F.max}
@@ -30,49 +26,48 @@ def tumbling(df: DataFrame, time: str, size: str | int, keys: Sequence[str],
             .agg(*aggs))
 
 
-def sliding(df: DataFrame, time: str, size: str | int, slide: str | int,
-            keys: Sequence[str], aggs: Sequence[Column]) -> DataFrame:
-    """Aggregate per key and sliding window; each row lands in size/slide windows.
-
-    For few overlaps only.  Use ``sliding_panes`` for long windows with short
-    slides (decomposable measures only).
-    """
-    overlaps = millis(size) / millis(slide)
-    if overlaps > MAX_DIRECT_OVERLAP:
-        raise ValueError(f"{overlaps:.0f} overlaps per row: use sliding_panes")
-    return (df.groupBy(*keys, F.window(time, spark_interval(size), spark_interval(slide))
-                       .alias("window"))
-            .agg(*aggs))
-
+def sliding(df: DataFrame, time: str, size: str | int, slide: str | int, keys: Sequence[str],
+            measures: Mapping[str, tuple[str, Column | str]]) -> DataFrame:
+    """Sliding windows of any size and slide, by panes.
 
-def sliding_panes(df: DataFrame, time: str, size: str | int, slide: str | int,
-                  keys: Sequence[str], measures: Mapping[str, tuple[str, Column | str]]
-                  ) -> DataFrame:
-    """Sliding windows by panes: aggregate per slide-sized pane, then spread.
+    Rows are first aggregated per pane of ``gcd(size, slide)``; only the pane
+    aggregates are copied to the windows that hold them, so a row is written
+    once however many windows overlap.  ``measures`` maps an output name to
+    ``(kind, expr)`` with kind one of ``sum``, ``count``, ``min``, ``max`` (any
+    measure that merges).  Output: ``keys``, ``window_start``, ``window_end``,
+    measures; only windows that hold a row.
 
-    ``measures`` maps an output name to ``(kind, expr)`` with kind one of
-    ``sum``, ``count``, ``min``, ``max`` (any measure that merges).  Output
-    columns: ``keys``, ``window_start``, ``window_end``, measures.  Only windows
-    holding at least one row are produced, like the direct form.
+    On a stream the second aggregation is a window over the panes' own time, so
+    its windows close by the same watermark (append mode).
     """
     size_ms, slide_ms = millis(size), millis(slide)
-    if size_ms % slide_ms:
-        raise ValueError("sliding_panes needs the slide to divide the size")
+    pane_ms = gcd(size_ms, slide_ms)
     parts = []
     for name, (kind, expr) in measures.items():
         c = F.col(expr) if isinstance(expr, str) else expr
         parts.append(_PARTIAL[kind](c).alias(name))
-    panes = (df.groupBy(*keys, F.window(time, spark_interval(slide)).alias("_pane"))
-             .agg(*parts))
-    # A pane ending at e belongs to the windows ending at e, e+slide, ..., e+size-slide.
-    spread = panes.withColumn(
-        "window_end",
-        F.explode(F.sequence(F.col("_pane.end"),
-                             F.col("_pane.end") + interval_col(size_ms - slide_ms),
-                             interval_col(slide_ms))))
-    merged = spread.groupBy(*keys, "window_end").agg(
-        *[_MERGE[kind](name).alias(name) for name, (kind, _) in measures.items()])
-    return merged.withColumn("window_start", F.col("window_end") - interval_col(size_ms))
+    merge = [_MERGE[kind](name).alias(name) for name, (kind, _) in measures.items()]
+    panes = df.groupBy(*keys, F.window(time, spark_interval(pane_ms)).alias("_pane")).agg(*parts)
+    if df.isStreaming:
+        # the pane's own time is its last instant, so it falls into the windows that hold the pane
+        out = panes.groupBy(*keys, F.window(F.window_time("_pane"), spark_interval(size_ms),
+                                            spark_interval(slide_ms)).alias("_w")).agg(*merge)
+        return out.select(*keys, F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end"),
+                          *measures)
+    dtype = panes.schema["_pane"].dataType["start"].dataType.simpleString()
+    start_ms = F.unix_millis(F.col("_pane.start").cast("timestamp"))
+    # window starts are the multiples of slide in (pane end - size, pane start]
+    last = F.floor(start_ms / slide_ms).cast("long")
+    first = F.floor((start_ms + pane_ms - size_ms + slide_ms - 1) / slide_ms).cast("long")
+    spread = panes.filter(first <= last).withColumn("_at", F.explode(F.sequence(first, last)))
+    spread = spread.withColumn("_at", F.col("_at") * slide_ms)
+    back = lambda ms: F.timestamp_millis(ms).cast(dtype)
+    return (spread.groupBy(*keys, "_at").agg(*merge)
+            .select(*keys, back(F.col("_at")).alias("window_start"), back(F.col("_at") + size_ms).alias("window_end"),
+                    *measures))
+
+
+sliding_panes = sliding
 
 
 def sessions(df: DataFrame, keys: Sequence[str], time: str, gap: str | int,
@@ -90,7 +85,7 @@ def sessions(df: DataFrame, keys: Sequence[str], time: str, gap: str | int,
 def split_sessions(df: DataFrame, keys: Sequence[str], time: str, gap: str | int,
                    measures: Mapping[str, tuple[str, Column | str]],
                    first: Mapping[str, str] | None = None, order: Sequence[str] = (),
-                   block_unit: str = "day") -> DataFrame:
+                   block_unit: str = "hour") -> DataFrame:
     """Session windows per key, split by time blocks so a hot key is not one task.
 
     Same result as ``sessions`` (batch only).  ``session_window`` alone sends

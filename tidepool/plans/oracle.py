@@ -4,7 +4,7 @@ from __future__ import annotations
 
 ORACLE: dict[str, str] = {}
 
-_HOT = """
+HOT_ITEMS = """
 WITH v AS (
   SELECT CAST(json_extract_string(props, '$.k') AS BIGINT) AS item_id, ts
   FROM events WHERE event_type = 'view'),
@@ -16,10 +16,10 @@ r AS (SELECT *, row_number() OVER (PARTITION BY window_end ORDER BY view_count D
 SELECT window_end, CAST(rn AS INTEGER) AS rank, item_id, view_count FROM r WHERE rn <= 5
 """
 
-ORACLE["hot_items"] = _HOT
+ORACLE["hot_items"] = HOT_ITEMS
 
 ORACLE["hot_items_report"] = f"""
-WITH t AS ({_HOT})
+WITH t AS ({HOT_ITEMS})
 SELECT window_end,
   '====================================' || chr(10) || 'time: ' ||
   strftime(window_end, '%Y-%m-%d %H:%M:%S') || '.' || CAST(CAST(microsecond(window_end) / 100000 AS INTEGER) AS VARCHAR) || chr(10) ||
@@ -208,9 +208,33 @@ WITH e AS (SELECT *, CASE WHEN event_type = 'error' THEN ts END AS mark FROM eve
 w AS (SELECT *, max(mark) OVER (ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS wm_before,
              time_bucket(INTERVAL '1 hour', ts) AS ws FROM e),
 ok AS (SELECT * FROM w
-       WHERE wm_before IS NULL OR wm_before < ws + INTERVAL '1 hour' - INTERVAL '1 microsecond'),
+       WHERE wm_before IS NULL OR wm_before < ws + INTERVAL '1 hour' - INTERVAL '1 millisecond'),
 r AS (SELECT *, row_number() OVER (PARTITION BY event_type, ws ORDER BY value, ts, event_id) AS rn FROM ok),
 fin AS (SELECT max(mark) AS fwm FROM e)
 SELECT event_type, ws AS window_start, ws + INTERVAL '1 hour' AS window_end, event_id, ts, user_id, value
-FROM r, fin WHERE rn = 1 AND ws + INTERVAL '1 hour' - INTERVAL '1 microsecond' <= fwm
+FROM r, fin WHERE rn = 1 AND ws + INTERVAL '1 hour' - INTERVAL '1 millisecond' <= fwm
+"""
+
+ORACLE["counted_total"] = "SELECT count(*) AS num_lines FROM orders"
+
+ORACLE["json_attach_broken"] = """
+SELECT event_id, CASE WHEN event_id % 10 <> 0 THEN CAST(json(props) AS VARCHAR) END AS json FROM events
+"""
+
+ORACLE["json_rejects"] = """
+SELECT event_id, substr(props, 1, length(props) - 1) AS props FROM events WHERE event_id % 10 = 0
+"""
+
+ORACLE["tuple_text_nulls"] = """
+SELECT '(' || o_orderkey || ',' || CASE WHEN o_orderstatus = 'O' THEN 'O' ELSE 'null' END || ',' || o_custkey || ')' AS line
+FROM orders
+"""
+
+ORACLE["sliding_uneven"] = """
+SELECT event_type, window_start, window_start + INTERVAL '50 minutes' AS window_end,
+       count(*) AS n, min(value) AS low, max(value) AS high
+FROM (SELECT event_type, value, ts, time_bucket(INTERVAL '20 minutes', ts, TIMESTAMP '1970-01-01') - INTERVAL (20 * k) MINUTE AS window_start
+      FROM events, generate_series(0, 2) AS g(k))
+WHERE ts < window_start + INTERVAL '50 minutes'
+GROUP BY ALL
 """

@@ -19,21 +19,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidepool.operators.aggregates import max_row, min_row
+from tidepool.operators.delta import delta_trigger_split
 from tidepool.operators.hot import hot_items
 from tidepool.operators.lookup import broadcast_lookup, last_per_key
 from tidepool.operators.records import attach_json, counted, project_json, tuple_text
 from tidepool.operators.sequence import time_blocks
-from tidepool.operators.sequences import (count_window, delta_trigger_max, every_n_average,
-                                          full_batches, position_from)
+from tidepool.operators.sequences import count_window, every_n_average, full_batches, position_from
 from tidepool.operators.sequence import running_total
 from tidepool.operators.text import running_count, split_words, tokenize, word_count
 from tidepool.operators.topn import format_top_n
-from tidepool.operators.windows import sliding, sliding_panes, split_sessions, tumbling
+from tidepool.operators.windows import sliding, split_sessions, tumbling
 from tidepool.plans.registry import register
 from tidepool.sources.tables import events_with_item, table
 from tidepool.streaming.punctuated import punctuated_windows
 
 EVENT_ORDER = ["ts", "event_id"]
+SPREAD = 32               # tasks for tokenizing a table that is one row group
 TEXT_BLOCK = 256          # texts per block for per-word sequences
 ARRIVAL_BLOCK = 1 << 20   # rows per block for the global running maximum
 
@@ -68,7 +69,7 @@ def q_hot_items_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("word_count")
 def q_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lower-cased ``\\W+`` tokens of every document, counted."""
-    docs = table(spark, sf_dir, "documents", spread=True)
+    docs = table(spark, sf_dir, "documents", SPREAD)
     return word_count(tokenize(docs, "text"))
 
 
@@ -81,14 +82,14 @@ def q_word_count_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("ws_word_count")
 def q_ws_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversation texts split on single whitespace characters (Java rules), counted."""
-    conv = table(spark, sf_dir, "conversations", spread=True)
+    conv = table(spark, sf_dir, "conversations", SPREAD)
     return word_count(split_words(conv, "text"))
 
 
 @register("running_count")
 def q_running_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Running count of each word over all conversation turns, one row per token."""
-    conv = table(spark, sf_dir, "conversations", spread=True)
+    conv = table(spark, sf_dir, "conversations", SPREAD)
     toks = tokenize(conv, "text", keep=["conv_id", "turn"], pos="pos")
     toks = toks.withColumn("_tp_cblk", F.expr(f"conv_id div {TEXT_BLOCK}"))
     out = running_count(toks, ["conv_id", "turn", "pos"], [["_tp_cblk"]])
@@ -98,7 +99,7 @@ def q_running_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("word_count_window")
 def q_word_count_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Count window per word over documents: every 3 occurrences, the last 5."""
-    docs = table(spark, sf_dir, "documents", spread=True)
+    docs = table(spark, sf_dir, "documents", SPREAD)
     toks = tokenize(docs, "text", keep=["doc_id"], pos="pos").withColumn("one", F.lit(1))
     toks = toks.withColumn("_tp_dblk", F.expr(f"doc_id div {TEXT_BLOCK}"))
     return count_window(toks, ["word"], ["doc_id", "pos"], 5, 3, "one", [["_tp_dblk"]])
@@ -124,19 +125,27 @@ def q_tumbling_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_sliding_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sliding sum per event type, 150 min every 30 min (the 2.5 / 0.5 shape), by panes."""
     ev = table(spark, sf_dir, "events")
-    out = sliding_panes(ev, "ts", "150 minutes", "30 minutes", ["event_type"],
+    out = sliding(ev, "ts", "150 minutes", "30 minutes", ["event_type"],
                         {"value_sum": ("sum", "value"), "n": ("count", F.lit(1))})
     return _round_value_sum(out.select("event_type", "window_start", "window_end", "value_sum", "n"))
 
 
 @register("sliding_count")
 def q_sliding_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sliding count and sum per event type, 20 min every 10 min (the 2 / 1 shape), direct."""
+    """Sliding count and sum per event type, 20 min every 10 min (the 2 / 1 shape)."""
     ev = table(spark, sf_dir, "events")
     out = sliding(ev, "ts", "20 minutes", "10 minutes", ["event_type"],
-                  [F.sum("value").alias("value_sum"), F.count(F.lit(1)).alias("n")])
-    return _round_value_sum(out.select("event_type", F.col("window.start").alias("window_start"),
-                                       F.col("window.end").alias("window_end"), "value_sum", "n"))
+                  {"value_sum": ("sum", "value"), "n": ("count", F.lit(1))})
+    return _round_value_sum(out.select("event_type", "window_start", "window_end", "value_sum", "n"))
+
+
+@register("sliding_uneven")
+def q_sliding_uneven(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sliding windows whose slide does not divide the size: 50 min every 20 min."""
+    ev = table(spark, sf_dir, "events")
+    out = sliding(ev, "ts", "50 minutes", "20 minutes", ["event_type"],
+                  {"n": ("count", F.lit(1)), "low": ("min", "value"), "high": ("max", "value")})
+    return out.select("event_type", "window_start", "window_end", "n", "low", "high")
 
 
 @register("tumbling_min_row")
@@ -154,7 +163,7 @@ def q_tumbling_min_row(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_user_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sessions per user with a 30 min gap: sum of value, first event type, size.
 
-    Split by day so one busy user's sessions are built in many tasks."""
+    Split by hour so one busy user's sessions are built in many tasks."""
     ev = table(spark, sf_dir, "events")
     out = split_sessions(ev, ["user_id"], "ts", "30 minutes",
                          {"value_sum": ("sum", "value"), "n": ("count", F.lit(1))},
@@ -180,10 +189,9 @@ def q_every_n_average(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
         F.col("l_quantity").cast("long").alias("qty"))
-    li = li.withColumn("_tp_lblk", F.expr("l_linenumber div 64"))
     # line numbers repeat within an order in this data: part and supplier break ties
     return every_n_average(li, ["l_orderkey"], ["l_linenumber", "l_partkey", "l_suppkey"],
-                           "qty", 2, [["_tp_lblk"]])
+                           "qty", 2, [])  # an order has a handful of lines
 
 
 @register("every_n_average_events")
@@ -209,8 +217,8 @@ def q_delta_trigger_max(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev, blocks = _events_blocked(spark, sf_dir, "value")
     ev = ev.withColumn("cents", position_from("value"))
     pos = running_total(ev, ["user_id"], EVENT_ORDER, blocks, "cents", "pos")
-    return delta_trigger_max(pos, "user_id", "ts", ["event_id"], "pos", "value",
-                             delta=50_000, keep="1 day", fields=["event_id", "ts", "value", "pos"])
+    return delta_trigger_split(pos, "user_id", "ts", ["event_id"], "pos", "value", delta=50_000, keep="1 day",
+                               fields=["event_id", "ts", "value", "pos"], blocks=blocks)
 
 
 # --- lookups, records -------------------------------------------------------
@@ -247,6 +255,31 @@ def q_json_attach(spark: SparkSession, sf_dir: str) -> DataFrame:
     return attach_json(ev, "props", ["event_id"], out="json")
 
 
+@register("json_attach_broken")
+def q_json_attach_broken(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same where every tenth text is cut short: null for those."""
+    return attach_json(_with_bad_json(spark, sf_dir), "props", ["event_id"], out="json")
+
+
+def _with_bad_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = table(spark, sf_dir, "events")
+    broken = F.expr("substring(props, 1, length(props) - 1)")
+    return ev.withColumn("props", F.when(F.col("event_id") % 10 == 0, broken).otherwise(F.col("props")))
+
+
+@register("json_rejects")
+def q_json_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The texts that do not parse (every tenth is cut short)."""
+    return attach_json(_with_bad_json(spark, sf_dir), "props", ["event_id"], rejects=True)
+
+
+@register("tuple_text_nulls")
+def q_tuple_text_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as tuple text; a status other than O is null."""
+    o = table(spark, sf_dir, "orders").withColumn("s", F.when(F.col("o_orderstatus") == "O", F.col("o_orderstatus")))
+    return o.select(tuple_text(["o_orderkey", "s", "o_custkey"]).alias("line"))
+
+
 @register("counted_rows")
 def q_counted_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders passed through an identity step that counts rows (an observation)."""
@@ -254,12 +287,20 @@ def q_counted_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df
 
 
+@register("counted_total")
+def q_counted_total(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The number an observation has counted after a job has used the rows."""
+    df, seen = counted(table(spark, sf_dir, "orders"), "num_lines")
+    df.write.format("noop").mode("overwrite").save()
+    return spark.range(1).select(F.lit(seen.get["num_lines"]).cast("long").alias("num_lines"))
+
+
 @register("tumbling_max_row")
 def q_tumbling_max_row(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per event type and hour, the row with the largest value (first in time on ties)."""
     ev = table(spark, sf_dir, "events")
     out = tumbling(ev, "ts", "1 hour", ["event_type"],
-                   [max_row("value", EVENT_ORDER, ["event_id", "ts", "user_id", "value"]).alias("m")])
+                   [max_row("value", [("ts", "time"), "event_id"], ["event_id", "ts", "user_id", "value"]).alias("m")])
     return out.select("event_type", F.col("window.start").alias("window_start"),
                       F.col("window.end").alias("window_end"), "m.event_id", "m.ts",
                       "m.user_id", "m.value")

@@ -7,7 +7,10 @@ tests and the bench.  Nothing here overrides a setting the cluster already has.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
+import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -53,20 +56,43 @@ def ensure_defaults(spark: SparkSession) -> SparkSession:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    The cluster's setting always wins.  Only when it is unset (local tests) a
-    fresh folder is made under the system temp directory and registered.
+    The cluster names it.  Where it is unset only a local session, whose tasks
+    run on the driver's machine, gets a temporary folder; elsewhere that would
+    be a folder the executors cannot see, and it is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     d = sc.getConf().get("spark.checkpoint.dir", None)
-    if not d:
+    if not d and re.match(r"local(\[|$)", sc.master):
         d = tempfile.mkdtemp(prefix="tidepool-ckpt-")
+    if not d:
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path for intermediate tables under the shared checkpoint folder."""
-    return os.path.join(checkpoint_dir(spark), name)
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new path under the shared checkpoint folder."""
+    return os.path.join(checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex}")
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package's source to the Python workers, once per session.
+
+    Needed where the package is not installed on the executors.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_tidepool_shipped", False):
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="tidepool-src-"), "tidepool.zip")
+    with zipfile.ZipFile(out, "w") as z:
+        for folder, _, names in os.walk(here):
+            for n in names:
+                if n.endswith(".py"):
+                    full = os.path.join(folder, n)
+                    z.write(full, os.path.relpath(full, os.path.dirname(here)))
+    sc.addPyFile(out)  # Spark serves the file to the executors
+    sc._tidepool_shipped = True

@@ -18,13 +18,3 @@ def write_text(df: DataFrame, path: str, cols: Sequence[str] | None = None,
                mode: str = "overwrite") -> None:
     """Write rows as tuple text, one line per row, one file per partition."""
     as_tuple_lines(df, cols).write.mode(mode).text(path)
-
-
-def show(df: DataFrame, n: int = 20, truncate: bool = False) -> None:
-    """Print rows on the driver (bounded by ``n``: only for inspection)."""
-    df.show(n, truncate=truncate)
-
-
-def discard(df: DataFrame) -> None:
-    """Run the whole plan and drop the rows (the ``noop`` sink)."""
-    df.write.format("noop").mode("overwrite").save()

@@ -14,50 +14,17 @@ TABLES = (
 )
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+def table(spark: SparkSession, sf_dir: str, name: str, partitions: int | None = None) -> DataFrame:
     """One driver table as a DataFrame (parquet; pushdown and pruning by Catalyst).
 
-    ``spread=True`` is for CPU-heavy per-row work (tokenizing whole texts):
-    see ``spread_scan``.
+    ``partitions`` deals the rows out to that many tasks; for a table that is
+    one row group (read by one task) before CPU-heavy work per row.
     """
     df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
-    return spread_scan(df) if spread else df
-
-
-def spread_scan(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that has fewer input splits than the session has cores.
-
-    A table stored as one parquet row group is read by one task, and all
-    per-row work up to the first exchange runs in that task.  Large inputs
-    have many splits and are returned unchanged (no extra shuffle).  Filters
-    and column pruning still reach the scan below the repartition.
-    """
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < cores:
-            return df.repartition(cores)
-    except Exception:  # noqa: BLE001 - e.g. a client session without RDD access
-        pass
-    return df
+    return df.repartition(partitions) if partitions else df
 
 
 def events_with_item(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` with the item id of ``props`` (``{"k": n}``) as ``item_id``."""
     ev = table(spark, sf_dir, "events")
     return ev.withColumn("item_id", F.get_json_object("props", "$.k").cast("long"))
-
-
-def as_event_time(df: DataFrame, col: str = "ts", out: str | None = None) -> DataFrame:
-    """Cast a ``timestamp_ntz`` column to ``timestamp`` (session zone UTC).
-
-    ``withWatermark`` and the streaming window operators only accept
-    ``timestamp``; with the session zone at UTC the wall-clock value is kept.
-    """
-    return df.withColumn(out or col, F.col(col).cast("timestamp"))
-
-
-def as_wall_time(df: DataFrame, *cols: str) -> DataFrame:
-    """Cast ``timestamp`` columns back to ``timestamp_ntz`` for comparison."""
-    for c in cols:
-        df = df.withColumn(c, F.col(c).cast("timestamp_ntz"))
-    return df

@@ -6,7 +6,7 @@ form over a recorded, arrival-ordered sequence (e.g. lines with their
 offsets): the watermark before each row is the highest marker time among the
 rows that arrived earlier; a row whose window is already closed by then is
 late and dropped; a window is emitted only once some marker has closed it
-(``window end - 1 µs <= marker time``).
+(``window end - tick <= marker time``, tick 1 ms).
 """
 
 from __future__ import annotations
@@ -42,7 +42,8 @@ def parse_marked_lines(df: DataFrame, col: str, fields: Sequence[tuple[str, str]
 
 def punctuated_windows(df: DataFrame, seq: str, time: str, is_marker: str | Column,
                        keys: Sequence[str], size: str | int, aggs: Sequence[Column],
-                       block: str, emit_open: bool = False) -> DataFrame:
+                       block: str, emit_open: bool = False,
+                       tick: str = "1 millisecond") -> DataFrame:
     """Tumbling windows under a punctuated watermark (batch form).
 
     ``seq`` is the arrival order, ``block`` a coarse column monotone in it
@@ -52,15 +53,12 @@ def punctuated_windows(df: DataFrame, seq: str, time: str, is_marker: str | Colu
     m = F.col(is_marker) if isinstance(is_marker, str) else is_marker
     marked = df.withColumn("_tp_mark", F.when(m, F.col(time)))
     wm = running_max(marked, [], [seq], block, "_tp_mark", "_tp_wm_before", inclusive=False)
-    tick = F.expr("INTERVAL 1 MICROSECOND")
+    last = F.col("window.end") - F.expr(f"INTERVAL {tick}")
     win = F.window(time, spark_interval(size))
     with_win = wm.withColumn("window", win)
     on_time = with_win.filter(F.col("_tp_wm_before").isNull()
-                              | (F.col("_tp_wm_before") < F.col("window.end") - tick))
+                              | (F.col("_tp_wm_before") < last))
     out = on_time.groupBy(*keys, "window").agg(*aggs)
     if emit_open:
         return out
-    final = marked.agg(F.max("_tp_mark").alias("_tp_final_wm"))  # one row
-    return (out.join(F.broadcast(final), F.col("window.end") - tick <= F.col("_tp_final_wm"))
-            .drop("_tp_final_wm"))
-
+    return out.filter(last <= marked.agg(F.max("_tp_mark")).scalar())

@@ -68,8 +68,9 @@ def every_n_average_stream(df: DataFrame, key: str, order: Sequence[str], value:
 
 def count_window_stream(df: DataFrame, key: str, order: Sequence[str], size: int, slide: int,
                         value: str, out: str = "window_sum") -> DataFrame:
-    """Every ``slide`` rows of a key, the sum of its last ``size`` values."""
+    """Every ``slide`` rows of a key, the sum of its last ``size`` values (nulls skipped)."""
     vtype = _field(df, value).dataType
+    integral = isinstance(vtype, T.IntegralType)
     out_schema = T.StructType([_field(df, key), T.StructField("fire_seq", T.LongType()),
                                T.StructField(out, vtype), T.StructField("n_rows", T.LongType())])
     state_schema = T.StructType([T.StructField("count", T.LongType()),
@@ -80,19 +81,24 @@ def count_window_stream(df: DataFrame, key: str, order: Sequence[str], size: int
         cnt, last = state.get if state.exists else (0, [])
         last = list(last or [])
         frames = [p for p in pdfs if len(p)]
-        v = pd.concat(frames).sort_values(order)[value].to_numpy() if frames else np.zeros(0)
-        allv = np.r_[np.asarray(last, dtype=v.dtype if len(v) else float), v]
-        csum = np.r_[0, np.cumsum(allv)]
+        v = (pd.concat(frames).sort_values(order)[value].reset_index(drop=True) if frames
+             else pd.Series(dtype="float64"))
+        v = v.astype("Int64") if integral else v.astype("Float64")
+        allv = pd.concat([pd.Series(last, dtype=v.dtype), v], ignore_index=True)
         seqs = cnt + np.arange(1, len(v) + 1)                # position of each new row
         fire = np.flatnonzero(seqs % slide == 0)
         if len(fire):
             hi = len(last) + fire + 1                         # exclusive end in allv
             lo = np.maximum(hi - size, np.maximum(0, len(last) - cnt))
+            # each window is summed by itself: a null blanks no other window, and
+            # no digits are lost in differences of long running sums
+            sums = [allv.iloc[a:b].sum(min_count=1) for a, b in zip(lo, hi)]
             rows = pd.DataFrame({key: [k[0]] * len(fire), "fire_seq": seqs[fire],
-                                 out: csum[hi] - csum[lo], "n_rows": hi - lo})
+                                 out: pd.Series(sums, dtype=allv.dtype), "n_rows": hi - lo})
             yield rows[[key, "fire_seq", out, "n_rows"]]
         keep_n = size - 1
-        state.update((int(cnt + len(v)), allv[len(allv) - keep_n:].tolist() if keep_n else []))
+        rest = allv.iloc[max(0, len(allv) - keep_n):]
+        state.update((int(cnt + len(v)), [None if pd.isna(x) else (int(x) if integral else float(x)) for x in rest]))
 
     return df.groupBy(key).applyInPandasWithState(
         step, out_schema, state_schema, "append", GroupStateTimeout.NoTimeout)
@@ -127,7 +133,8 @@ def buffered_stream(df: DataFrame, key: str, order: Sequence[str], n: int,
 
     def step(k, pdfs, state):
         emitted, buf = state.get if state.exists else (0, None)
-        new = [p.sort_values(order)[fields] for p in pdfs if len(p)]
+        frames = [p for p in pdfs if len(p)]  # a key's rows come in several pieces: join, then sort once
+        new = [pd.concat(frames, ignore_index=True).sort_values(order, kind="stable")[fields]] if frames else []
         parts = ([_from_ipc(bytes(buf))] if buf else []) + new
         allrows = pd.concat(parts, ignore_index=True) if parts else pd.DataFrame(columns=fields)
         full = (len(allrows) // n) * n
@@ -151,48 +158,63 @@ def delta_trigger_stream(df: DataFrame, key: str, time: str, order: Sequence[str
                          fields: Sequence[str]) -> DataFrame:
     """Stream form of ``delta_trigger_max``: mark and eviction span kept in state.
 
-    Output: ``key``, ``fire_<time>``, then ``fields`` of the top row.  Fields
-    must be numeric (the span is kept as arrays).
+    Output: ``key``, ``fire_<time>``, then ``fields`` of the top row.  The rows
+    of the span are kept as Arrow bytes, exact for every column type.
     """
     keep_us = millis(keep) * 1000
     fields = [f for f in fields if f != key]
     out_schema = T.StructType([_field(df, key), T.StructField(f"fire_{time}", _field(df, time).dataType)]
                               + [_field(df, f) for f in fields])
-    state_schema = T.StructType([
-        T.StructField("mark", T.DoubleType()),
-        T.StructField("t_us", T.ArrayType(T.LongType())),
-        T.StructField("pos", T.ArrayType(T.DoubleType())),
-        T.StructField("meas", T.ArrayType(T.DoubleType())),
-        T.StructField("vals", T.ArrayType(T.ArrayType(T.DoubleType())))])
+    state_schema = T.StructType([T.StructField("mark", T.DoubleType()), T.StructField("span", T.BinaryType())])
     cols = [time, *order]
-    integral = {f for f in fields
-                if isinstance(_field(df, f).dataType, (T.LongType, T.IntegerType, T.ShortType))}
+    need = list(dict.fromkeys([*cols, position, measure, *fields]))
 
     def step(k, pdfs, state):
-        mark, t_old, p_old, m_old, v_old = state.get if state.exists else (None, [], [], [], [])
-        new = pd.concat(list(pdfs), ignore_index=True).sort_values(cols)
-        t_new = new[time].to_numpy(dtype="datetime64[us]").astype(np.int64)
-        n_old = len(t_old or [])
-        t_us = np.r_[np.asarray(t_old or [], dtype=np.int64), t_new]
-        pos = np.r_[np.asarray(p_old or [], dtype=np.float64), new[position].to_numpy(np.float64)]
-        meas = np.r_[np.asarray(m_old or [], dtype=np.float64), new[measure].to_numpy(np.float64)]
-        vals = np.vstack([np.asarray(v_old, dtype=np.float64).reshape(n_old, len(fields)),
-                          new[fields].to_numpy(np.float64).reshape(len(new), len(fields))])
-        fires, mark = delta_walk(pos, t_us, meas, n_old, mark, float(delta), keep_us)
-        cut = keep_span(t_us, keep_us)
-        state.update((mark, t_us[cut:].tolist(), pos[cut:].tolist(), meas[cut:].tolist(),
-                      vals[cut:].tolist()))
+        mark, span = state.get if state.exists else (None, None)
+        new = pd.concat([p for p in pdfs if len(p)] or [pd.DataFrame(columns=need)],
+                        ignore_index=True).sort_values(cols, kind="stable")[need]
+        old = _from_ipc(bytes(span)) if span else new.iloc[:0]
+        rows = pd.concat([old, new], ignore_index=True) if len(old) else new.reset_index(drop=True)
+        if not len(rows):
+            return
+        t_us = rows[time].to_numpy(dtype="datetime64[us]").astype(np.int64)
+        fires, mark = delta_walk(rows[position].to_numpy(np.float64), t_us, rows[measure].to_numpy(np.float64),
+                                 len(old), mark, float(delta), keep_us)
+        state.update((mark, _to_ipc(rows.iloc[keep_span(t_us, keep_us):].reset_index(drop=True))))
         if fires:
-            fi = np.array([a for a, _ in fires])
-            ti = np.array([b for _, b in fires])
-            res = pd.DataFrame({key: [k[0]] * len(fires),
-                                f"fire_{time}": pd.to_datetime(t_us[fi], unit="us")})
-            for j, f in enumerate(fields):
-                col = vals[ti, j]
-                if f in integral:
-                    col = np.rint(col).astype(np.int64)
-                res[f] = col
+            fi = [a for a, _ in fires]
+            ti = [b for _, b in fires]
+            res = rows[fields].iloc[ti].reset_index(drop=True)
+            res.insert(0, f"fire_{time}", rows[time].iloc[fi].to_numpy())
+            res.insert(0, key, k[0])
             yield res
 
     return df.groupBy(key).applyInPandasWithState(
         step, out_schema, state_schema, "append", GroupStateTimeout.NoTimeout)
+
+
+def running_count_stream(words: DataFrame, order: Sequence[str], keep: Sequence[str],
+                         word: str = "word", out: str = "running_count") -> DataFrame:
+    """Running count of each word, one output row per token: the count is the state.
+
+    Output: ``keep``, ``word``, the count.
+    """
+    keep = [c for c in keep if c != word]
+    out_schema = T.StructType([_field(words, c) for c in keep] + [_field(words, word), T.StructField(out, T.LongType())])
+    state_schema = T.StructType([T.StructField("count", T.LongType())])
+    order = list(order)
+
+    def step(k, pdfs, state):
+        (count,) = state.get if state.exists else (0,)
+        frames = [p for p in pdfs if len(p)]
+        if not frames:
+            return
+        rows = pd.concat(frames, ignore_index=True).sort_values(order, kind="stable").reset_index(drop=True)
+        res = rows[keep].copy()
+        res[word] = k[0]
+        res[out] = count + np.arange(1, len(rows) + 1)
+        state.update((int(count + len(rows)),))
+        yield res
+
+    return words.groupBy(word).applyInPandasWithState(
+        step, out_schema, state_schema, "append", GroupStateTimeout.NoTimeout)

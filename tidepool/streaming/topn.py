@@ -25,11 +25,11 @@ def stream_top_n(counts: DataFrame, group: Sequence[str], order: Sequence[str |
     """Append the top ``n`` rows of every closed group of ``counts`` to ``path``.
 
     ``counts`` must be an append-mode windowed aggregation (with a watermark).
-    A retried micro-batch may append its rows again; deduplicate on
-    ``(group, rank)`` downstream if the sink must be exactly once.
+    Each micro-batch writes its own folder ``<path>/batch=<id>`` and overwrites
+    it when it is retried, so every group appears once.
     """
-    def each(batch: DataFrame, _epoch: int) -> None:
-        top_n(batch, group, order, n).write.mode("append").format(fmt).save(path)
+    def each(batch: DataFrame, epoch: int) -> None:
+        top_n(batch, group, order, n).write.mode("overwrite").format(fmt).save(f"{path}/batch={epoch}")
 
     return start(counts, output_mode="append", foreach_batch=each, checkpoint=checkpoint,
                  trigger=trigger)
