@@ -12,7 +12,8 @@ from tidepool.operators.sequences import (count_window, delta_trigger_max, every
                                           full_batches, position_from)
 from tidepool.operators.text import split_words, tokenize, word_count
 from tidepool.operators.windows import sessions, tumbling
-from tidepool.sources.replay import drop_sentinel, replay_stream, write_replay
+from replay import drop_sentinel, write_replay
+from tidepool.sources.replay import replay_stream
 from tidepool.sources.tables import table
 from tidepool.sources.text import read_lines
 from tidepool.streaming import stateful
