@@ -13,7 +13,7 @@ SF_ORACLE = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
-    s = local_session(cores="*", shuffle_partitions=8, app="tidepool-tests")
+    s = local_session(cores=os.environ.get("TEST_CORES", "*"), shuffle_partitions=8, app="tidepool-tests")
     checkpoint_dir(s)
     ship_package(s)
     yield s
