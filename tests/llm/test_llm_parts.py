@@ -4,13 +4,14 @@ import random
 
 import brute
 import numpy as np
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tidepool.llm import archive, lines, ordinal, packing, suffix, toxicity
+from tidepool.llm import archive, graph, lines, ordinal, packing, suffix, toxicity
 from tidepool.llm.common import shingle_set, word_hashes
-from tidepool.llm.graph import components, linked_components
+from tidepool.llm.graph import components
 from tidepool.llm.merkle import edits, likeness, with_fingerprints
 
 
@@ -63,10 +64,35 @@ def test_components_and_links(spark):
         union.join(a, b)
     got = {r["node"]: r["root"] for r in components(spark.createDataFrame(pairs, "a long, b long")).collect()}
     assert got == {x: union.find(x) for x in union.up if union.find(x) != x}
-    # a list of 40 nodes whose links form a path: every pair has to be looked at
-    posts = spark.createDataFrame([(1, i, 1) for i in range(40)] + [(2, 50, 1)], "token long, node long, weight long")
-    roots, _ = linked_components(posts, lambda p: p.filter(F.col("b") - F.col("a") == 1))
-    assert {r["node"]: r["root"] for r in roots.collect()} == {i: 0 for i in range(1, 40)}
+
+
+@pytest.mark.parametrize("sizes", [(64, 256), (4, 256), (2, 6)])
+def test_links_of_lists(spark, monkeypatch, sizes):
+    """Short lists, long lists in blocks, components larger than a block: no link is lost."""
+    monkeypatch.setattr(graph, "SHORT", sizes[0])
+    monkeypatch.setattr(graph, "BLOCK", sizes[1])
+    rng = random.Random(9)
+    to_set = lambda data: np.frombuffer(data, dtype=np.uint64)  # noqa: E731  (workers cannot import this file)
+    sets, base = {}, [list(range(1000 * f, 1000 * f + 40)) for f in range(3)]
+    for n in range(90):  # families of texts that are alike; only some pairs are links
+        s = set(base[n % 3])
+        for x in rng.sample(base[n % 3], rng.choice([0, 2, 6, 9])):
+            s = s - {x} | {10_000 + 100 * n + x % 100}
+        sets[n] = s
+    posts = [(t, n, len(s)) for n, s in sets.items() for t in (n % 3, 7 + n % 3, 50 + n % 2)]
+    union = brute.Union()
+    for a in sets:
+        for b in sets:
+            both = len(sets[a] & sets[b])
+            if a < b and 100 * both >= 75 * (len(sets[a]) + len(sets[b]) - both):
+                union.join(a, b)
+    items = [(n, bytearray(np.array(sorted(s), dtype=np.uint64).tobytes())) for n, s in sets.items()]
+    roots, links = graph.linked_components(
+        spark.createDataFrame(posts, "token long, node long, weight long"),
+        spark.createDataFrame(items, "node long, item binary"), to_set, 75)
+    got = {r["node"]: r["root"] for r in roots.collect()}
+    assert {n: got.get(n, n) for n in sets} == {n: union.find(n) for n in sets}
+    assert all(r["a"] < r["b"] for r in links.collect())
 
 
 def test_decoding_restores_disguised_words():

@@ -5,25 +5,39 @@ larger, then its smaller neighbours to the smallest one it knows) until nothing
 changes: a distributed union-find with a logarithmic number of rounds for which
 no node, link or component goes to the driver.
 
-``linked_components`` turns posting lists into components.  Testing every pair
-of a list is quadratic in its length, and unnecessary: two nodes that are
-already connected need no test.  Each round tests the members of a list against
-its ``c`` foremost members, leaving out pairs within a component and pairs that
-were tested before; then lists whose members are all connected, or all of whose
-pairs have been tested, drop out, and ``c`` grows eightfold.  The loop ends when
-no list is left, so no link between different components is lost: a list is
-given up only when it is one component or was tested completely.
+``linked_components`` turns posting lists of sets into components under an exact
+Jaccard threshold.  Testing every pair of a list as rows is quadratic in its
+length, and mostly unnecessary, as connected nodes need no test:
+
+1. *Star*: every member of a list is tested against its foremost member.
+2. *Short lists* (up to ``SHORT`` members) whose members are not all connected by
+   then: every pair from different components is tested.
+3. *Long lists* that are not all connected: lists that share members are joined
+   to groups, a group is cut into blocks of about ``BLOCK`` nodes, and pairs of
+   blocks are compared inside a task, by products of their incidence matrices.
+   No pair is emitted unless it connects two components, a large component has
+   blocks of its own, and blocks of one component are not compared.
+
+Every pair of a list is thus tested or connected, so no link between different
+components is lost; a task holds two blocks.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidepool.llm.common import cut
 
+SHORT = 64
+BLOCK = 256
+COLUMNS = 8192      # elements whose incidence is held at a time
+ToSet = Callable[[bytes], np.ndarray]
+
 
 def _state(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
@@ -56,50 +70,149 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     return e.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
-def linked_components(postings: DataFrame, confirm: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, DataFrame]:
+def _pair_batches(batches: Iterator[pa.RecordBatch], to_set: ToSet, percent: int) -> Iterator[pa.RecordBatch]:
+    """Rows ``a, b, item_a, item_b`` to the pairs whose sets are similar."""
+    sets: dict[int, np.ndarray] = {}
+
+    def get(node: int, item: pa.Scalar) -> np.ndarray:
+        s = sets.get(node)
+        if s is None:
+            if len(sets) >= 1024:
+                sets.clear()
+            s = sets[node] = to_set(item.as_py())
+        return s
+
+    for batch in batches:
+        a, b = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+        keep = []
+        for i in range(len(a)):
+            x, y = get(a[i], batch.column(2)[i]), get(b[i], batch.column(3)[i])
+            both = len(np.intersect1d(x, y, assume_unique=True))
+            if 100 * both >= percent * (len(x) + len(y) - both):
+                keep.append(i)
+        yield pa.RecordBatch.from_arrays([pa.array([a[i] for i in keep], pa.int64()),
+                                          pa.array([b[i] for i in keep], pa.int64())], names=["a", "b"])
+
+
+def common_counts(sets: list[np.ndarray]) -> np.ndarray:
+    """Sizes of all pairwise intersections."""
+    n = len(sets)
+    which = np.repeat(np.arange(n), [len(s) for s in sets])
+    _, column, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = count[column] > 1                       # an element of one set only adds nothing
+    which, column = which[shared], column[shared]
+    _, column = np.unique(column, return_inverse=True)
+    order = np.argsort(column, kind="stable")
+    which, column = which[order], column[order]
+    total = np.zeros((n, n), dtype=np.float64)
+    for a in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
+        part = slice(*np.searchsorted(column, (a, a + COLUMNS)))
+        m = np.zeros((n, COLUMNS), dtype=np.float32)
+        m[which[part], column[part] - a] = 1
+        total += m @ m.T
+    return total.astype(np.int64)
+
+
+def connecting_links(nodes: list[int], comps: list[int], sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Similar pairs that connect different components, none twice."""
+    size = np.array([len(s) for s in sets])
+    both = common_counts(sets)
+    near = np.triu(100 * both >= percent * (size[:, None] + size[None] - both), 1)
+    up = {c: c for c in comps}
+
+    def find(x: int) -> int:
+        while up[x] != x:
+            up[x] = up[up[x]]
+            x = up[x]
+        return x
+
+    out = []
+    for i, j in zip(*np.nonzero(near)):
+        a, b = find(comps[i]), find(comps[j])
+        if a != b:
+            up[max(a, b)] = min(a, b)
+            out.append((min(nodes[i], nodes[j]), max(nodes[i], nodes[j])))
+    return out
+
+
+def _block_links(lists: DataFrame, items: DataFrame, to_set: ToSet, percent: int) -> DataFrame:
+    """Links between members of long lists (``token, node, comp``), compared block by block."""
+    first = cut(lists.groupBy("token").agg(F.min("node").alias("b")), "list-firsts")
+    group = components(lists.join(first, "token").filter("node <> b").select(F.col("node").alias("a"), "b").distinct())
+    nodes = (lists.select("node", "comp").distinct().join(group, "node", "left")
+             .select("node", "comp", F.coalesce("root", "node").alias("grp")))
+    nodes = cut(nodes, "group-nodes")
+    sizes = nodes.groupBy("grp", "comp").agg(F.count("*").alias("n"))
+    small = sizes.filter(F.col("n") <= BLOCK).groupBy("grp").agg(F.sum("n").alias("rest"))
+    sizes = cut(sizes.join(small, "grp", "left").withColumnRenamed("grp", "g").withColumnRenamed("comp", "c"), "group-sizes")
+    large = F.col("n") > BLOCK
+    parts = F.ceil(F.when(large, F.col("n")).otherwise(F.col("rest")) / BLOCK)
+    part = F.pmod(F.xxhash64(F.when(large, F.col("node")).otherwise(F.col("comp"))), parts)
+    placed = (nodes.join(sizes, (F.col("grp") == F.col("g")) & (F.col("comp") == F.col("c")))
+              .select("grp", "node", "comp", F.when(large, F.col("comp")).alias("pure"), part.alias("part")))
+    placed = cut(placed.withColumn("blk", F.xxhash64("grp", "pure", "part")), "blocks")
+    blocks = placed.select("grp", "pure", "blk").distinct()
+    x, y = blocks.toDF("grp", "pure1", "blk1"), blocks.toDF("grp", "pure2", "blk2")
+    pairs = (x.join(y, "grp").filter((F.col("blk1") <= F.col("blk2"))
+                                     & F.coalesce(F.col("pure1") != F.col("pure2"), F.lit(True)))
+             .select(F.xxhash64("blk1", "blk2").alias("pair"), F.explode(F.array_distinct(F.array("blk1", "blk2"))).alias("blk")))
+    rows = placed.select("blk", "node", "comp").join(cut(pairs, "block-pairs"), "blk").join(items, "node")
+
+    def compare(t: pa.Table) -> pa.Table:
+        t = t.sort_by("node")
+        found = connecting_links(t["node"].to_pylist(), t["comp"].to_pylist(),
+                                 [to_set(v.as_py()) for v in t["item"]], percent)
+        return pa.table({"a": pa.array([a for a, _ in found], pa.int64()),
+                         "b": pa.array([b for _, b in found], pa.int64())})
+
+    return rows.select("pair", "node", "comp", "item").groupBy("pair").applyInArrow(compare, "a long, b long")
+
+
+def linked_components(postings: DataFrame, items: DataFrame, to_set: ToSet, percent: int,
+                      likely: Callable[[DataFrame], DataFrame] = lambda pairs: pairs) -> tuple[DataFrame, DataFrame]:
     """Components (``node, root``) and confirmed links (``a, b``) of posting lists.
 
-    ``postings`` has ``token, node, weight`` (a list's members are tried in the
-    order of falling weight); ``confirm`` takes candidate pairs ``a < b`` and
-    returns the linked ones.
+    ``postings`` has ``token, node, weight`` (the member of a list with the
+    largest weight is its foremost), ``items`` has ``node, item``; ``to_set``
+    turns an item into its sorted distinct 64-bit elements.  ``likely`` may drop
+    candidate pairs (``a < b``) that cannot reach ``percent``.
     """
-    spark = postings.sparkSession
-    links = tested = None
-    roots = None
-    done, width = 0, 1
-    while True:
-        if roots is None:
-            lists = postings.withColumn("comp", F.col("node"))
-        else:
-            lists = (postings.join(roots, "node", "left")
-                     .withColumn("comp", F.coalesce("root", "node")).drop("root"))
-        active = cut(lists.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"),
-                                                F.count("*").alias("m"))
-                     .filter((F.col("lo") != F.col("hi")) & (F.col("m") > done + 1))
-                     .select("token", "m"), "active-lists")
-        if active.isEmpty():
-            break
-        live = cut(lists.join(active.select("token"), "token"), "live-lists")
-        order = Window.partitionBy("token").orderBy(F.col("weight").desc(), "node")
-        heads = cut(live.withColumn("place", F.row_number().over(order))
-                    .filter((F.col("place") <= width) & (F.col("place") > done))
-                    .select("token", F.col("node").alias("head"), F.col("comp").alias("head_comp")), "heads")
-        pairs = (live.join(heads, "token").filter("node <> head and comp <> head_comp")
-                 .select(F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b"))
-                 .distinct())
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = cut(pairs, "pairs")
-        found = cut(confirm(pairs), "links")
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        links = found if links is None else links.unionByName(found)
-        if not found.isEmpty():
-            roots = cut(components(links), "components")
-        postings = live.select("token", "node", "weight")
-        done, width = width, width * 8
-    kind = postings.schema["node"].dataType.simpleString()
-    if links is None:
-        links = spark.createDataFrame([], f"a {kind}, b {kind}")
-    if roots is None:
-        roots = spark.createDataFrame([], f"node {kind}, root {kind}")
+    def confirm(pairs: DataFrame) -> DataFrame:
+        pairs = cut(likely(cut(pairs, "pairs")), "likely-pairs")
+        full = (pairs.join(items.toDF("b", "item_b"), "b").join(items.toDF("a", "item_a"), "a")
+                .select("a", "b", "item_a", "item_b"))
+        return cut(full.mapInArrow(lambda it: _pair_batches(it, to_set, percent), "a long, b long"), "links")
+
+    def ordered(x: str, y: str) -> list:
+        return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
+
+    def open_lists(roots: DataFrame) -> DataFrame:
+        """Members of the lists that are not one component."""
+        known = (postings.join(roots, "node", "left")
+                 .select("token", "node", F.coalesce("root", "node").alias("comp")))
+        left = cut(known.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("m"))
+                   .filter("lo <> hi").select("token", "m"), "open-lists")
+        return cut(known.join(left, "token"), "open-members")
+
+    postings = cut(postings.join(cut(postings.groupBy("token").agg(F.count("*").alias("m")).filter("m > 1")
+                                     .select("token"), "lists"), "token"), "postings")
+    # the foremost member, map-side combined: a long list is one row per task
+    head = cut(postings.groupBy("token").agg(F.max(F.struct("weight", F.bitwise_not("node").alias("n"))).alias("h"))
+               .select("token", F.bitwise_not("h.n").alias("head")), "heads")
+    links = confirm(postings.join(head, "token").filter("node <> head").select(*ordered("node", "head")).distinct())
+    roots = cut(components(links), "components")
+    members = open_lists(roots)
+    short = members.filter(F.col("m") <= SHORT).select("token", "node", "comp")
+    pairs = (short.join(short.toDF("token", "node2", "comp2"), "token").filter("node < node2 and comp <> comp2")
+             .select(*ordered("node", "node2")).distinct())
+    more = confirm(pairs)
+    if not more.isEmpty():
+        links = links.unionByName(more)
+        roots = cut(components(links), "components")
+        members = open_lists(roots)
+    long = members.filter(F.col("m") > SHORT).select("token", "node", "comp")
+    if not long.isEmpty():
+        more = cut(_block_links(long, items, to_set, percent), "block-links")
+        links = links.unionByName(more)
+        roots = cut(components(links), "components")
     return roots, links

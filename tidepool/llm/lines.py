@@ -125,22 +125,9 @@ def _pick_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 names=["node", "form"])
 
 
-def _similar(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    grams = lambda s: {s[i:i + GRAM] for i in range(len(s) - GRAM + 1)}
-    last, last_set = None, set()
-    for batch in batches:
-        a, b, fa, fb = (batch.column(i) for i in range(4))
-        a, b = a.to_pylist(), b.to_pylist()
-        keep = []
-        for i in range(len(a)):
-            if a[i] != last:
-                last, last_set = a[i], grams(fa[i].as_py())
-            other = grams(fb[i].as_py())
-            both = len(last_set & other)
-            if 100 * both >= percent * (len(last_set) + len(other) - both):
-                keep.append(i)
-        yield pa.RecordBatch.from_arrays([pa.array([a[i] for i in keep], pa.int64()),
-                                          pa.array([b[i] for i in keep], pa.int64())], names=["a", "b"])
+def form_set(text: str) -> np.ndarray:
+    """Distinct shingle hashes of a form."""
+    return np.unique(gram_hashes(np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)))
 
 
 def repeated_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
@@ -163,12 +150,7 @@ def repeated_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
                 .dropDuplicates(["doc_id"]).select("z", "nos")
                 .mapInArrow(_pick_lines, "node long, form string"), "line-forms")
 
-    def confirm(pairs: DataFrame) -> DataFrame:
-        full = (pairs.join(forms.toDF("b", "fb"), "b").join(forms.toDF("a", "fa"), "a")
-                .select("a", "b", "fa", "fb"))
-        return full.mapInArrow(lambda it: _similar(it, percent), "a long, b long")
-
-    roots, _ = linked_components(posted, confirm)
+    roots, _ = linked_components(posted, forms.select("node", F.col("form").alias("item")), form_set, percent)
     keyed = (lines.select("doc_id", "line_no", "node").join(roots, "node", "left")
              .select("doc_id", "line_no", F.coalesce("root", "node").alias("comp")))
     first = cut(keyed.groupBy("comp").agg(F.min(F.struct("doc_id", "line_no")).alias("first"),

@@ -12,7 +12,8 @@
    collisions are counted.  Common lines and words therefore build no long lists.
 4. *Merge.*  ``graph.linked_components`` walks the lists.  A pair stays when it
    collides in ``match`` of the ``K`` coordinates, and is a link when the exact
-   Jaccard similarity of the full sets reaches the threshold.
+   Jaccard similarity of the full sets reaches the threshold; long lists of
+   texts that are alike without being linked are compared in blocks.
 
 With ``K = 48`` and ``match = 21`` a pair at similarity 0.75 has 36 expected
 collisions; fewer than 21 happen about once in a million such pairs.
@@ -94,23 +95,9 @@ def packed_texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         _pack, "doc_id long, z binary")
 
 
-def _same(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    unpack = zstandard.ZstdDecompressor()
-    last, last_set = None, None
-    for batch in batches:
-        a, b = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-        za, zb = batch.column(2), batch.column(3)
-        keep = []
-        for i in range(len(a)):
-            if a[i] != last:
-                last = a[i]
-                last_set = shingle_set(next(word_hashes([unpack.decompress(za[i].as_py())])), SHINGLE)
-            other = shingle_set(next(word_hashes([unpack.decompress(zb[i].as_py())])), SHINGLE)
-            both = len(np.intersect1d(last_set, other, assume_unique=True))
-            if 100 * both >= percent * (len(last_set) + len(other) - both):
-                keep.append(i)
-        yield pa.RecordBatch.from_arrays([pa.array([a[i] for i in keep], pa.int64()),
-                                          pa.array([b[i] for i in keep], pa.int64())], names=["a", "b"])
+def text_set(z: bytes) -> np.ndarray:
+    """Shingle set of a packed text."""
+    return shingle_set(next(word_hashes([zstandard.ZstdDecompressor().decompress(z)])), SHINGLE)
 
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
@@ -140,17 +127,15 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     texts = cut(packed_texts(docs, id_col, text_col).join(cand.select("rep"), F.col("doc_id") == F.col("rep"))
                 .dropDuplicates(["rep"]).select("rep", "z"), "candidate-texts")
 
-    def confirm(pairs: DataFrame) -> DataFrame:
-        toks = cand.select("rep", "toks")
-        near = (pairs.join(toks.toDF("b", "tb"), "b").join(toks.toDF("a", "ta"), "a")
+    toks = cand.select("rep", "toks")
+
+    def colliding(pairs: DataFrame) -> DataFrame:
+        return (pairs.join(toks.toDF("b", "tb"), "b").join(toks.toDF("a", "ta"), "a")
                 .filter(F.size(F.array_intersect("ta", "tb")) >= match).select("a", "b"))
-        near = cut(near, "colliding-pairs")
-        full = (near.join(texts.toDF("b", "zb"), "b").join(texts.toDF("a", "za"), "a")
-                .select("a", "b", "za", "zb"))
-        return full.mapInArrow(lambda it: _same(it, percent), "a long, b long")
 
     roots, links = linked_components(
-        cand.select(F.explode("prefix").alias("token"), F.col("rep").alias("node"), "weight"), confirm)
+        cand.select(F.explode("prefix").alias("token"), F.col("rep").alias("node"), "weight"),
+        texts.select(F.col("rep").alias("node"), F.col("z").alias("item")), text_set, percent, colliding)
     ends = links.select(F.explode(F.array("a", "b")).alias("r")).groupBy("r").agg(F.count("*").alias("n_links"))
     label = cut(classes.select("rep", "h.h1", "h.h2").join(roots, F.col("rep") == F.col("node"), "left")
                 .join(ends, F.col("rep") == F.col("r"), "left")
