@@ -16,6 +16,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupStateTimeout
 
@@ -194,27 +195,32 @@ def delta_trigger_stream(df: DataFrame, key: str, time: str, order: Sequence[str
 
 
 def running_count_stream(words: DataFrame, order: Sequence[str], keep: Sequence[str],
-                         word: str = "word", out: str = "running_count") -> DataFrame:
-    """Running count of each word, one output row per token: the count is the state.
+                         word: str = "word", out: str = "running_count", buckets: int = 512) -> DataFrame:
+    """Running count of each word, one output row per token: the counts are the state.
 
-    Output: ``keep``, ``word``, the count.
+    Words are grouped into ``buckets`` by hash, as a state per word costs a call
+    per word and micro-batch; choose more for a larger vocabulary (the counts of
+    a bucket are rewritten when it gets rows).  Output: ``keep``, ``word``, the count.
     """
     keep = [c for c in keep if c != word]
     out_schema = T.StructType([_field(words, c) for c in keep] + [_field(words, word), T.StructField(out, T.LongType())])
-    state_schema = T.StructType([T.StructField("count", T.LongType())])
+    state_schema = T.StructType([T.StructField("counts", T.BinaryType())])
     order = list(order)
 
-    def step(k, pdfs, state):
-        (count,) = state.get if state.exists else (0,)
+    def step(_k, pdfs, state):
         frames = [p for p in pdfs if len(p)]
         if not frames:
             return
         rows = pd.concat(frames, ignore_index=True).sort_values(order, kind="stable").reset_index(drop=True)
-        res = rows[keep].copy()
-        res[word] = k[0]
-        res[out] = count + np.arange(1, len(rows) + 1)
-        state.update((int(count + len(rows)),))
+        old = (_from_ipc(bytes(state.get[0])).set_index("w")["n"] if state.exists
+               else pd.Series([], index=pd.Index([], dtype=object), dtype="int64"))
+        seen = rows.groupby(word, sort=False).cumcount() + 1
+        res = rows[[*keep, word]].copy()
+        res[out] = rows[word].map(old).fillna(0).astype("int64") + seen
+        total = old.add(rows[word].value_counts(), fill_value=0).astype("int64")
+        state.update((_to_ipc(pd.DataFrame({"w": total.index, "n": total.to_numpy()})),))
         yield res
 
-    return words.groupBy(word).applyInPandasWithState(
+    bucketed = words.withColumn("_tp_bucket", F.pmod(F.xxhash64(word), F.lit(buckets)))
+    return bucketed.groupBy("_tp_bucket").applyInPandasWithState(
         step, out_schema, state_schema, "append", GroupStateTimeout.NoTimeout)
