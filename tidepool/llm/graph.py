@@ -2,8 +2,8 @@
 
 ``components`` alternates large-star and small-star steps (each node hands its
 larger, then its smaller neighbours to the smallest one it knows) until nothing
-changes: a distributed union-find with a logarithmic number of rounds for which
-no node, link or component goes to the driver.
+is left but stars: a distributed union-find with a logarithmic number of rounds
+for which no node, link or component goes to the driver.
 
 ``linked_components`` turns posting lists of sets into components under an exact
 Jaccard threshold.  Testing every pair of a list as rows is quadratic in its
@@ -28,7 +28,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidepool.llm.common import cut
@@ -39,8 +39,12 @@ COLUMNS = 8192      # elements whose incidence is held at a time
 ToSet = Callable[[bytes], np.ndarray]
 
 
-def _state(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+def _is_stars(e: DataFrame) -> bool:
+    """Whether every node has one edge to a root that has none (one pass over the edges)."""
+    ends = e.select("u", "v", F.explode(F.array(F.lit(0), F.lit(1))).alias("end"))
+    ends = ends.select(F.when(F.col("end") == 0, F.col("u")).otherwise(F.col("v")).alias("x"), "end")
+    return (ends.groupBy("x").agg(F.count(F.when(F.col("end") == 0, 1)).alias("up"), F.max("end").alias("root"))
+            .filter("up > 1 or (up = 1 and root = 1)").isEmpty())
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -52,8 +56,7 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
                       F.col(a).isNull().alias("na"), F.col(b).isNull().alias("nb"))
          .filter("u > v and not na and not nb").select("u", "v").distinct())
     e = cut(e, "edges")
-    before = _state(e)
-    while before[0]:
+    while not _is_stars(e):
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = cut(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "large-star")
         e = (both.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -63,10 +66,6 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         e = (e.join(low, "u").filter("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
              .unionByName(low.select("u", F.col("m").alias("v"))).distinct())
         e = cut(e, "edges")
-        after = _state(e)
-        if after == before:
-            break
-        before = after
     return e.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
@@ -205,14 +204,8 @@ def linked_components(postings: DataFrame, items: DataFrame, to_set: ToSet, perc
     short = members.filter(F.col("m") <= SHORT).select("token", "node", "comp")
     pairs = (short.join(short.toDF("token", "node2", "comp2"), "token").filter("node < node2 and comp <> comp2")
              .select(*ordered("node", "node2")).distinct())
-    more = confirm(pairs)
-    if not more.isEmpty():
-        links = links.unionByName(more)
-        roots = cut(components(links), "components")
-        members = open_lists(roots)
+    links = links.unionByName(confirm(pairs))
     long = members.filter(F.col("m") > SHORT).select("token", "node", "comp")
     if not long.isEmpty():
-        more = cut(_block_links(long, items, to_set, percent), "block-links")
-        links = links.unionByName(more)
-        roots = cut(components(links), "components")
-    return roots, links
+        links = links.unionByName(cut(_block_links(long, items, to_set, percent), "block-links"))
+    return cut(components(links), "components"), links

@@ -14,9 +14,8 @@ The node of a form is a 64-bit hash of it.
 Edge cases: a null text has no lines and stays null; empty and short lines stay;
 a text that loses every line becomes empty, its row stays; equal lines within a
 text count like any others; rows that repeat an id and text are one document;
-a null id is ordered last and its rows are told apart by their text hash only
-(rows with a null id keep all their lines); other columns pass unchanged, the
-added ones are named ``n_lines`` and ``n_removed`` in ``clean_lines`` only.
+rows with a null id keep all their lines and stand for nothing; other columns
+pass in a struct, so no name can clash; an empty table gives an empty result.
 """
 
 from __future__ import annotations
