@@ -177,7 +177,7 @@ def linked_components(postings: DataFrame, items: DataFrame, to_set: ToSet, perc
     candidate pairs (``a < b``) that cannot reach ``percent``.
     """
     def confirm(pairs: DataFrame) -> DataFrame:
-        pairs = cut(likely(cut(pairs, "pairs")), "likely-pairs")
+        pairs = cut(likely(pairs), "pairs")
         full = (pairs.join(items.toDF("b", "item_b"), "b").join(items.toDF("a", "item_a"), "a")
                 .select("a", "b", "item_a", "item_b"))
         return cut(full.mapInArrow(lambda it: _pair_batches(it, to_set, percent), "a long, b long"), "links")
