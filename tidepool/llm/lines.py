@@ -6,8 +6,9 @@ forms are one node.  Every node gets a signature of ``BANDS * ROWS`` MinHash
 coordinates over the 5-character shingles of its form; nodes that agree in a
 whole band meet in a posting list, and ``graph.linked_components`` (distributed
 union-find) connects those whose exact Jaccard similarity reaches 0.8.  At 0.8
-a pair shares no band with probability (1 - 0.8**2)**6 = 0.2 %, at 0.9 it is
-5e-5.  Of each component the line that comes first by (id, line number) stays.
+a pair shares no band with probability (1 - 0.8**4)**10 = 0.5 %, at 0.9 it is
+2e-5.  Unrelated lines of one language have a tenth of their shingles in common,
+so bands of two coordinates would collide everywhere.  Of each component the line that comes first by (id, line number) stays.
 
 The node of a form is a 64-bit hash of it.
 
@@ -34,8 +35,8 @@ from tidepool.llm.graph import linked_components
 from tidepool.llm.minhash import packed_texts
 
 GRAM = 5
-BANDS = 6
-ROWS = 2
+BANDS = 10
+ROWS = 4
 MIN_CHARS = 20
 PERCENT = 80
 _GRAM_LANES = (np.random.default_rng(5).integers(0, 1 << 63, GRAM, dtype=np.uint64)
