@@ -14,9 +14,13 @@ of a monotone function), found by Newton steps kept inside a bracket.  A rate
 depends on source and size alone, so the iterations run on the table of
 ``(source, size, documents)`` cells; every step is one aggregate by source.
 
-*Rounding.*  Each cell gets a whole number of copies next to ``documents *
-rate``; then single copies are added or taken where they bring a source nearest
-its target, until no single copy helps.  Inside a cell the copies go to its
+*Rounding.*  The totals of ``documents * rate`` up to each size of a source are
+rounded, and a cell gets the difference of two neighbouring ones: what rounding
+leaves goes on to the next size, so a source is off by at most one document of
+its largest size, however thin its cells are.  The totals run within spans of
+sizes (six leading bits) after the totals of whole spans, so no source is one
+task.  Then copies of one size are added or taken where they bring a source
+nearest its target, until no single copy helps.  Inside a cell the copies go to its
 documents as evenly as possible, in the order of a hash of the id; ranks are
 split over hash buckets of a few hundred documents, so a cell that holds a
 third of all rows is not one task.  Everything is a function of the rows:
@@ -44,6 +48,7 @@ from tidepool.llm.common import cut
 
 WORD = r"[^\x20\x09-\x0D]+"
 BUCKET_DOCS = 256
+FRACTION = 20  # bits of a copy that the running totals keep
 
 
 def word_count(text: Column) -> Column:
@@ -128,29 +133,46 @@ def multipliers(cells: DataFrame, goals: DataFrame, max_epochs: float, *,
                         F.when(~F.col("full"), F.col("lam")).alias("lam"))
 
 
-def _copies(cells: DataFrame, max_copies: int, rounds: int = 12) -> DataFrame:
-    """Whole copies per cell (column ``copies``), each source's tokens nearest its target."""
-    cells = cut(cells.withColumn("copies", F.round(F.col("docs") * F.col("rate")).cast("long")), "cells")
-    for _ in range(rounds):
+def _copies(cells: DataFrame, max_copies: int) -> DataFrame:
+    """Whole copies per cell (column ``copies``), each source's tokens nearest its target.
+
+    Totals of ``docs * rate`` are whole numbers of ``2**-FRACTION`` copies, so
+    they do not depend on the order of addition.
+    """
+    shift = F.greatest(F.length(F.bin("size")) - 6, F.lit(0))
+    cells = (cells.withColumn("part", F.round(F.col("docs") * F.col("rate") * (1 << FRACTION)).cast("long"))
+             .withColumn("span", shift * 64 + F.floor(F.col("size") / F.pow(F.lit(2.0), shift))))
+    spans = cells.groupBy("source", "span").agg(F.sum("part").alias("total"))
+    before = Window.partitionBy("source").orderBy("span").rowsBetween(Window.unboundedPreceding, -1)
+    start = spans.select(F.col("source").alias("s2"), F.col("span").alias("span2"),
+                         F.coalesce(F.sum("total").over(before), F.lit(0)).alias("start"))
+    upto = F.col("start") + F.sum("part").over(
+        Window.partitionBy("source", "span").orderBy("size").rowsBetween(Window.unboundedPreceding, 0))
+    whole = lambda x: F.shiftright(x + (1 << FRACTION - 1), FRACTION)
+    cells = cut(cells.join(start, F.col("source").eqNullSafe(F.col("s2")) & (F.col("span") == F.col("span2")))
+                .withColumn("upto", upto)
+                .withColumn("copies", whole(F.col("upto")) - whole(F.col("upto") - F.col("part")))
+                .drop("s2", "span", "span2", "start", "upto", "part"), "cells")
+    while True:
         gap = (cells.groupBy("source").agg(
             (F.max("target") - F.sum(F.col("copies") * F.col("size"))).alias("gap"))
             .withColumnRenamed("source", "s2"))
         j = cells.join(gap, F.col("source").eqNullSafe(F.col("s2")))
-        up = (F.col("gap") > 0) & (F.col("copies") < F.col("docs") * max_copies)
-        down = (F.col("gap") < 0) & (F.col("copies") > 0)
-        left = F.abs(F.abs(F.col("gap")) - F.col("size"))
-        best = (j.filter((up | down) & (F.col("size") > 0) & (left < F.abs(F.col("gap"))))
-                .groupBy("s2").agg(F.min(F.struct(left.alias("left"), "size")).alias("m"),
-                                   F.first(F.signum("gap")).cast("long").alias("move"))
-                .select("s2", F.col("m.size").alias("size2"), "move"))
+        free = F.when(F.col("gap") > 0, F.col("docs") * max_copies - F.col("copies")).otherwise(F.col("copies"))
+        n = F.least(free, F.greatest(F.floor(F.abs("gap") / F.nullif(F.col("size"), F.lit(0))), F.lit(1)))
+        left = F.abs(F.abs(F.col("gap")) - F.col("n") * F.col("size"))
+        best = (j.filter((F.col("size") > 0) & (free > 0)).withColumn("n", n)
+                .filter(left < F.abs(F.col("gap")))
+                .groupBy("s2").agg(F.min(F.struct(left.alias("left"), "size", "n")).alias("m"),
+                                   F.first(F.signum("gap")).cast("long").alias("sign"))
+                .select("s2", F.col("m.size").alias("size2"), (F.col("m.n") * F.col("sign")).alias("move")))
         best = cut(best, "moves")
         if best.isEmpty():
-            break
+            return cells
         cells = cut(cells.join(best, F.col("source").eqNullSafe(F.col("s2"))
                                & (F.col("size") == F.col("size2")), "left")
                     .withColumn("copies", F.col("copies") + F.coalesce("move", F.lit(0)))
                     .drop("s2", "size2", "move"), "cells")
-    return cells
 
 
 def entropy_mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
