@@ -36,3 +36,28 @@ def test_mix_meets_targets_with_many_sizes(spark):
     off = {s: taken[s] / t - 1 for s, t in target.items()}
     print("MIX", max(off.values()), min(off.values()))
     assert len(rows) == len(docs) and all(abs(x) < 0.001 for x in off.values()), off
+
+
+def test_near_copies_conflict(spark, tmp_path):
+    rows, group = [], {}
+    for g in range(3):
+        words = [f"w{g}x{k}" for k in range(80)]
+        for m in range(5):
+            own = [*words[:70 + m], "other", *words[71 + m:]] if m else words
+            rows.append((100 * g + m, " ".join(own).upper() if m == 3 else " ".join(own), f"s{g}{m}"))
+            group[f"s{g}{m}"] = g
+    rows.append((None, rows[1][1] + " end", "s-null"))
+    rows.append((100, rows[0][1] + " last", "s-same-id"))       # another text under an id of group 1
+    group.update({"s-null": 0, "s-same-id": 0})
+    for k, text in enumerate(["", "", None, None]):
+        rows.append((900 + k, text, f"e{k}"))
+        group[f"e{k}"] = 10 + k // 2
+    spark.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(
+        f"{tmp_path}/documents.parquet")
+    in_bin, cluster = {}, {}
+    for r in op4_conflict_packing(spark, str(tmp_path)).collect():
+        in_bin.setdefault(r["bin_id"], []).append(group[r["source"]])
+        cluster.setdefault(group[r["source"]], set()).add(r["cluster"])
+    assert sum(len(b) for b in in_bin.values()) == len(rows)
+    assert all(len(b) == len(set(b)) for b in in_bin.values()), in_bin
+    assert all(len(c) == 1 for c in cluster.values()) and len(set.union(*cluster.values())) == len(cluster)

@@ -15,7 +15,10 @@ is the best fit within each shard.
 
 Edge cases: a null or word-less text has one piece of size 0 and is placed like
 any other; a null source is a source; the default cluster is the hash of the
-text, and null texts are clusters of their own kind; repeated rows are separate
+text, and null texts are clusters of their own kind; with ``near`` a cluster is
+a component of ``minhash.near_duplicates``, whose documents are the distinct
+(id, text), so rows with a null id and several texts of one id take part, while
+texts without words keep the hash of the text; repeated rows are separate
 pieces (of one cluster, so never in one bin); ties go to the smaller id, then
 text hash, and to the older bin; an empty table gives an empty result.
 """
@@ -30,6 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidepool.llm.common import cut
+from tidepool.llm.minhash import near_duplicates
 from tidepool.llm.mixing import word_count
 
 CAPACITY = 2048
@@ -94,17 +98,25 @@ def _pack_shard(t: pa.Table, capacity: int) -> pa.Table:
 
 
 def pack(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-         cluster: Column | None = None, capacity: int = CAPACITY, shard: int = SHARD) -> DataFrame:
+         cluster: Column | None = None, near: bool = False, capacity: int = CAPACITY,
+         shard: int = SHARD) -> DataFrame:
     """``bin_id, doc_id, piece, start_word, n_words, bin_room, source, cluster``, a row per piece.
 
     ``cluster`` is a long that names a document's duplicate cluster; by default
-    the hash of its text.
+    the hash of its text, with ``near`` its component of near-duplicates.
     """
     text_hash = F.xxhash64(F.col(text_col).isNull(), F.col(text_col))
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_hash.alias("text_hash"),
                        word_count(F.col(text_col)).alias("size"), F.col(source_col).cast("string").alias("source"),
                        (text_hash if cluster is None else cluster).cast("long").alias("cluster"))
     base = cut(base, "pack-sizes")
+    if near:
+        keyed = docs.select(F.xxhash64(F.col(id_col).cast("long"), text_hash).alias("key"),
+                            F.col(text_col).alias("text"))
+        found = cut(near_duplicates(keyed, id_col="key").filter("n_shingles > 0")
+                    .groupBy(F.col("doc_id").alias("key")).agg(F.min("component_id").alias("component")), "clusters")
+        base = cut(base.withColumn("key", F.xxhash64("doc_id", "text_hash")).join(found, "key", "left")
+                   .withColumn("cluster", F.coalesce("component", "cluster")).drop("key", "component"), "pack-input")
     n = max(1, -(-base.count() // shard))
     base = base.withColumn("shard", F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(n)).cast("long"))
     return base.groupBy("shard").applyInArrow(

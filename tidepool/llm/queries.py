@@ -57,8 +57,8 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("op4_conflict_packing")
 def op4_conflict_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents in bins of 2,048 words; no source and no copy twice in a bin."""
-    return pack(table(spark, sf_dir, "documents"))
+    """All documents in bins of 2,048 words; no source and no copy or near copy twice in a bin."""
+    return pack(table(spark, sf_dir, "documents"), near=True)
 
 
 @register("op5_ordinal_quality")
