@@ -38,6 +38,21 @@ def test_mix_meets_targets_with_many_sizes(spark):
     assert len(rows) == len(docs) and all(abs(x) < 0.001 for x in off.values()), off
 
 
+def test_disguises_by_blanks_and_doubled_letters():
+    n = np.full(28 ** 3, 0.01)
+    for word in ["idiot", "stupid", "trash"] * 50:
+        c = [0, 0, *[ord(x) - 96 for x in word], 0]
+        for a, b, d in zip(c, c[1:], c[2:]):
+            n[(a * 28 + b) * 28 + d] += 1
+    n = n.reshape(28, 28, 28)
+    lm = np.log(n / n.sum(axis=2, keepdims=True))
+    missed = [s for s, word in (
+        ("iddiioott", "idiot"), ("stuupid", "stupid"), ("i  d  i  o  t", "idiot"), ("i\td\ti\to\tt", "idiot"),
+        ("t \tr a   s h", "trash"), ("i d\ni o t", "idiot"), ("a b c   i d i o t", "idiot"))
+        if word not in toxicity.text_words(f"so {s} it is", lm, {})]
+    assert not missed
+
+
 def test_near_copies_conflict(spark, tmp_path):
     rows, group = [], {}
     for g in range(3):

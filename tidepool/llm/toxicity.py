@@ -1,8 +1,8 @@
 """Toxicity scores of texts whose toxic words may be disguised.
 
 *Noisy channel.*  A suspicious stretch (a token with digits or symbols between
-letters, with separators inside, with a letter three times in a row, or single
-characters set apart by blanks) becomes a character lattice: a look-alike may
+letters, with separators inside, with a letter twice in a row, or single characters
+set apart by white space) becomes a character lattice: a look-alike may
 stand for its letters, a separator or a repeated letter for nothing.  Viterbi
 decoding under a character trigram model (``language_model``: trigram counts
 of all texts) picks the likeliest original; the ``BEST`` best readings count.
@@ -49,7 +49,7 @@ LOOKALIKES = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6":
 SEPARATORS = " .-_*'`~/\\,:;"
 EDGE = " \t\r\n.,;:!?\"'()[]{}<>*_-~`/\\|#%&"
 _INSIDE = re.compile(r"[^\W\d_].*[\d@$!|+(<€£¡.\-_*'`~/\\:].*[^\W\d_]|[\d@$!|+(<€£¡].*[^\W\d_]|[^\W\d_].*[\d@$!|+(<€£¡]")
-_TRIPLE = re.compile(r"([^\W\d_])\1\1")
+_DOUBLE = re.compile(r"([^\W\d_])\1")
 _SPACED = re.compile(r"(?<!\S)\S(?: \S){2,}(?!\S)")
 
 
@@ -136,7 +136,7 @@ def decode(stretch: str, lm: np.ndarray, best: int = BEST, width: int = 64) -> l
 
 
 def suspicious(token: str) -> bool:
-    return bool(_INSIDE.search(token) or _TRIPLE.search(token))
+    return bool(_INSIDE.search(token) or _DOUBLE.search(token))
 
 
 PIECE = 64  # characters of a stretch that are decoded together
@@ -166,8 +166,9 @@ def text_words(text: str, lm: np.ndarray, cache: dict[str, frozenset[str]]) -> s
             if len(cache) < 1 << 18:
                 cache[token] = words
         out |= words
-    for m in _SPACED.finditer(" ".join(low.split()) if "\n" in low else low):
-        out |= restore(m.group(), lm)
+    even = " ".join(low.split())  # wider blanks part the letters in ``even``, words in ``low``
+    for stretch in {m.group() for t in {even, low} for m in _SPACED.finditer(t)}:
+        out |= restore(stretch, lm)
     return out
 
 
