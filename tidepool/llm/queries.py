@@ -10,12 +10,15 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from tidepool.llm import ordinal, toxicity
 from tidepool.llm.archive import convert_pages
+from tidepool.llm.audit import filter_audit
 from tidepool.llm.lines import clean_lines
 from tidepool.llm.merkle import fingerprint_edits
 from tidepool.llm.minhash import near_duplicates
 from tidepool.llm.mixing import entropy_mix
 from tidepool.llm.packing import pack
 from tidepool.llm.permutation import permutation_search
+from tidepool.llm.repair import damaged_repair
+from tidepool.llm.secrets import find_secrets
 from tidepool.llm.suffix import remove_repeats
 from tidepool.sources.tables import table
 
@@ -115,6 +118,58 @@ def op10_merkle_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_edits(table(spark, sf_dir, "documents"))
 
 
+@register("op11_conversation_repair")
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, damaged as stated and repaired at the least cost."""
+    return damaged_repair(table(spark, sf_dir, "conversations"))
+
+
+@register("op12_filter_audit", """
+WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') AS ws,
+             coalesce(min(doc_id) OVER (PARTITION BY t) < doc_id, false) AS fe FROM d),
+l AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good,
+             max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels GROUP BY doc_id),
+m AS (
+  SELECT part, (CASE WHEN len(ws) < 200 THEN 1 ELSE 0 END)
+    + (CASE WHEN 100 * len(list_distinct(ws)) < 50 * len(ws) THEN 2 ELSE 0 END)
+    + (CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * length(t) THEN 4 ELSE 0 END)
+    + (CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END) + (CASE WHEN fe THEN 16 ELSE 0 END) AS mask,
+    count(*) AS n, sum(coalesce(good, 0)) AS good, sum(coalesce(toxic, 0)) AS toxic
+  FROM w LEFT JOIN l USING (doc_id) GROUP BY ALL),
+f AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f, unnest([1, 2, 4, 8, 16]) AS bit),
+o AS (
+  SELECT a.f || b.f || c.f || d.f || e.f AS filter_order, unnest([1, 2, 3, 4, 5])::INTEGER AS step,
+         unnest([0, a.bit, a.bit + b.bit, a.bit + b.bit + c.bit, 31 - e.bit]) AS before,
+         unnest([a.bit, b.bit, c.bit, d.bit, e.bit]) AS bit
+  FROM f a, f b, f c, f d, f e
+  WHERE a.bit + b.bit + c.bit + d.bit + e.bit = 31 AND len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5),
+r AS (
+  SELECT part, filter_order, step, bit,
+    sum(n) FILTER (WHERE mask & (before | bit) = 0) AS kept,
+    sum(n) FILTER (WHERE mask & before = 0 AND mask & bit <> 0) AS removed,
+    sum(n) FILTER (WHERE mask & before <> 0 AND mask & bit <> 0) AS redundant,
+    sum(n) FILTER (WHERE mask = bit) AS unique_fails,
+    sum(good) FILTER (WHERE mask & before = 0 AND mask & bit <> 0) AS good_lost,
+    sum(toxic) FILTER (WHERE mask & before = 0 AND mask & bit <> 0) AS toxic_lost
+  FROM m, o GROUP BY ALL)
+SELECT part, filter_order, step, coalesce(kept, 0)::BIGINT AS kept, coalesce(removed, 0)::BIGINT AS removed,
+       coalesce(redundant, 0)::BIGINT AS redundant, coalesce(unique_fails, 0)::BIGINT AS unique_fails,
+       coalesce(good_lost, 0)::BIGINT AS good_lost, coalesce(toxic_lost, 0)::BIGINT AS toxic_lost,
+       (sum(coalesce(removed, 0)) OVER (PARTITION BY part, bit))::BIGINT AS shapley
+FROM r
+""")
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What filters A to E remove from all documents in every order, per language."""
+    return filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@register("op13_secret_scan")
+def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in all documents: fixed patterns and strings of unexplained bytes."""
+    return find_secrets(table(spark, sf_dir, "documents"))
+
+
 @register("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus pipeline over all documents."""
