@@ -6,8 +6,11 @@ import tempfile
 import pytest
 from pyspark.sql import functions as F
 
+from tidepool.operators.delta import delta_trigger_split
+from tidepool.operators.sequences import count_window, every_n_average
 from tidepool.operators.windows import sliding
 from tidepool.streaming import stateful
+from tidepool.streaming.timers import running_count_stream
 from tidepool.streaming.runner import drain, start
 from tidepool.streaming.watermarks import with_event_time
 
@@ -97,7 +100,7 @@ def test_running_count_stream(spark):
     rows = [(1, i, i, i, name) for i, name in enumerate("abacabad")]
     src = tempfile.mkdtemp(prefix="tp-src-")
     _write(spark, rows, 3, src)
-    got = _run(stateful.running_count_stream(_stream(spark, src), ["id"], ["id"], "name"), *_dirs())
+    got = _run(running_count_stream(_stream(spark, src), ["id"], ["id"], "name"), *_dirs())
     seen, want = {}, set()
     for i, name in enumerate("abacabad"):
         seen[name] = seen.get(name, 0) + 1
@@ -133,3 +136,36 @@ def test_sliding_batch_of_any_size_and_slide(spark):
             if inside:
                 want.add((a, len(inside), sum(inside)))
         assert got == want, (size, slide)
+
+
+def test_every_n_average_and_count_window_with_nulls(spark):
+    """Nulls count as rows and not in the sum, and leave large longs exact, as in the batch forms."""
+    big = (1 << 60) + 1
+    values = [10, None, 30, None, None, None, big, big, None, 5]
+    src = tempfile.mkdtemp(prefix="tp-src-")
+    df = spark.createDataFrame([(1, i, v) for i, v in enumerate(values)], "k long, id long, v long")
+    for i in range(0, 10, 3):
+        df.filter(f"id >= {i} and id < {i + 3}").coalesce(1).write.mode("append").parquet(src)
+    stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(src)
+    for n in (2, 3, 4):
+        got = _run(stateful.every_n_average_stream(stream, "k", ["id"], "v", n), *_dirs())
+        want = every_n_average(df, ["k"], ["id"], "v", n, [])
+        assert sorted(str(r.average) for r in got.collect()) == sorted(str(r.average) for r in want.collect())
+    assert [r.average for r in every_n_average(df, ["k"], ["id"], "v", 3, []).orderBy("group_no").collect()][0] == 13
+    got = _run(stateful.count_window_stream(stream, "k", ["id"], 4, 2, "v"), *_dirs())
+    want = count_window(df, ["k"], ["id"], 4, 2, "v", [])
+    cols = ["fire_seq", "window_sum", "n_rows"]
+    assert sorted(map(tuple, got.select(*cols).collect())) == sorted(map(tuple, want.select(*cols).collect()))
+
+
+def test_delta_trigger_stream_beyond_the_digits_of_a_double(spark):
+    big = 1 << 60
+    src = tempfile.mkdtemp(prefix="tp-src-")
+    df = (spark.createDataFrame([(1, i, None if i == 4 else big + 3 * i, i) for i in range(9)], "k int, id long, p long, m int")
+          .withColumn("ts", F.timestamp_seconds("id")))
+    for i in range(0, 9, 2):
+        df.filter(f"id >= {i} and id < {i + 2}").coalesce(1).write.mode("append").parquet(src)
+    stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(src)
+    got = _run(stateful.delta_trigger_stream(stream, "k", "ts", ["id"], "p", "m", 5, "1 hour", ["m"]), *_dirs())
+    want = delta_trigger_split(df, "k", "ts", ["id"], "p", "m", 5, "1 hour", ["m"])
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and got.count() == 3

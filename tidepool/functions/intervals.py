@@ -4,9 +4,6 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 _UNITS_MS = {
     "ms": 1, "millisecond": 1, "milliseconds": 1,
     "s": 1000, "sec": 1000, "second": 1000, "seconds": 1000,
@@ -32,9 +29,3 @@ def spark_interval(d: str | int | float) -> str:
     if ms % 1000 == 0:
         return f"{ms // 1000} seconds"
     return f"{ms} milliseconds"
-
-
-def interval_col(d: str | int | float) -> Column:
-    """Duration as a day-time interval literal column."""
-    ms = millis(d)
-    return F.expr(f"INTERVAL '{ms / 1000:.3f}' SECOND")

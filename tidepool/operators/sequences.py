@@ -13,16 +13,18 @@ with a key's rows walked in many tasks.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidepool.functions.intervals import millis
-from tidepool.operators.sequence import Levels, sequence_number
+from tidepool.operators.sequence import Levels, block_offsets, sequence_number
 
 
 def count_window(df: DataFrame, keys: Sequence[str], order: Sequence[str], size: int,
@@ -31,25 +33,55 @@ def count_window(df: DataFrame, keys: Sequence[str], order: Sequence[str], size:
     """Sliding count window: every ``slide`` rows of a key, sum the last ``size``.
 
     The window firing at the key's row ``f`` (``f`` a multiple of ``slide``)
-    holds rows ``max(1, f - size + 1) .. f``.  Each row is sent to the at most
-    ``ceil(size / slide)`` firings that hold it, then summed per firing: an
-    aggregation, not a window frame.  ``fields`` are copied from the firing row.
-    Output: ``keys, fire_seq, window_sum, n_rows, fields``.
+    holds rows ``max(1, f - size + 1) .. f``.  ``fields`` are copied from the
+    firing row.  The rows are exchanged once, by key and block: a frame gives the
+    sum, and a marker row per block brings the rows before it and their last
+    ``size - 1`` values, which are taken from at most ``size - 1`` rows per block
+    and task.  Output: ``keys, fire_seq, window_sum, n_rows, fields``.
     """
-    numbered = sequence_number(df, keys, order, blocks, "_tp_seq")
-    first_fire = F.expr(f"((_tp_seq + {slide - 1}) div {slide}) * {slide}")
-    last_hold = F.col("_tp_seq") + (size - 1)
-    fires = F.when(first_fire <= last_hold,
-                   F.sequence(first_fire, last_hold, F.lit(slide).cast("long")))
-    spread = numbered.select(*keys, "_tp_seq", value, *fields,
-                             F.explode(fires).alias(seq))
-    is_fire = F.col("_tp_seq") == F.col(seq)
-    agg = spread.groupBy(*keys, seq).agg(
-        F.sum(value).alias(out),
-        F.count(F.lit(1)).alias("n_rows"),
-        F.max(is_fire).alias("_tp_fired"),
-        *[F.max(F.when(is_fire, F.col(f))).alias(f) for f in fields])
-    return agg.filter("_tp_fired").drop("_tp_fired")
+    keys, fine = list(keys), [c for b in blocks for c in ([b] if isinstance(b, str) else b)]
+    rows = df.select(*dict.fromkeys([*keys, *fine, *order, value, *fields])).withColumn("_tp_kind", F.lit(1).cast("long"))
+    part = Window.partitionBy(*keys, *fine).orderBy("_tp_kind", *order)
+    so_far = part.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    frame = part.rowsBetween(-(size - 1), Window.currentRow)     # markers have no value
+    if fine:
+        levels = [[b] if isinstance(b, str) else list(b) for b in blocks]
+        offsets = block_offsets(rows.groupBy(*keys, *fine).agg(F.sum("_tp_kind").alias("_tp_rows")), keys, levels, ("_tp_rows",))
+        rows = rows.unionByName(offsets.select(*keys, *fine, F.coalesce("_tp_rows_off", F.lit(0)).alias("_tp_off"), F.lit(0).cast("long").alias("_tp_kind")),
+                                allowMissingColumns=True)
+        if size > 1:
+            rows = rows.unionByName(_tails(df, keys, fine, order, size - 1, value), allowMissingColumns=True)
+    rn = F.sum("_tp_kind").over(so_far)
+    out_cols = {"_tp_rn": rn, "_tp_sum": F.sum(value).over(frame)}
+    if fine:
+        out_cols["_tp_off"] = F.first("_tp_off", ignorenulls=True).over(so_far)
+        out_cols |= {"_tp_tail": F.first("_tp_tail", ignorenulls=True).over(so_far)} if size > 1 else {}
+    rows = rows.withColumns(out_cols).filter(F.col("_tp_kind") == 1)
+    rows = rows.withColumn(seq, F.col("_tp_rn") + F.col("_tp_off") if fine else F.col("_tp_rn"))
+    rows = rows.filter(F.col(seq) % slide == 0)
+    if fine and size > 1:   # the newest carried value comes first
+        short = F.greatest(F.lit(size) - F.col("_tp_rn"), F.lit(0)).cast("int")
+        more = F.aggregate(F.slice(F.coalesce("_tp_tail", F.array()), 1, short), F.lit(None).cast(dict(rows.dtypes)["_tp_sum"]),
+                           lambda a, x: F.when(a.isNull(), x).when(x.isNull(), a).otherwise(a + x))
+        rows = rows.withColumn("_tp_sum", F.when(F.col("_tp_sum").isNull(), more).when(more.isNull(), F.col("_tp_sum"))
+                               .otherwise(F.col("_tp_sum") + more))
+    return rows.select(*keys, seq, F.col("_tp_sum").alias(out), F.least(F.col(seq), F.lit(size)).cast("long").alias("n_rows"), *fields)
+
+
+def _tails(df: DataFrame, keys: list[str], fine: list[str], order: Sequence[str], n: int, value: str) -> DataFrame:
+    """Marker rows with the last ``n`` values before each block, newest first.
+
+    A limit per block and task comes before the exchange; what a key's blocks carry
+    is then put together from its block rows.
+    """
+    back = Window.partitionBy(*keys, *fine).orderBy(*[F.desc(c) for c in order])
+    last = (df.select(*dict.fromkeys([*keys, *fine, *order, value])).withColumn("_tp_back", F.row_number().over(back))
+            .filter(F.col("_tp_back") <= n))
+    table = last.groupBy(*keys, *fine).agg(F.sort_array(F.collect_list(
+        F.struct((-F.col("_tp_back")).alias("at"), F.col(value).alias("v")))).alias("_tp_last"))
+    before = Window.partitionBy(*keys).orderBy(*fine).rowsBetween(-n, -1)
+    carried = F.transform(F.flatten(F.collect_list("_tp_last").over(before)), lambda x: x["v"])
+    return table.select(*keys, *fine, F.reverse(carried).alias("_tp_tail"), F.lit(0).cast("long").alias("_tp_kind"))
 
 
 def every_n_average(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str,
@@ -96,6 +128,10 @@ def full_batches(df: DataFrame, keys: Sequence[str], order: Sequence[str], n: in
 def first_beyond(v: np.ndarray, mark, delta) -> np.ndarray:
     """First number of ``v`` (ascending) with ``v - mark > delta``, for each mark."""
     mark = np.asarray(mark)
+    if v.dtype.kind == "i":  # exact, and without overflow
+        top = np.iinfo(np.int64).max
+        with np.errstate(over="ignore"):
+            return np.searchsorted(v, np.where(mark > top - delta, top, mark + delta), side="right")
     k = np.searchsorted(v, mark + delta, side="right")
     while True:  # the sum and the difference may round differently
         down = (k > 0) & (v[np.maximum(k, 1) - 1] - mark > delta)
@@ -105,19 +141,40 @@ def first_beyond(v: np.ndarray, mark, delta) -> np.ndarray:
         k = k - down + (up & ~down)
 
 
-def running_maxima(pos: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Row numbers and values of the running maxima of ``pos`` (NaN never is one)."""
-    if not len(pos):
-        return np.zeros(0, dtype=np.int64), pos
-    p = np.where(np.isnan(pos), -np.inf, pos) if pos.dtype.kind == "f" else pos
-    top = np.maximum.accumulate(p)
-    at = np.flatnonzero(np.append(True, top[1:] > top[:-1]))
-    at = at[np.isfinite(p[at])]
-    return at, p[at]
+def arrow_positions(col: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of a column, integers as integers, and which of them are usable (not null, finite)."""
+    ok = col.is_valid().to_numpy()
+    if pa.types.is_integer(col.type):
+        return col.cast(pa.int64()).fill_null(0).to_numpy(), ok
+    v = col.cast(pa.float64()).fill_null(np.nan).to_numpy()
+    return v, ok & np.isfinite(v)
+
+
+def records(pos: np.ndarray, ok: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Row numbers and values of the running maxima of the usable positions."""
+    at = np.flatnonzero(ok)
+    p = pos[at]
+    if len(p):
+        top = np.maximum.accumulate(p)
+        new = np.append(True, top[1:] > top[:-1])
+        at, p = at[new], p[new]
+    return at, p
+
+
+_POS_TEXT = "_tp_pos"
+
+
+def pandas_positions(s: pd.Series, integral: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Positions and which are usable; integers come as text (see ``delta_trigger_max``)."""
+    ok = s.notna().to_numpy()
+    if integral:
+        return np.array([int(x) if o else 0 for x, o in zip(s, ok)], dtype=np.int64), ok
+    v = s.to_numpy(dtype=np.float64, na_value=np.nan)
+    return v, ok & np.isfinite(v)
 
 
-def delta_walk(pos: np.ndarray, t_us: np.ndarray, meas: np.ndarray, first_new: int,
-               mark: float | None, delta: float, keep_us: int) -> tuple[list[tuple[int, int]], float | None]:
+def delta_walk(pos: np.ndarray, ok: np.ndarray, t_us: np.ndarray, meas: np.ndarray, first_new: int,
+               mark, delta, keep_us: int) -> tuple[list[tuple[int, int]], int | float | None]:
     """Walk one key's rows (sorted by time) from ``first_new`` on.
 
     Rows before ``first_new`` are carried rows still inside the eviction span.
@@ -128,7 +185,7 @@ def delta_walk(pos: np.ndarray, t_us: np.ndarray, meas: np.ndarray, first_new: i
     after ``fire time - keep``.  A firing row exceeds every new row before it,
     so only running maxima are looked at.
     """
-    at, v = running_maxima(pos[first_new:])
+    at, v = records(pos[first_new:], ok[first_new:])
     if not len(v):
         return [], mark
     nxt = first_beyond(v, v, delta)
@@ -144,7 +201,7 @@ def delta_walk(pos: np.ndarray, t_us: np.ndarray, meas: np.ndarray, first_new: i
         if lo <= j:  # an empty window after eviction emits nothing
             fires.append((j, lo + int(np.argmax(meas[lo:j + 1]))))
         i = int(nxt[i])
-    return fires, float(mark)
+    return fires, mark.item() if isinstance(mark, np.generic) else mark
 
 
 def keep_span(t_us: np.ndarray, keep_us: int) -> int:
@@ -154,7 +211,7 @@ def keep_span(t_us: np.ndarray, keep_us: int) -> int:
 
 def _fold_delta_trigger(batches, key: str, time: str, position: str, measure: str,
                         delta: float, keep_us: int, fire_cols: list[str],
-                        fields: list[str], out_cols: list[str]):
+                        fields: list[str], out_cols: list[str], integral: bool):
     """Stream sorted rows, carrying one key's mark and eviction span across batches."""
     carry: pd.DataFrame | None = None
     mark = None
@@ -166,14 +223,14 @@ def _fold_delta_trigger(batches, key: str, time: str, position: str, measure: st
             pdf = pd.concat([carry, pdf], ignore_index=True)
         keys = pdf[key].to_numpy()
         t_us = pdf[time].to_numpy(dtype="datetime64[us]").astype(np.int64)
-        pos = pdf[position].to_numpy(dtype=np.float64)
-        meas = pdf[measure].to_numpy(dtype=np.float64)
+        pos, ok = pandas_positions(pdf[position], integral)
+        meas = pdf[measure].to_numpy(dtype=np.float64, na_value=np.nan)
         starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
         ends = np.r_[starts[1:], len(pdf)]
         out_idx: list[tuple[int, int]] = []
         for s, e in zip(starts, ends):
             carried = s == 0 and n_old > 0
-            fires, m = delta_walk(pos[s:e], t_us[s:e], meas[s:e], max(0, n_old - s),
+            fires, m = delta_walk(pos[s:e], ok[s:e], t_us[s:e], meas[s:e], max(0, n_old - s),
                                   mark if carried else None, delta, keep_us)
             out_idx.extend((s + a, s + b) for a, b in fires)
             if e - s > max(0, n_old - s):
@@ -213,15 +270,19 @@ def delta_trigger_max(df: DataFrame, key: str, time: str, order: Sequence[str],
         [T.StructField(key, sch[key])]
         + [T.StructField(f"fire_{c}", sch[c]) for c in fire_cols]
         + [T.StructField(c, sch[c]) for c in fields])
+    integral = isinstance(sch[position], T.IntegralType)
+    delta = math.floor(delta) if integral else float(delta)
     need = list(dict.fromkeys([key, time, *order, position, measure, *fields]))
     src = df.select(*need)
     src = src.repartition(num_partitions, key) if num_partitions else src.repartition(key)
     src = src.sortWithinPartitions(key, time, *order)
 
     def run(batches):
-        yield from _fold_delta_trigger(batches, key, time, position, measure, float(delta),
-                                       keep_us, fire_cols, fields, out_cols)
+        yield from _fold_delta_trigger(batches, key, time, _POS_TEXT, measure, delta,
+                                       keep_us, fire_cols, fields, out_cols, integral)
 
+    # a long column with nulls reaches pandas as rounded doubles, its text does not
+    src = src.withColumn(_POS_TEXT, F.col(position).cast("string") if integral else F.col(position))
     return src.mapInPandas(run, out_schema)
 
 

@@ -67,9 +67,6 @@ def sliding(df: DataFrame, time: str, size: str | int, slide: str | int, keys: S
                     *measures))
 
 
-sliding_panes = sliding
-
-
 def sessions(df: DataFrame, keys: Sequence[str], time: str, gap: str | int,
              aggs: Sequence[Column]) -> DataFrame:
     """Session windows per key: a gap of more than ``gap`` starts a new session.

@@ -171,6 +171,27 @@ c AS (SELECT f.user_id, f.event_id AS fire_event_id, f.ts AS fire_ts,
 SELECT user_id, fire_ts, fire_event_id, event_id, ts, value, CAST(pos AS BIGINT) AS pos FROM c WHERE k = 1
 """
 
+ORACLE["user_aggregate"] = """
+WITH b AS (
+  SELECT event_type, time_bucket(INTERVAL '1 day', ts) AS window_start, CAST(floor(value) AS BIGINT) AS bin, count(*) AS n
+  FROM events WHERE value IS NOT NULL GROUP BY ALL),
+c AS (
+  SELECT *, sum(n) OVER (PARTITION BY event_type, window_start ORDER BY bin) AS high,
+         sum(n) OVER (PARTITION BY event_type, window_start) AS total FROM b),
+k AS (
+  SELECT *, greatest(0, least(high, total - total * 10 // 100) - greatest(high - n, total * 10 // 100)) AS kept FROM c)
+SELECT event_type, window_start, window_start + INTERVAL '1 day' AS window_end, CAST(total AS BIGINT) AS n,
+       CAST(sum(bin * kept) AS DOUBLE) / CAST(sum(kept) AS DOUBLE) AS trimmed_mean
+FROM k GROUP BY event_type, window_start, total
+"""
+
+ORACLE["whole_window_median"] = """
+SELECT event_type, time_bucket(INTERVAL '1 hour', ts) AS window_start,
+       time_bucket(INTERVAL '1 hour', ts) + INTERVAL '1 hour' AS window_end,
+       count(*) AS n, quantile_disc(value, 0.5) AS median
+FROM events GROUP BY ALL
+"""
+
 ORACLE["broadcast_lookup"] = """
 SELECT c.c_custkey, c.c_nationkey, n.n_name,
        CAST(c.c_nationkey AS VARCHAR) || ' ---> ' || coalesce(n.n_name, 'null') AS line

@@ -1,20 +1,20 @@
 """Query definitions on the driver tables (see ``registry``).
 
-Every query reads whole tables.  Keys, orders and block columns (see
-``tidepool.operators.sequence``; a finest block should hold up to about a
-million rows of one key, and a key has one offset row per finest block):
-
-* events: key ``user_id``, order ``(ts, event_id)``, blocks day then minute
-  of ``ts`` (a user with a third of 100 TB of events still has only millions
-  of rows per minute, and 43,200 minute blocks a month);
-* conversations: order ``(conv_id, turn, pos)``, block ``conv_id div 256``;
-* documents: order ``(doc_id, pos)``, block ``doc_id div 256``;
-* arrival order over all events (punctuated watermark): ``event_id div 2^20``.
+Every query reads whole tables.  Keyed sequences are split by blocks that are cut
+from counts (``sequence.sized_blocks``): a key stays whole until it has more than
+``LARGE`` rows; above that its rows are split by
+
+* events: key ``user_id``, order ``(ts, event_id)``, day then minute of ``ts``;
+* conversations: order ``(conv_id, turn, pos)``, ``conv_id div 65536`` then ``div 256``;
+* documents: order ``(doc_id, pos)``, ``doc_id div 65536`` then ``div 256``;
+* arrival order over all events (punctuated watermark, no key): ``event_id div
+  2^30`` then ``div 2^20``, always.
 """
 
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,11 +23,11 @@ from tidepool.operators.delta import delta_trigger_split
 from tidepool.operators.hot import hot_items
 from tidepool.operators.lookup import broadcast_lookup, last_per_key
 from tidepool.operators.records import attach_json, counted, project_json, tuple_text
-from tidepool.operators.sequence import time_blocks
 from tidepool.operators.sequences import count_window, every_n_average, full_batches, position_from
-from tidepool.operators.sequence import running_total
+from tidepool.operators.sequence import running_totals, sized_blocks
 from tidepool.operators.text import running_count, split_words, tokenize, word_count
 from tidepool.operators.topn import format_top_n
+from tidepool.operators.user_aggregate import TrimmedMean, user_aggregate, whole_window
 from tidepool.operators.windows import sliding, split_sessions, tumbling
 from tidepool.plans.registry import register
 from tidepool.sources.tables import events_with_item, table
@@ -35,16 +35,18 @@ from tidepool.streaming.punctuated import punctuated_windows
 
 EVENT_ORDER = ["ts", "event_id"]
 SPREAD = 32               # tasks for tokenizing a table that is one row group
-TEXT_BLOCK = 256          # texts per block for per-word sequences
-ARRIVAL_BLOCK = 1 << 20   # rows per block for the global running maximum
+ARRIVAL = {"_tp_far": 1 << 30, "_tp_near": 1 << 20}   # rows per block for the global running maximum
 
 
 def _events_blocked(spark: SparkSession, sf_dir: str, *cols: str) -> tuple[DataFrame, list]:
     ev = table(spark, sf_dir, "events")
     if cols:
         ev = ev.select(*dict.fromkeys(["user_id", "ts", "event_id", *cols]))
-    ev, blocks = time_blocks(ev, "ts", ("day", "minute"))
-    return ev, [[b] for b in blocks]
+    return sized_blocks(ev, ["user_id"], [(f"_tp_{u}", F.date_trunc(u, "ts")) for u in ("day", "minute")])
+
+
+def _words_blocked(toks: DataFrame, text_id: str) -> tuple[DataFrame, list]:
+    return sized_blocks(toks, ["word"], [(f"_tp_{n}", F.expr(f"{text_id} div {n}")) for n in (65536, 256)])
 
 
 # --- hot items --------------------------------------------------------------
@@ -91,8 +93,8 @@ def q_running_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Running count of each word over all conversation turns, one row per token."""
     conv = table(spark, sf_dir, "conversations", SPREAD)
     toks = tokenize(conv, "text", keep=["conv_id", "turn"], pos="pos")
-    toks = toks.withColumn("_tp_cblk", F.expr(f"conv_id div {TEXT_BLOCK}"))
-    out = running_count(toks, ["conv_id", "turn", "pos"], [["_tp_cblk"]])
+    toks, blocks = _words_blocked(toks, "conv_id")
+    out = running_count(toks, ["conv_id", "turn", "pos"], blocks)
     return out.select("conv_id", "turn", "pos", "word", "running_count")
 
 
@@ -101,8 +103,8 @@ def q_word_count_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Count window per word over documents: every 3 occurrences, the last 5."""
     docs = table(spark, sf_dir, "documents", SPREAD)
     toks = tokenize(docs, "text", keep=["doc_id"], pos="pos").withColumn("one", F.lit(1))
-    toks = toks.withColumn("_tp_dblk", F.expr(f"doc_id div {TEXT_BLOCK}"))
-    return count_window(toks, ["word"], ["doc_id", "pos"], 5, 3, "one", [["_tp_dblk"]])
+    toks, blocks = _words_blocked(toks, "doc_id")
+    return count_window(toks, ["word"], ["doc_id", "pos"], 5, 3, "one", blocks)
 
 
 # --- time windows -----------------------------------------------------------
@@ -216,9 +218,29 @@ def q_delta_trigger_max(spark: SparkSession, sf_dir: str) -> DataFrame:
     the event with the top value among the last day's events."""
     ev, blocks = _events_blocked(spark, sf_dir, "value")
     ev = ev.withColumn("cents", position_from("value"))
-    pos = running_total(ev, ["user_id"], EVENT_ORDER, blocks, "cents", "pos")
+    pos = running_totals(ev, ["user_id"], EVENT_ORDER, blocks, {"pos": "cents", "seq": None})
     return delta_trigger_split(pos, "user_id", "ts", ["event_id"], "pos", "value", delta=50_000, keep="1 day",
-                               fields=["event_id", "ts", "value", "pos"], blocks=blocks)
+                               fields=["event_id", "ts", "value", "pos"], seq="seq")
+
+
+# --- user functions ---------------------------------------------------------
+
+@register("user_aggregate")
+def q_user_aggregate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per event type and day, a user aggregate: the mean of whole values without the lowest and highest tenth."""
+    return user_aggregate(table(spark, sf_dir, "events"), ["event_type"], TrimmedMean(10), ["value"], "ts", "1 day")
+
+
+def _median(rows: pa.Table) -> dict:
+    v = rows.column(0).drop_null()
+    return {"n": rows.num_rows, "median": v[(len(v) - 1) // 2].as_py() if len(v) else None}
+
+
+@register("whole_window_median")
+def q_whole_window_median(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per event type and hour, a function over all rows of the window: their lower median value."""
+    ev = table(spark, sf_dir, "events")
+    return whole_window(ev, ["event_type"], "ts", "1 hour", ["value"], _median, "n long, median double", order=["value"])
 
 
 # --- lookups, records -------------------------------------------------------
@@ -311,11 +333,12 @@ def q_punctuated_min_row(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hourly min-value row per event type under a punctuated watermark: events in
     arrival (``event_id``) order, ``error`` events are the markers; late rows are
     dropped and only windows a marker closed are emitted."""
-    ev = table(spark, sf_dir, "events").withColumn("_tp_blk", F.expr(f"event_id div {ARRIVAL_BLOCK}"))
+    ev = table(spark, sf_dir, "events").withColumns(
+        {name: F.expr(f"event_id div {n}") for name, n in ARRIVAL.items()})
     out = punctuated_windows(
         ev, "event_id", "ts", F.col("event_type") == "error", ["event_type"], "1 hour",
         [min_row("value", EVENT_ORDER, ["event_id", "ts", "user_id", "value"]).alias("m")],
-        "_tp_blk")
+        list(ARRIVAL))
     return out.select("event_type", F.col("window.start").alias("window_start"),
                       F.col("window.end").alias("window_end"), "m.event_id", "m.ts",
                       "m.user_id", "m.value")

@@ -42,17 +42,18 @@ def parse_marked_lines(df: DataFrame, col: str, fields: Sequence[tuple[str, str]
 
 def punctuated_windows(df: DataFrame, seq: str, time: str, is_marker: str | Column,
                        keys: Sequence[str], size: str | int, aggs: Sequence[Column],
-                       block: str, emit_open: bool = False,
+                       blocks: str | Sequence[str], emit_open: bool = False,
                        tick: str = "1 millisecond") -> DataFrame:
     """Tumbling windows under a punctuated watermark (batch form).
 
-    ``seq`` is the arrival order, ``block`` a coarse column monotone in it
-    (e.g. ``seq div 4096``) that splits the running maximum.  Output: ``keys``,
+    ``seq`` is the arrival order, ``blocks`` columns monotone in it, from coarse to
+    fine (e.g. ``seq div 2^30``, ``seq div 2^20``), that split the running maximum.
+    Output: ``keys``,
     ``window`` and ``aggs``; only windows a marker closed, unless ``emit_open``.
     """
     m = F.col(is_marker) if isinstance(is_marker, str) else is_marker
     marked = df.withColumn("_tp_mark", F.when(m, F.col(time)))
-    wm = running_max(marked, [], [seq], block, "_tp_mark", "_tp_wm_before", inclusive=False)
+    wm = running_max(marked, [], [seq], blocks, "_tp_mark", "_tp_wm_before", inclusive=False)
     last = F.col("window.end") - F.expr(f"INTERVAL {tick}")
     win = F.window(time, spark_interval(size))
     with_win = wm.withColumn("window", win)

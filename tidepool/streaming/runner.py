@@ -8,20 +8,11 @@ state.  ``drain`` runs everything available (``availableNow``) and returns.
 
 from __future__ import annotations
 
-import os
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from tidepool.session import checkpoint_dir
-
-
-def checkpoint_for(df: DataFrame, name: str) -> str:
-    """A fresh checkpoint folder for query ``name`` under the shared checkpoint dir."""
-    return os.path.join(checkpoint_dir(df.sparkSession), "streams", f"{name}-{uuid.uuid4().hex[:8]}")
-
 
 def start(df: DataFrame, *, output_mode: str = "append", checkpoint: str,
           sink: str | None = None, path: str | None = None, query_name: str | None = None,
@@ -42,6 +33,11 @@ def start(df: DataFrame, *, output_mode: str = "append", checkpoint: str,
     return w.start(path) if path else w.start()
 
 
+def rows_per_batch(query: StreamingQuery) -> list[int]:
+    """Input rows of the micro-batches of a drained query that had any."""
+    return [n for n in (int(p["numInputRows"]) for p in query.recentProgress) if n]
+
+
 def drain(query: StreamingQuery, timeout_s: int = 600) -> StreamingQuery:
     """Wait until an ``availableNow`` query has processed everything, then stop it."""
     query.awaitTermination(timeout_s)

@@ -10,6 +10,7 @@ under the query checkpoint, so a restarted query continues where it stopped.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 import numpy as np
@@ -34,36 +35,50 @@ def _field(df: DataFrame, c: str) -> T.StructField:
     return next(f for f in df.schema.fields if f.name == c)
 
 
+def _number_columns(df: DataFrame, value: str) -> DataFrame:
+    """``_tp_v`` (nulls as 0) and ``_tp_ok``: a long column with nulls would reach pandas as rounded doubles."""
+    v = F.col(value)
+    return df.withColumns({"_tp_v": F.coalesce(v, F.lit(0).cast(dict(df.dtypes)[value])), "_tp_ok": v.isNotNull()})
+
+
+def _in_order(pdfs, order: list[str], columns: list[str]) -> pd.DataFrame:
+    """A key's rows of a micro-batch, which come in several pieces, sorted once."""
+    frames = [p for p in pdfs if len(p)]
+    if not frames:
+        return pd.DataFrame({c: [] for c in columns})
+    return pd.concat(frames, ignore_index=True).sort_values(order, kind="stable")[columns].reset_index(drop=True)
+
+
 def every_n_average_stream(df: DataFrame, key: str, order: Sequence[str], value: str,
                            n: int, out: str = "average") -> DataFrame:
-    """Every ``n`` rows of a key: emit the truncated average and reset (long values)."""
+    """Every ``n`` rows of a key: emit the truncated average and reset (long values).
+
+    As in the batch form nulls count as rows and not in the sum; a group of nulls
+    only has a null average.
+    """
     out_schema = T.StructType([_field(df, key), T.StructField(out, T.LongType())])
-    state_schema = T.StructType([T.StructField("count", T.LongType()),
-                                 T.StructField("sum", T.LongType())])
+    state_schema = T.StructType([T.StructField("count", T.LongType()), T.StructField("sum", T.LongType()),
+                                 T.StructField("known", T.LongType())])
     order = list(order)
 
     def step(k, pdfs, state):
-        cnt, tot = state.get if state.exists else (0, 0)
-        frames = [p for p in pdfs if len(p)]
-        v = (pd.concat(frames).sort_values(order)[value].to_numpy(dtype=np.int64)
-             if frames else np.zeros(0, dtype=np.int64))
-        # carried partial group first, then the new values, cut into groups of n
-        seq = np.r_[np.int64(tot), v]
-        idx = np.r_[cnt, cnt + np.arange(1, len(v) + 1)]   # count after each element
-        full = len(v) + cnt
-        n_groups = full // n
-        if n_groups:
-            csum = np.cumsum(seq)
-            ends = np.arange(1, n_groups + 1) * n - cnt       # index into seq of each group end
-            sums = np.diff(np.r_[0, csum[ends]])
-            res = [_trunc_div(int(x), n) for x in sums]
-            yield pd.DataFrame({key: [k[0]] * len(res), out: res})
-            rest = seq[ends[-1] + 1:]
-            state.update((int(len(rest)), int(rest.sum())))
-        else:
-            state.update((int(idx[-1]), int(seq.sum())))
+        cnt, tot, known = state.get if state.exists else (0, 0, 0)
+        rows = _in_order(pdfs, order, ["_tp_v", "_tp_ok"])
+        v, ok = rows["_tp_v"].to_numpy(dtype=np.int64), rows["_tp_ok"].to_numpy(dtype=bool)
+        group = (cnt + np.arange(len(v))) // n              # 0 continues the carried group
+        sums = np.zeros((cnt + len(v)) // n + 1, dtype=np.int64)
+        seen = np.zeros(len(sums), dtype=np.int64)
+        np.add.at(sums, group, np.where(ok, v, 0))
+        np.add.at(seen, group, ok)
+        sums[0] += tot
+        seen[0] += known
+        full = len(sums) - 1
+        if full:
+            res = [_trunc_div(int(x), n) if m else None for x, m in zip(sums[:full], seen[:full])]
+            yield pd.DataFrame({key: [k[0]] * full, out: pd.array(res, dtype="Int64")})
+        state.update(((cnt + len(v)) % n, int(sums[full]), int(seen[full])))
 
-    return df.groupBy(key).applyInPandasWithState(
+    return _number_columns(df, value).groupBy(key).applyInPandasWithState(
         step, out_schema, state_schema, "append", GroupStateTimeout.NoTimeout)
 
 
@@ -76,32 +91,29 @@ def count_window_stream(df: DataFrame, key: str, order: Sequence[str], size: int
                                T.StructField(out, vtype), T.StructField("n_rows", T.LongType())])
     state_schema = T.StructType([T.StructField("count", T.LongType()),
                                  T.StructField("last", T.ArrayType(vtype))])
-    order = list(order)
+    order, number = list(order), np.int64 if integral else np.float64
 
     def step(k, pdfs, state):
         cnt, last = state.get if state.exists else (0, [])
         last = list(last or [])
-        frames = [p for p in pdfs if len(p)]
-        v = (pd.concat(frames).sort_values(order)[value].reset_index(drop=True) if frames
-             else pd.Series(dtype="float64"))
-        v = v.astype("Int64") if integral else v.astype("Float64")
-        allv = pd.concat([pd.Series(last, dtype=v.dtype), v], ignore_index=True)
-        seqs = cnt + np.arange(1, len(v) + 1)                # position of each new row
+        rows = _in_order(pdfs, order, ["_tp_v", "_tp_ok"])
+        v = np.concatenate([np.array([x or 0 for x in last], dtype=number), rows["_tp_v"].to_numpy(dtype=number)])
+        ok = np.concatenate([np.array([x is not None for x in last], dtype=bool), rows["_tp_ok"].to_numpy(dtype=bool)])
+        seqs = cnt + np.arange(1, len(rows) + 1)             # position of each new row
         fire = np.flatnonzero(seqs % slide == 0)
         if len(fire):
-            hi = len(last) + fire + 1                         # exclusive end in allv
-            lo = np.maximum(hi - size, np.maximum(0, len(last) - cnt))
-            # each window is summed by itself: a null blanks no other window, and
-            # no digits are lost in differences of long running sums
-            sums = [allv.iloc[a:b].sum(min_count=1) for a, b in zip(lo, hi)]
-            rows = pd.DataFrame({key: [k[0]] * len(fire), "fire_seq": seqs[fire],
-                                 out: pd.Series(sums, dtype=allv.dtype), "n_rows": hi - lo})
-            yield rows[[key, "fire_seq", out, "n_rows"]]
-        keep_n = size - 1
-        rest = allv.iloc[max(0, len(allv) - keep_n):]
-        state.update((int(cnt + len(v)), [None if pd.isna(x) else (int(x) if integral else float(x)) for x in rest]))
-
-    return df.groupBy(key).applyInPandasWithState(
+            hi = len(last) + fire                             # the firing row in v
+            at = hi[:, None] - np.arange(size)[None, ::-1]    # each window by itself: no digits lost in long sums
+            held = (at >= 0) & ok[np.maximum(at, 0)]
+            sums = np.where(held, v[np.maximum(at, 0)], 0).sum(axis=1)
+            total = pd.array(sums, dtype="Int64" if integral else "Float64")
+            total[~held.any(axis=1)] = pd.NA
+            yield pd.DataFrame({key: [k[0]] * len(fire), "fire_seq": seqs[fire], out: total,
+                                "n_rows": np.minimum(seqs[fire], size)})
+        rest = range(max(0, len(v) - (size - 1)), len(v))
+        state.update((int(cnt + len(rows)), [v[i].item() if ok[i] else None for i in rest]))
+
+    return _number_columns(df, value).groupBy(key).applyInPandasWithState(
         step, out_schema, state_schema, "append", GroupStateTimeout.NoTimeout)
 
 
@@ -134,9 +146,8 @@ def buffered_stream(df: DataFrame, key: str, order: Sequence[str], n: int,
 
     def step(k, pdfs, state):
         emitted, buf = state.get if state.exists else (0, None)
-        frames = [p for p in pdfs if len(p)]  # a key's rows come in several pieces: join, then sort once
-        new = [pd.concat(frames, ignore_index=True).sort_values(order, kind="stable")[fields]] if frames else []
-        parts = ([_from_ipc(bytes(buf))] if buf else []) + new
+        new = _in_order(pdfs, order, fields)
+        parts = ([_from_ipc(bytes(buf))] if buf else []) + ([new] if len(new) else [])
         allrows = pd.concat(parts, ignore_index=True) if parts else pd.DataFrame(columns=fields)
         full = (len(allrows) // n) * n
         if full:
@@ -159,68 +170,43 @@ def delta_trigger_stream(df: DataFrame, key: str, time: str, order: Sequence[str
                          fields: Sequence[str]) -> DataFrame:
     """Stream form of ``delta_trigger_max``: mark and eviction span kept in state.
 
-    Output: ``key``, ``fire_<time>``, then ``fields`` of the top row.  The rows
-    of the span are kept as Arrow bytes, exact for every column type.
+    Output: ``key``, ``fire_<time>``, ``fire_<order...>``, then ``fields`` of the top
+    row.  The rows of the span are kept as Arrow bytes, exact for every column type;
+    integer positions and marks stay integers.
     """
     keep_us = millis(keep) * 1000
     fields = [f for f in fields if f != key]
-    out_schema = T.StructType([_field(df, key), T.StructField(f"fire_{time}", _field(df, time).dataType)]
+    integral = isinstance(_field(df, position).dataType, T.IntegralType)
+    delta = math.floor(delta) if integral else float(delta)
+    fire_cols = [time, *order]
+    out_schema = T.StructType([_field(df, key)]
+                              + [T.StructField(f"fire_{c}", _field(df, c).dataType) for c in fire_cols]
                               + [_field(df, f) for f in fields])
-    state_schema = T.StructType([T.StructField("mark", T.DoubleType()), T.StructField("span", T.BinaryType())])
-    cols = [time, *order]
-    need = list(dict.fromkeys([*cols, position, measure, *fields]))
+    state_schema = T.StructType([T.StructField("mark", T.LongType() if integral else T.DoubleType()),
+                                 T.StructField("span", T.BinaryType())])
+    need = list(dict.fromkeys([*fire_cols, measure, *fields, "_tp_v", "_tp_ok"]))
 
     def step(k, pdfs, state):
         mark, span = state.get if state.exists else (None, None)
-        new = pd.concat([p for p in pdfs if len(p)] or [pd.DataFrame(columns=need)],
-                        ignore_index=True).sort_values(cols, kind="stable")[need]
-        old = _from_ipc(bytes(span)) if span else new.iloc[:0]
-        rows = pd.concat([old, new], ignore_index=True) if len(old) else new.reset_index(drop=True)
-        if not len(rows):
+        new = _in_order(pdfs, fire_cols, need)
+        if not len(new):
             return
+        old = _from_ipc(bytes(span)) if span else new.iloc[:0]
+        rows = pd.concat([old, new], ignore_index=True) if len(old) else new
         t_us = rows[time].to_numpy(dtype="datetime64[us]").astype(np.int64)
-        fires, mark = delta_walk(rows[position].to_numpy(np.float64), t_us, rows[measure].to_numpy(np.float64),
-                                 len(old), mark, float(delta), keep_us)
+        pos, ok = rows["_tp_v"].to_numpy(np.int64 if integral else np.float64), rows["_tp_ok"].to_numpy(dtype=bool)
+        ok = ok if integral else ok & np.isfinite(pos)
+        fires, mark = delta_walk(pos, ok, t_us, rows[measure].to_numpy(np.float64, na_value=np.nan),
+                                 len(old), mark, delta, keep_us)
         state.update((mark, _to_ipc(rows.iloc[keep_span(t_us, keep_us):].reset_index(drop=True))))
         if fires:
             fi = [a for a, _ in fires]
             ti = [b for _, b in fires]
             res = rows[fields].iloc[ti].reset_index(drop=True)
-            res.insert(0, f"fire_{time}", rows[time].iloc[fi].to_numpy())
+            for i, c in enumerate(fire_cols):
+                res.insert(i, f"fire_{c}", rows[c].iloc[fi].to_numpy())
             res.insert(0, key, k[0])
             yield res
 
-    return df.groupBy(key).applyInPandasWithState(
-        step, out_schema, state_schema, "append", GroupStateTimeout.NoTimeout)
-
-
-def running_count_stream(words: DataFrame, order: Sequence[str], keep: Sequence[str],
-                         word: str = "word", out: str = "running_count", buckets: int = 512) -> DataFrame:
-    """Running count of each word, one output row per token: the counts are the state.
-
-    Words are grouped into ``buckets`` by hash, as a state per word costs a call
-    per word and micro-batch; choose more for a larger vocabulary (the counts of
-    a bucket are rewritten when it gets rows).  Output: ``keep``, ``word``, the count.
-    """
-    keep = [c for c in keep if c != word]
-    out_schema = T.StructType([_field(words, c) for c in keep] + [_field(words, word), T.StructField(out, T.LongType())])
-    state_schema = T.StructType([T.StructField("counts", T.BinaryType())])
-    order = list(order)
-
-    def step(_k, pdfs, state):
-        frames = [p for p in pdfs if len(p)]
-        if not frames:
-            return
-        rows = pd.concat(frames, ignore_index=True).sort_values(order, kind="stable").reset_index(drop=True)
-        old = (_from_ipc(bytes(state.get[0])).set_index("w")["n"] if state.exists
-               else pd.Series([], index=pd.Index([], dtype=object), dtype="int64"))
-        seen = rows.groupby(word, sort=False).cumcount() + 1
-        res = rows[[*keep, word]].copy()
-        res[out] = rows[word].map(old).fillna(0).astype("int64") + seen
-        total = old.add(rows[word].value_counts(), fill_value=0).astype("int64")
-        state.update((_to_ipc(pd.DataFrame({"w": total.index, "n": total.to_numpy()})),))
-        yield res
-
-    bucketed = words.withColumn("_tp_bucket", F.pmod(F.xxhash64(word), F.lit(buckets)))
-    return bucketed.groupBy("_tp_bucket").applyInPandasWithState(
+    return _number_columns(df, position).groupBy(key).applyInPandasWithState(
         step, out_schema, state_schema, "append", GroupStateTimeout.NoTimeout)
