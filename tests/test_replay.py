@@ -4,9 +4,9 @@ import os
 import random
 import tempfile
 
-import pandas as pd
 import pyarrow as pa
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
@@ -90,13 +90,13 @@ def test_hold_until_emits_once_and_clears(spark):
                                     {"end": F.expr("timestamp'2100-01-01'")}), "ts")
 
     def emit(key, rows):
-        return pd.DataFrame({"end": [key[0]], "n": [len(rows)], "top": [rows["id"].max()]})
+        yield Row(end=key[0], n=len(rows), top=max(r[0] for r in rows))
 
     out = hold_until(stream, ["end"], "end", ["id"], "end timestamp, n long, top long", emit)
     got, batches = _collect(out, "held")
     want = df.groupBy("end").agg(F.count("*").alias("n"), F.max("id").alias("top"))
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and len(batches) >= 6
-    few = hold_until(stream, ["end"], "end", ["id"], "end timestamp, n long, top long", emit, lambda r: r.nlargest(1, "id"))
+    few = hold_until(stream, ["end"], "end", ["id"], "end timestamp, n long, top long", emit, lambda rows: [max(rows)])
     got, _ = _collect(few, "thinned")
     assert sorted((r.end, r.n, r.top) for r in got.collect()) == sorted((r.end, 1, r.top) for r in want.collect())
 

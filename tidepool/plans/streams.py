@@ -81,18 +81,18 @@ def q_stream_tumbling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _result(out, "stream_tumbling").select("event_type", *_wall("window_start", "window_end"), "value_sum", "n")
 
 
-def _view_counts(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Views per item and window, 60 min every 5 min, by panes; windows come out as they close."""
+def _view_counts(spark: SparkSession, sf_dir: str, name: str, slide: str) -> DataFrame:
+    """Views per item and window of 60 min, by panes; windows come out as they close."""
     ev = with_event_time(_events(spark, sf_dir, name, "2 hours"), "ts")
     ev = ev.filter(or_closing(F.col("event_type") == "view"))
     ev = ev.withColumn("item_id", F.get_json_object("props", "$.k").cast("long"))
-    return item_view_counts(ev, "ts", "item_id", "60 minutes", "5 minutes")
+    return item_view_counts(ev, "ts", "item_id", "60 minutes", slide)
 
 
 @register("stream_hot_items")
 def q_stream_hot_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Top 5 viewed items per window, 60 min every 5 min, by panes."""
-    counts = _view_counts(spark, sf_dir, "stream_hot_items")
+    counts = _view_counts(spark, sf_dir, "stream_hot_items", "5 minutes")
     path = shared_path(spark, "stream-hot-items")
     query = drain(stream_top_n(counts, ["window_end"], [F.desc("view_count"), F.asc("item_id")], 5, path,
                                shared_path(spark, "stream-hot-items-checkpoint")))
@@ -103,8 +103,9 @@ def q_stream_hot_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("stream_hot_items_timer")
 def q_stream_hot_items_timer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same by a keyed process: list state per window, a timer at its end + 1, then clear."""
-    counts = _view_counts(spark, sf_dir, "stream_hot_items_timer")
+    """Top 5 viewed items per window, 60 min every 15 min, by a keyed process: list state per window,
+    a timer at its end + 1, then clear (some calls to the state store per window, however many rows it has)."""
+    counts = _view_counts(spark, sf_dir, "stream_hot_items_timer", "15 minutes")
     path = shared_path(spark, "stream-hot-items-timer")
     query = drain(stream_top_n(top_n_on_timer(counts, "window_end", "item_id", "view_count", 5), ["window_end"],
                                [F.desc("view_count"), F.asc("item_id")], 5, path,
@@ -223,7 +224,8 @@ FROM e JOIN m USING (arrival)
 """
 ORACLE["stream_tumbling"] = ORACLE["tumbling_sum"]
 ORACLE["stream_hot_items"] = HOT_ITEMS
-ORACLE["stream_hot_items_timer"] = HOT_ITEMS
+ORACLE["stream_hot_items_timer"] = (HOT_ITEMS.replace("INTERVAL '5 minutes'", "INTERVAL '15 minutes'")
+                                    .replace("(5 * k)", "(15 * k)").replace("series(1, 12)", "series(1, 4)"))
 ORACLE["stream_sessions"] = f"""
 SELECT user_id, session_start, session_end, value_sum, n FROM ({ORACLE["user_sessions"]})
 """

@@ -9,19 +9,27 @@ arrive, so that a state that only needs the best few never holds more.
 reads and writes the words it holds and no others.
 
 The state store must be RocksDB; ``rocksdb`` sets the provider where it is unset.
+Spark starts a process of its own on the driver to register a query's states; files
+sent with ``addPyFile`` do not reach it, so this module's classes travel by value.
 """
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterator, Sequence
+from datetime import datetime, timedelta, timezone
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
 _PROVIDER_KEY = "spark.sql.streaming.stateStore.providerClass"
 
 
@@ -34,69 +42,73 @@ def rocksdb(spark: SparkSession) -> None:
 class HoldUntil(StatefulProcessor):
     """List state of a key's rows, given to ``on_timer`` one millisecond after the key's time."""
 
-    def __init__(self, schema: T.StructType, names: Sequence[str], time_at: int, keep, on_timer):
-        self.schema, self.names, self.time_at = schema, list(names), time_at
-        self.keep, self.on_timer = keep, on_timer
+    def __init__(self, schema: T.StructType, time_at: int, keep, on_timer, chunk: int = 1000):
+        self.schema, self.time_at, self.keep, self.on_timer, self.chunk = schema, time_at, keep, on_timer, chunk
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.rows = handle.getListState("rows", self.schema)
 
-    def _held(self) -> pd.DataFrame:
-        return pd.DataFrame.from_records(list(self.rows.get()), columns=self.names)
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        new = [p[self.names] for p in rows if len(p)]
-        if new:
-            frame = pd.concat(new, ignore_index=True)
-            if self.keep is None:
-                self.rows.appendList([tuple(r) for r in frame.astype(object).itertuples(index=False)])
-            else:
-                if self.rows.exists():
-                    frame = pd.concat([self._held(), frame], ignore_index=True)
-                self.rows.put([tuple(r) for r in self.keep(frame).astype(object).itertuples(index=False)])
-            self.handle.registerTimer(int(pd.Timestamp(key[self.time_at]).value // 1_000_000) + 1)
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        names, new = self.schema.names, []
+        if self.keep is None:
+            for row in rows:
+                new.append(tuple(row[c] for c in names))
+                if len(new) >= self.chunk:
+                    self.rows.appendList(new)
+                    new = []
+            if new:
+                self.rows.appendList(new)
+        else:
+            held = list(self.rows.get()) if self.rows.exists() else []
+            for row in rows:
+                held.append(tuple(row[c] for c in names))
+                if len(held) >= self.chunk:
+                    held = self.keep(held)
+            self.rows.put(self.keep(held))
+        end = key[self.time_at].replace(tzinfo=timezone.utc) if key[self.time_at].tzinfo is None else key[self.time_at]
+        self.handle.registerTimer((end - EPOCH) // timedelta(milliseconds=1) + 1)
         return iter(())
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        held = self._held() if self.rows.exists() else None
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        held = [tuple(r) for r in self.rows.get()]
         self.rows.clear()
-        if held is not None and len(held):
-            yield self.on_timer(key, held)
+        yield from self.on_timer(tuple(key), held)
 
     def close(self) -> None:
         pass
 
 
 def hold_until(df: DataFrame, keys: Sequence[str], time: str, values: Sequence[str], out: str,
-               on_timer: Callable[[tuple, pd.DataFrame], pd.DataFrame],
-               keep: Callable[[pd.DataFrame], pd.DataFrame] | None = None) -> DataFrame:
+               on_timer: Callable[[tuple, list[tuple]], Iterator[Row]],
+               keep: Callable[[list[tuple]], list[tuple]] | None = None) -> DataFrame:
     """Hold the ``values`` of each key's rows until the watermark passes ``time`` (one of ``keys``, a timestamp).
 
-    ``on_timer(key, rows)`` gives the key's output (schema ``out``) and its state
-    is cleared.  ``keep(rows)`` may drop rows that can no longer matter; without it
-    the state holds them all.  ``df`` needs a watermark.
+    ``on_timer(key, rows)`` yields the key's output rows (schema ``out``) and its
+    state is cleared.  ``keep(rows)`` may drop rows that can no longer matter
+    whenever rows have come; without it the state holds them all.  ``df`` needs a
+    watermark; the session's time zone must be UTC.
     """
     rocksdb(df.sparkSession)
     schema = T.StructType([f for c in values for f in df.schema.fields if f.name == c])
-    return (df.groupBy(*keys).transformWithStateInPandas(
-        HoldUntil(schema, list(values), list(keys).index(time), keep, on_timer), out, "Append", "EventTime"))
+    return (df.groupBy(*keys).transformWithState(
+        HoldUntil(schema, list(keys).index(time), keep, on_timer), out, "Append", "EventTime"))
 
 
-def top_n_on_timer(counts: DataFrame, end: str, item: str, count: str, n: int, buckets: int = 16) -> DataFrame:
-    """``end, bucket, item, count``: the top ``n`` items of every window, per bucket of items, as its timer fires.
+def top_n_on_timer(counts: DataFrame, end: str, item: str, count: str, n: int, buckets: int = 1) -> DataFrame:
+    """``end, item, count``: the top ``n`` items of every window, per bucket of items, as its timer fires.
 
-    The items of one window are dealt to ``buckets`` keys, and a key's list holds its
-    best ``n`` items at any time, so a window of any number of items is spread and
-    its states stay small.  The batch ``top_n`` over the buckets' rows of a window
-    (all in one micro-batch: one watermark fires them) gives the window's top ``n``.
+    A key's list holds its best ``n`` items at any time, so its state stays small.
+    For windows of millions of items deal them to several ``buckets``, each a key:
+    the batch ``top_n`` over the buckets' rows of a window (all in one micro-batch,
+    as one watermark fires them) then gives the window's top ``n``.
     """
-    def best(rows: pd.DataFrame) -> pd.DataFrame:
-        return rows.sort_values([count, item], ascending=[False, True]).head(n)
+    def best(rows: list[tuple]) -> list[tuple]:
+        return sorted(rows, key=lambda r: (-r[1], r[0]))[:n]
 
-    def emit(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        rows = best(rows)
-        return pd.DataFrame({end: [key[0]] * len(rows), item: rows[item].to_numpy(), count: rows[count].to_numpy()})
+    def emit(key: tuple, rows: list[tuple]) -> Iterator[Row]:
+        for name, number in best(rows):
+            yield Row(**{end: key[0], item: name, count: number})
 
     kind = dict(counts.dtypes)
     dealt = counts.withColumn("_tp_bucket", F.pmod(F.xxhash64(item), F.lit(buckets)).cast("int"))
