@@ -78,13 +78,13 @@ def remove_repeats(docs, width=100):
     return out
 
 
-def clean_lines(docs, percent=80, min_chars=20, gram=5):
-    """{doc_id: text without the lines that repeat or resemble an earlier one}."""
+def clean_lines(docs, percent=80, gram=5):
+    """{doc_id: text without the lines that repeat or resemble an earlier one}; unique ids."""
     forms, places = {}, {}
     for i, text in sorted(docs, key=lambda d: d[0]):
         for no, line in enumerate((text or "").split("\n")):
             f = " ".join(line.lower().split())
-            if len(f) >= min_chars:
+            if f:
                 forms.setdefault(f, (i, no))
                 places.setdefault(f, []).append((i, no))
     names = list(forms)

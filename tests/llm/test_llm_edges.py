@@ -66,6 +66,35 @@ def test_lines(odd, none):
     assert all(r["text"] == want[r["row"]["doc_id"]] for r in got if r["row"]["doc_id"] is not None)
 
 
+def test_lines_of_several_texts_under_one_id(spark):
+    """Texts are told apart by id and hash: a line of one is not removed because of its number in another."""
+    long = "A line that stands in many of these texts, word for word."
+    texts = [(1, long + "\nonly here, with words of its own"), (1, "nothing of that\nbut other things\nand more"),
+             (2, long + "\nanother end"), (2, "Share this post\nlast"), (3, "share  this POST\nx"), (3, "Share this post"),
+             (None, long), (4, "x")]
+    df = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    got = sorted((r["row"]["doc_id"], r["text"], r["n_lines"], r["n_removed"]) for r in clean_lines(df).collect()
+                 if r["row"]["doc_id"] is not None)
+    for doc_id, text, n, removed in got:
+        before = next(t for i, t in texts if i == doc_id and n == t.count("\n") + 1
+                      and set(text.split("\n")) <= set(t.split("\n")) | {""})
+        assert removed == n - len(text.split("\n")) if text else removed == n
+        assert before
+    kept = [line for _, t, _, _ in got for line in t.split("\n")]
+    assert kept.count(long) == 1 and sum(line.lower().split() == ["share", "this", "post"] for line in kept) == 1
+    assert kept.count("x") == 1
+    for own in ("only here, with words of its own", "nothing of that", "but other things", "and more", "another end", "last"):
+        assert kept.count(own) == 1
+
+
+def test_line_sizes_and_tokens():
+    from tidepool.llm import lines
+    forms = ["aaaaaaaaaa", "abcdefgh", "ab ab ab ab ab ab", "x" * 5, "héllo wörld " * 500]
+    grams, starts = lines._join(forms)
+    assert lines.set_sizes(grams, starts).tolist() == [len(lines.form_set(f)) for f in forms]
+    assert lines.node_of("abc", 0) & lines.MOST == 0 and lines.node_of("abc", 10 ** 6) & lines.MOST == lines.MOST
+
+
 @pytest.mark.parametrize("hot", [1, 4096])
 def test_repeats(odd, none, hot):
     want = brute.remove_repeats([(-1, _rows()[-1][1]), *dict(TEXTS).items()])

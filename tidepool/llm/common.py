@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import uuid
 from collections.abc import Iterator
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidepool.session import checkpoint_dir
 
@@ -29,6 +31,20 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+LISTED = 2_000_000  # rows of a list of ids that may be broadcast (16 bytes each)
+
+
+def listed(ids: DataFrame) -> DataFrame:
+    """A written list of ids, to be broadcast if it has at most ``LISTED`` rows, else joined by shuffle."""
+    return F.broadcast(ids) if ids.count() <= LISTED else ids
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files of finished steps: it does so when the driver collects its garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def text_groups(texts: list[bytes], limit: int = 1 << 20) -> Iterator[tuple[int, int]]:
     """Ranges ``[a, b)`` of consecutive texts of about ``limit`` bytes (a longer text stands alone)."""
     a, size = 0, 0

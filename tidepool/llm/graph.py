@@ -167,18 +167,24 @@ def _block_links(lists: DataFrame, items: DataFrame, to_set: ToSet, percent: int
     return rows.select("pair", "node", "comp", "item").groupBy("pair").applyInArrow(compare, "a long, b long")
 
 
-def linked_components(postings: DataFrame, items: DataFrame, to_set: ToSet, percent: int,
+def linked_components(postings: DataFrame, items: DataFrame | Callable[[DataFrame], DataFrame], to_set: ToSet, percent: int,
                       likely: Callable[[DataFrame], DataFrame] = lambda pairs: pairs) -> tuple[DataFrame, DataFrame]:
     """Components (``node, root``) and confirmed links (``a, b``) of posting lists.
 
     ``postings`` has ``token, node, weight`` (the member of a list with the
-    largest weight is its foremost), ``items`` has ``node, item``; ``to_set``
-    turns an item into its sorted distinct 64-bit elements.  ``likely`` may drop
+    largest weight is its foremost), ``items`` has ``node, item`` (or gives that for
+    a table of the nodes in question); ``to_set`` turns an item into its sorted distinct 64-bit elements.  ``likely`` may drop
     candidate pairs (``a < b``) that cannot reach ``percent``.
     """
+    def items_of(rows: DataFrame, *cols: str) -> DataFrame:
+        if isinstance(items, DataFrame):
+            return items
+        return items(rows.select(F.explode(F.array(*cols)).alias("node")).distinct())
+
     def confirm(pairs: DataFrame) -> DataFrame:
         pairs = cut(likely(pairs), "pairs")
-        full = (pairs.join(items.toDF("b", "item_b"), "b").join(items.toDF("a", "item_a"), "a")
+        own = items_of(pairs, "a", "b")
+        full = (pairs.join(own.toDF("b", "item_b"), "b").join(own.toDF("a", "item_a"), "a")
                 .select("a", "b", "item_a", "item_b"))
         return cut(full.mapInArrow(lambda it: _pair_batches(it, to_set, percent), "a long, b long"), "links")
 
@@ -207,5 +213,5 @@ def linked_components(postings: DataFrame, items: DataFrame, to_set: ToSet, perc
     links = links.unionByName(confirm(pairs))
     long = members.filter(F.col("m") > SHORT).select("token", "node", "comp")
     if not long.isEmpty():
-        links = links.unionByName(cut(_block_links(long, items, to_set, percent), "block-links"))
+        links = links.unionByName(cut(_block_links(long, items_of(long, "node"), to_set, percent), "block-links"))
     return cut(components(links), "components"), links

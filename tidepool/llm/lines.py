@@ -1,22 +1,33 @@
 """Line deduplication by MinHash over character shingles.
 
-A line's *form* is its text in lower case with white space runs as one blank;
-lines whose form is shorter than ``MIN_CHARS`` are left alone.  Lines with equal
-forms are one node.  Every node gets a signature of ``BANDS * ROWS`` MinHash
-coordinates over the 5-character shingles of its form; nodes that agree in a
-whole band meet in a posting list, and ``graph.linked_components`` (distributed
-union-find) connects those whose exact Jaccard similarity reaches 0.8.  At 0.8
-a pair shares no band with probability (1 - 0.8**4)**10 = 0.5 %, at 0.9 it is
-2e-5.  Unrelated lines of one language have a tenth of their shingles in common,
-so bands of two coordinates would collide everywhere.  Of each component the line that comes first by (id, line number) stays.
-
-The node of a form is a 64-bit hash of it.
-
-Edge cases: a null text has no lines and stays null; empty and short lines stay;
-a text that loses every line becomes empty, its row stays; equal lines within a
-text count like any others; rows that repeat an id and text are one document;
-rows with a null id keep all their lines and stand for nothing; other columns
-pass in a struct, so no name can clash; an empty table gives an empty result.
+A line's *form* is its text in lower case with white space runs as one blank; a
+line without a form (blank) is left alone.  Lines with equal forms are one node,
+whatever their length.
+
+1. *Signatures.*  Every node with a shingle (5 characters) gets ``BANDS * ROWS``
+   MinHash coordinates of 16 bits; a band of four is a 64-bit token.  A task
+   posts a form once, however often it meets it.
+2. *Banding.*  Nodes that share a token meet in a posting list; tokens of one node
+   are dropped.  At a similarity of 0.8 a pair shares no band three times in a
+   hundred thousand ((1 - 0.8**4)**20), at 0.9 once in a hundred million.
+3. *Verification.*  ``graph.linked_components`` (distributed union-find) walks the
+   lists.  A pair goes on if its set sizes allow 0.8 (they are kept in the node
+   number, so this needs no join) and ``AGREE`` of its 80 coordinates agree (64 are
+   expected at 0.8; fewer than ``AGREE`` happen about once in a million such pairs);
+   then the exact Jaccard similarity of the shingle sets decides.  Only for
+   such pairs are the forms fetched from the texts.
+
+Of each component the line that comes first by (id, text hash, line number) stays.
+
+The node of a form is a 52-bit hash of it and its set size (12 bits, the largest
+value meaning as many or more).
+
+Edge cases: a null text has no lines and stays null; blank lines stay; forms
+shorter than a shingle are compared as a whole; a text that loses every line becomes
+empty, its row stays; equal lines within a text count like any others; rows that
+repeat an id and text are one document; different texts under one id are documents
+of their own; rows with a null id keep all their lines and stand for nothing; other
+columns pass in a struct, so no name can clash; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -26,19 +37,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidepool.llm.common import coordinates, cut, mix
+from tidepool.llm.common import LISTED, coordinates, cut, listed, mix, release
 from tidepool.llm.graph import linked_components
-from tidepool.llm.minhash import packed_texts
 
 GRAM = 5
-BANDS = 10
+BANDS = 20
 ROWS = 4
-MIN_CHARS = 20
 PERCENT = 80
+AGREE = 45
+SIZE_BITS = 12
+MOST = (1 << SIZE_BITS) - 1        # set sizes of this many and more are not told apart
+SEEN = 1 << 18                     # nodes a task remembers as posted
 _GRAM_LANES = (np.random.default_rng(5).integers(0, 1 << 63, GRAM, dtype=np.uint64)
                * np.uint64(2) + np.uint64(1))
 
@@ -48,9 +60,10 @@ def form(line: str) -> str:
     return " ".join(line.lower().split())
 
 
-def node_of(text: str) -> int:
-    """64-bit node id of a form."""
-    return int.from_bytes(hashlib.blake2b(text.encode("utf-8"), digest_size=8).digest(), "little", signed=True)
+def node_of(text: str, size: int) -> int:
+    """Node of a form with ``size`` distinct shingles."""
+    h = int.from_bytes(hashlib.blake2b(text.encode("utf-8"), digest_size=8).digest(), "little", signed=True)
+    return (h >> SIZE_BITS << SIZE_BITS) | min(size, MOST)
 
 
 def gram_hashes(codes: np.ndarray) -> np.ndarray:
@@ -63,144 +76,194 @@ def gram_hashes(codes: np.ndarray) -> np.ndarray:
     return mix(acc)
 
 
-def _band_rows(forms: list[str], masks: np.ndarray, muls: np.ndarray) -> np.ndarray:
-    """Band hashes (lines x BANDS) of forms of at least ``GRAM`` characters."""
+def _join(forms: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Shingle hashes of forms of at least ``GRAM`` characters, one after another, and where each form's start."""
     lens = np.array([len(f) for f in forms])
     codes = np.frombuffer("".join(forms).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
     grams = gram_hashes(codes)
-    at = np.concatenate([[0], np.cumsum(lens)])
+    at = np.cumsum(lens)
     inside = np.ones(len(codes), dtype=bool)
     for j in range(1, GRAM):
-        inside[at[1:] - j] = False       # shingles that would run into the next line
-    grams = grams[inside[:len(grams)]]
-    starts = np.concatenate([[0], np.cumsum(lens - GRAM + 1)[:-1]])
-    sig = np.empty((len(forms), len(masks)), dtype=np.uint64)
-    for j in range(len(masks)):
-        sig[:, j] = np.minimum.reduceat((grams ^ masks[j]) * muls[j], starts)
-    out = np.empty((len(forms), BANDS), dtype=np.uint64)
-    for b in range(BANDS):
-        acc = np.full(len(forms), b + 1, dtype=np.uint64)
-        for r in range(ROWS):
-            acc = mix(acc ^ sig[:, b * ROWS + r])
-        out[:, b] = acc
+        inside[at - j] = False           # shingles that would run into the next line
+    return grams[inside[:len(grams)]], np.concatenate([[0], np.cumsum(lens - GRAM + 1)[:-1]])
+
+
+def set_sizes(grams: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Number of distinct shingles of each form."""
+    line = np.zeros(len(grams), dtype=np.uint64)
+    line[starts[1:]] = 1
+    line = np.cumsum(line, dtype=np.uint64) << np.uint64(44)     # at most 2**20 forms at a time
+    keys = np.sort(line | (grams >> np.uint64(20)))
+    new = np.append(True, keys[1:] != keys[:-1])
+    return np.bincount((keys[new] >> np.uint64(44)).astype(np.int64), minlength=len(starts))
+
+
+def band_tokens(grams: np.ndarray, starts: np.ndarray, masks: np.ndarray, muls: np.ndarray) -> np.ndarray:
+    """Tokens (forms x BANDS): four coordinates of 16 bits each."""
+    low = (grams >> np.uint64(32)).astype(np.uint32)
+    buf = np.empty_like(low)
+    out = np.zeros((len(starts), BANDS), dtype=np.uint64)
+    for j in range(BANDS * ROWS):
+        np.bitwise_xor(low, masks[j], out=buf)
+        np.multiply(buf, muls[j], out=buf)
+        least = np.minimum.reduceat(buf, starts)
+        out[:, j // ROWS] |= (mix(least.astype(np.uint64)) >> np.uint64(48)) << np.uint64(16 * (j % ROWS))
     return out.view(np.int64)
 
 
 def _line_batches(batches: Iterator[pa.RecordBatch], seed: int) -> Iterator[pa.RecordBatch]:
-    masks, muls = coordinates(seed, BANDS * ROWS)
-    ids, nos, forms, size = [], [], [], 0
+    masks, muls = (x.astype(np.uint32) for x in coordinates(seed, BANDS * ROWS))
+    muls |= np.uint32(1)
+    seen: set[int] = set()
+    ids, hs, nos, forms, chars = [], [], [], [], 0
 
     def flush() -> pa.RecordBatch:
-        bands = _band_rows(forms, masks, muls)
-        flat = pa.ListArray.from_arrays(
-            pa.array(np.arange(0, bands.size + 1, BANDS), pa.int32()), pa.array(bands.ravel(), pa.int64()))
+        size, bands = np.zeros(len(forms), dtype=np.int64), [None] * len(forms)
+        long = [i for i, f in enumerate(forms) if len(f) >= GRAM]
+        if long:
+            grams, starts = _join([forms[i] for i in long])
+            size[long] = set_sizes(grams, starts)
+        nodes = [node_of(f, n) for f, n in zip(forms, size.tolist())]
+        if len(seen) > SEEN:
+            seen.clear()
+        new = []
+        for k, i in enumerate(long):
+            if nodes[i] not in seen:
+                seen.add(nodes[i])
+                new.append((k, i))
+        if new:
+            if len(new) < len(long):
+                grams, starts = _join([forms[i] for _, i in new])
+            tokens = band_tokens(grams, starts, masks, muls)
+            for (_, i), row in zip(new, tokens):
+                bands[i] = row
         out = pa.RecordBatch.from_arrays(
-            [pa.array(ids, pa.int64()), pa.array(nos, pa.int32()),
-             pa.array([node_of(f) for f in forms], pa.int64()), flat], names=["doc_id", "line_no", "node", "bands"])
-        ids.clear(), nos.clear(), forms.clear()
+            [pa.array(ids, pa.int64()), pa.array(hs, pa.int64()), pa.array(nos, pa.int32()), pa.array(nodes, pa.int64()),
+             pa.array(bands, pa.list_(pa.int64()))], names=["doc_id", "h", "line_no", "node", "bands"])
+        for x in (ids, hs, nos, forms):
+            x.clear()
         return out
 
     for batch in batches:
-        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            for no, line in enumerate((text.as_py() or "").split("\n")):
+        for doc_id, h, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
+            for no, line in enumerate(text.as_py().split("\n")):
                 f = form(line)
-                if len(f) >= MIN_CHARS:
-                    ids.append(doc_id), nos.append(no), forms.append(f)
-                    size += len(f)
-                    if size > 1 << 18:
+                if f:
+                    ids.append(doc_id), hs.append(h), nos.append(no), forms.append(f)
+                    chars += len(f)
+                    if chars > 1 << 18:
                         yield flush()
-                        size = 0
+                        chars = 0
     if forms:
         yield flush()
 
 
 def _pick_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    unpack = zstandard.ZstdDecompressor()
     for batch in batches:
-        for z, nos in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
-            lines = unpack.decompress(z.as_py()).decode("utf-8").split("\n")
-            forms = [form(lines[i]) for i in nos]
+        for text, at in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
+            lines = text.as_py().split("\n")
             yield pa.RecordBatch.from_arrays(
-                [pa.array([node_of(f) for f in forms], pa.int64()), pa.array(forms, pa.string())],
-                names=["node", "form"])
+                [pa.array([x["node"] for x in at], pa.int64()),
+                 pa.array([form(lines[x["line_no"]]) for x in at], pa.string())], names=["node", "item"])
 
 
 def form_set(text: str) -> np.ndarray:
     """Distinct shingle hashes of a form."""
-    return np.unique(gram_hashes(np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)))
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    return np.unique(gram_hashes(codes)) if len(codes) >= GRAM else np.zeros(0, dtype=np.uint64)
+
+
+def _sizes_allow(a: str, b: str, percent: int) -> Column:
+    x, y = (F.col(c).bitwiseAND(F.lit(MOST)) for c in (a, b))
+    return 100 * F.least(x, y) >= percent * F.greatest(x, y)      # a size of MOST or more counts as MOST
+
+
+def _agreeing(a: str, b: str) -> Column:
+    """Coordinates in which two nodes' tokens agree."""
+    field = [0xFFFF, 0xFFFF << 16, 0xFFFF << 32, -(1 << 48)]
+    same = F.zip_with(a, b, lambda x, y: sum(
+        (F.when(x.bitwiseXOR(y).bitwiseAND(F.lit(m).cast("long")) == 0, 1).otherwise(0) for m in field), F.lit(0)))
+    return F.aggregate(same, F.lit(0), lambda n, x: n + x)
 
 
 def repeated_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
                    percent: int = PERCENT, seed: int = 6) -> DataFrame:
-    """``doc_id, drop`` (sorted line numbers) for the documents that lose lines."""
-    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).filter(
-        "doc_id is not null")
+    """``doc_id, h, drop`` (sorted line numbers) for the texts that lose lines; ``h`` is the text's ``xxhash64``."""
+    text = F.col(f"`{text_col}`")
+    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("h"), text.alias("text")).filter(
+        "doc_id is not null and text is not null")
     lines = cut(base.mapInArrow(lambda it: _line_batches(it, seed),
-                                "doc_id long, line_no int, node long, bands array<long>"), "lines")
-    banded = lines.select(F.explode("bands").alias("token"), "node")
-    full = cut(banded.groupBy("token").agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
-               .filter("lo <> hi").select("token"), "bands")
-    posted = cut(banded.join(full, "token").distinct().withColumn("weight", F.lit(1)), "postings")
-
-    where = (lines.join(posted.select("node").distinct(), "node")
-             .groupBy("node").agg(F.min(F.struct("doc_id", "line_no")).alias("at"))
-             .groupBy(F.col("at.doc_id").alias("at_doc")).agg(F.collect_list("at.line_no").alias("nos")))
-    where = cut(where, "line-places")
-    forms = cut(packed_texts(base, "doc_id", "text").join(where, F.col("doc_id") == F.col("at_doc"))
-                .dropDuplicates(["doc_id"]).select("z", "nos")
-                .mapInArrow(_pick_lines, "node long, form string"), "line-forms")
-
-    roots, _ = linked_components(posted, forms.select("node", F.col("form").alias("item")), form_set, percent)
-    keyed = (lines.select("doc_id", "line_no", "node").join(roots, "node", "left")
-             .select("doc_id", "line_no", F.coalesce("root", "node").alias("comp")))
-    first = cut(keyed.groupBy("comp").agg(F.min(F.struct("doc_id", "line_no")).alias("first"),
-                                          F.count("*").alias("n")).filter("n > 1"), "first-lines")
-    return (keyed.join(first, "comp")
-            .filter((F.col("first.doc_id") != F.col("doc_id")) | (F.col("first.line_no") != F.col("line_no")))
-            .groupBy("doc_id").agg(F.sort_array(F.collect_set("line_no")).alias("drop")))
+                                "doc_id long, h long, line_no int, node long, bands array<long>"), "lines")
+    first_met = lines.filter("bands is not null")
+    banded = first_met.select(F.posexplode("bands").alias("band", "value"), "node")
+    own = Window.partitionBy("token")
+    posted = (banded.select(F.xxhash64("band", "value").alias("token"), "node")
+              .withColumns({"lo": F.min("node").over(own), "hi": F.max("node").over(own)}).filter("lo <> hi")
+              .select("token", "node").distinct().withColumn("weight", F.lit(1)))
+    posted = cut(posted, "postings")
+    release(docs.sparkSession)
+
+    def likely(pairs: DataFrame) -> DataFrame:
+        pairs = cut(pairs.filter(_sizes_allow("a", "b", percent)), "sized-pairs")
+        nodes = listed(cut(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "sized-nodes"))
+        sig = cut(first_met.select("node", "bands").join(nodes, "node").groupBy("node").agg(F.first("bands").alias("bands")),
+                  "signatures")
+        full = pairs.join(sig.toDF("a", "sig_a"), "a").join(sig.toDF("b", "sig_b"), "b")
+        return full.filter(_agreeing("sig_a", "sig_b") >= AGREE).select("a", "b")
+
+    def forms(nodes: DataFrame) -> DataFrame:
+        release(docs.sparkSession)
+        nodes = cut(nodes, "form-nodes")
+        at = (lines.select("node", "doc_id", "h", "line_no").join(listed(nodes), "node")
+              .groupBy("node").agg(F.min(F.struct("doc_id", "h", "line_no")).alias("at")))
+        where = cut(at.groupBy(F.col("at.doc_id").alias("doc_id"), F.col("at.h").alias("h"))
+                    .agg(F.collect_list(F.struct("at.line_no", "node")).alias("nos")), "form-places")
+        # a list of at most LISTED nodes has no more places
+        where = F.broadcast(where) if nodes.count() <= LISTED else where
+        picked = base.join(where, ["doc_id", "h"]).select("text", "nos").mapInArrow(_pick_lines, "node long, item string")
+        return cut(picked.groupBy("node").agg(F.first("item").alias("item")), "line-forms")
+
+    roots, _ = linked_components(posted, forms, form_set, percent, likely)
+    keyed = (lines.select("doc_id", "h", "line_no", "node").join(roots, "node", "left")
+             .select("doc_id", "h", "line_no", F.coalesce("root", "node").alias("comp")))
+    place = F.struct("doc_id", "h", "line_no")
+    first = cut(keyed.groupBy("comp").agg(F.min(place).alias("first"), F.max(place).alias("last"))
+                .filter("first <> last").select("comp", "first"), "first-lines")
+    return (keyed.join(first, "comp").filter(place != F.col("first"))
+            .groupBy("doc_id", "h").agg(F.sort_array(F.collect_set("line_no")).alias("drop")))
 
 
 def _rebuild(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    unpack = zstandard.ZstdDecompressor()
     for batch in batches:
         for at in range(0, batch.num_rows, 500):
             part = batch.slice(at, 500)
-            z, drop = part.column("z"), part.column("drop").to_pylist()
             total, gone, out = [], [], []
-            for i in range(part.num_rows):
-                zi = z[i].as_py()
-                if zi is None:
-                    total.append(0), gone.append(0), out.append(None)
-                    continue
-                text = unpack.decompress(zi).decode("utf-8")
-                lines = text.split("\n")
-                bad = set(drop[i] or ())
+            for text, drop in zip(part.column("text"), part.column("drop").to_pylist()):
+                lines, bad = text.as_py().split("\n"), set(drop)
                 total.append(len(lines)), gone.append(len(bad))
-                out.append("\n".join(ln for k, ln in enumerate(lines) if k not in bad) if bad else text)
+                out.append("\n".join(ln for k, ln in enumerate(lines) if k not in bad))
             yield pa.RecordBatch.from_arrays(
                 [part.column("row"), pa.array(total, pa.int64()), pa.array(gone, pa.int64()),
                  pa.array(out, pa.string())], names=["row", "n_lines", "n_removed", "text"])
 
 
-def _pack_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    pack = zstandard.ZstdCompressor(level=1)
-    for whole in batches:
-        for at in range(0, whole.num_rows, 500):
-            part = whole.slice(at, 500)
-            z = [None if v is None else pack.compress(v.encode("utf-8")) for v in part.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("row"), pa.array(z, pa.binary())],
-                                             names=["doc_id", "row", "z"])
-
-
 def clean_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
                 percent: int = PERCENT) -> DataFrame:
     """Rows of ``docs`` as ``row`` (a struct of the other columns), ``n_lines, n_removed, text``."""
     drop = cut(repeated_lines(docs, id_col=id_col, text_col=text_col, percent=percent)
-               .withColumnRenamed("doc_id", "drop_id"), "dropped-lines")
-    other = [F.col(f"`{c}`") for c in docs.columns if c != text_col]
-    row = F.struct(*other).alias("row")
+               .toDF("drop_id", "drop_h", "drop"), "dropped-lines")
+    n = drop.agg(F.count("*"), F.sum(F.size("drop"))).first()
+    drop = F.broadcast(drop) if n[0] + (n[1] or 0) <= LISTED else drop
+    release(docs.sparkSession)
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_col]).alias("row")
     shape = docs.select(row).schema["row"].dataType.simpleString()
-    packed = docs.select(F.col(id_col).cast("long").alias("doc_id"), row, F.col(text_col).alias("text")).mapInArrow(
-        _pack_rows, f"doc_id long, row {shape}, z binary")
-    return (packed.join(drop, F.col("doc_id") == F.col("drop_id"), "left").select("row", "z", "drop")
-            .mapInArrow(_rebuild, f"row {shape}, n_lines long, n_removed long, text string"))
+    text = F.col(f"`{text_col}`")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("h"), row, text.alias("text"))
+    rows = rows.join(drop, (F.col("doc_id") == F.col("drop_id")) & (F.col("h") == F.col("drop_h")) & F.col("text").isNotNull(),
+                     "left")
+    whole = rows.filter("drop is null").select(
+        "row", F.coalesce(F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1, F.lit(0)).cast("long").alias("n_lines"),
+        F.lit(0).cast("long").alias("n_removed"), "text")
+    less = rows.filter("drop is not null").select("row", "text", "drop").mapInArrow(
+        _rebuild, f"row {shape}, n_lines long, n_removed long, text string")
+    return whole.unionByName(less)
