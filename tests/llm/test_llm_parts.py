@@ -106,8 +106,8 @@ def test_decoding_restores_disguised_words():
     for disguised, word in (("1d10t", "idiot"), ("i d i o t", "idiot"), ("s.t.u.p.i.d", "stupid"), ("tr@$h", "trash"),
                             ("stuuuupid", "stupid"), ("1d1000t", "idiot")):
         assert word in toxicity.restore(disguised, lm), disguised
-        assert word in toxicity.text_words(f"so {disguised} it is", lm, {})
-    assert toxicity.text_words("plain words here", lm, {}) == {"plain", "words", "here"}
+        assert word in toxicity.text_words(f"so {disguised} it is", lm, {})[0]
+    assert toxicity.text_words("plain words here", lm, {}) == ({"plain", "words", "here"}, 3)
 
 
 def test_best_fit_under_conflicts():

@@ -49,7 +49,7 @@ def test_disguises_by_blanks_and_doubled_letters():
     missed = [s for s, word in (
         ("iddiioott", "idiot"), ("stuupid", "stupid"), ("i  d  i  o  t", "idiot"), ("i\td\ti\to\tt", "idiot"),
         ("t \tr a   s h", "trash"), ("i d\ni o t", "idiot"), ("a b c   i d i o t", "idiot"))
-        if word not in toxicity.text_words(f"so {s} it is", lm, {})]
+        if word not in toxicity.text_words(f"so {s} it is", lm, {})[0]]
     assert not missed
 
 

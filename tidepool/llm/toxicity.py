@@ -10,13 +10,20 @@ of all texts) picks the likeliest original; the ``BEST`` best readings count.
 *Score.*  Words (as written and as restored) and their beginnings of 4 to 6
 characters are the features.  A feature's weight is the lower confidence bound
 of its log odds ratio between toxic and clean training texts.  A text is judged
-by its three strongest distinct words and its number of words in a logistic
-model.  Weights and logistic model are fitted on disjoint halves in turn
+by its three strongest distinct words and its number of words, as written, in a
+logistic model.  Weights and logistic model are fitted on disjoint halves in turn
 (weights of one half, scores of the other), then the weights on both.
 
+*Skeletons.*  A word only matters if one of its features has a weight.  With
+look-alikes put in one class, repeats and separators taken out, the skeleton of a
+restored word is that of a stretch of the token it came from, so when scoring only
+tokens go through the lattice from one of whose possible word starts the skeleton
+of a weighted feature follows.  Scores are the same as without this.
+
 Bounds, all independent of the input: at most ``TRAIN_ROWS`` labelled texts
-(those with the smallest id hashes), ``MAX_FEATURES`` features, 28**3 trigrams.
-The trigram counts cover every text whole, and every text is scored whole.
+(those with the smallest id hashes), whose features are all that a model can
+hold, and 28**3 trigrams.  The trigram counts cover every text whole, and every
+text is scored whole.
 
 Edge cases: null and empty texts have no features and get the score of a text
 without evidence; several labels of one id count as toxic if one is; without
@@ -30,7 +37,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -41,7 +48,6 @@ from pyspark.sql import functions as F
 from tidepool.llm.common import cut
 
 TRAIN_ROWS = 12_000
-MAX_FEATURES = 20_000
 BEST = 2
 LETTERS = 28  # word border, a-z, any other letter
 LOOKALIKES = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
@@ -108,7 +114,7 @@ def _readings(chars: str, i: int) -> list[tuple[str, float]]:
     return out or [(" ", 1.0)]
 
 
-def decode(stretch: str, lm: np.ndarray, best: int = BEST, width: int = 64) -> list[str]:
+def decode(stretch: str, lm: np.ndarray, best: int = BEST) -> list[str]:
     """The ``best`` likeliest originals of a disguised stretch (lower case), by Viterbi search.
 
     A state is the last two characters; each state keeps its ``best`` paths.
@@ -121,10 +127,7 @@ def decode(stretch: str, lm: np.ndarray, best: int = BEST, width: int = 64) -> l
                 state = (p, q) if ch == "" else (q, _letter(ch))
                 gain = -cost if ch == "" else -cost + float(lm[p, q, state[1]])
                 new.setdefault(state, []).extend((s + gain, text + ch) for s, text in kept)
-        paths = {}
-        ranked = sorted(new.items(), key=lambda kv: -max(kv[1])[0])[:width]
-        for state, options in ranked:
-            paths[state] = sorted(set(options), key=lambda o: (-o[0], o[1]))[:best]
+        paths = {state: sorted(set(options), key=lambda o: (-o[0], o[1]))[:best] for state, options in new.items()}
     ends = [(s + float(lm[p, q, 0]), text) for (p, q), kept in paths.items() for s, text in kept]
     out: list[str] = []
     for _, text in sorted(ends, key=lambda o: (-o[0], o[1])):
@@ -139,11 +142,17 @@ def suspicious(token: str) -> bool:
     return bool(_INSIDE.search(token) or _DOUBLE.search(token))
 
 
-PIECE = 64  # characters of a stretch that are decoded together
+PIECE = 256     # characters of a stretch that are decoded together
+_RUN = re.compile(r"(.)\1{2,}", re.DOTALL)
 
 
 def restore(stretch: str, lm: np.ndarray) -> set[str]:
-    """Words of the likeliest originals; a very long stretch is decoded in overlapping pieces."""
+    """Words of the likeliest originals.
+
+    Runs are cut to two characters first, so a stretched word stays short; what is
+    longer than ``PIECE`` then is decoded in pieces that overlap by half.
+    """
+    stretch = _RUN.sub(r"\1\1", stretch)
     out: set[str] = set()
     for a in range(0, max(1, len(stretch) - PIECE // 2), PIECE // 2):
         for text in decode(stretch[a:a + PIECE], lm):
@@ -151,25 +160,91 @@ def restore(stretch: str, lm: np.ndarray) -> set[str]:
     return out
 
 
-def text_words(text: str, lm: np.ndarray, cache: dict[str, frozenset[str]]) -> set[str]:
-    """Distinct words of a text as written and as restored."""
+# --- skeletons ---------------------------------------------------------------
+
+_SOFT, _HARD = "\x01", "\x02"      # a separator, a character that can only part words
+
+
+def _class_of(ch: str) -> str:
+    ch = LOOKALIKES.get(ch, ch)[0]
+    return "i" if ch == "l" else ch        # 1 and | may be either
+
+
+class _Classes(dict):
+    def __missing__(self, code: int) -> str:
+        ch = chr(code)
+        self[code] = out = (_class_of(ch) if ch in LOOKALIKES or ch.isalpha() else _SOFT if ch in SEPARATORS else _HARD)
+        return out
+
+
+_CLASSES = _Classes()
+
+
+def skeletons(stretch: str) -> Iterator[tuple[str, list[int]]]:
+    """Skeletons of the parts of a stretch, with the places at which a word may begin."""
+    for part in stretch.translate(_CLASSES).split(_HARD):
+        runs, starts, fresh = [], [], True
+        for ch in part:
+            if ch == _SOFT:
+                fresh = True
+                continue
+            if not runs or ch != runs[-1]:
+                runs.append(ch)
+            if fresh:
+                starts.append(len(runs) - 1)
+                fresh = False
+        if runs:
+            yield "".join(runs), starts
+
+
+class Skeletons:
+    """The skeletons of the features that have a weight."""
+
+    def __init__(self, weights: dict[str, float]):
+        self.known = {"".join(s for s, _ in skeletons(f[1:])) for f in weights} - {""}
+        self.sizes = sorted({len(s) for s in self.known})
+
+    def may_hold(self, stretch: str) -> bool:
+        """Whether a restored word of the stretch could have a weighted feature."""
+        return any(s[a:a + n] in self.known for s, starts in skeletons(stretch) for a in starts for n in self.sizes)
+
+
+def written_tokens(text: str) -> tuple[set[str], set[str]]:
+    """Distinct tokens of a text in lower case, and its stretches of characters set apart."""
     low = text.lower()
+    tokens = low.split()
+    apart: set[str] = set()
+    if sum(len(t) == 1 for t in tokens) > 2:
+        even = " ".join(tokens)  # wider blanks part the letters in ``even``, words in ``low``
+        apart = {m.group() for t in {even, low} for m in _SPACED.finditer(t)}
+    return set(tokens), apart
+
+
+def token_words(token: str, lm: np.ndarray, may_hold=None) -> set[str]:
+    """The word that a token is and those that it may hide."""
+    word = token.strip(EDGE)
+    found = {word} if word else set()
+    if suspicious(token):
+        hidden = token.strip(".,;:?\"[]{}")
+        if may_hold is None or may_hold(hidden):
+            found |= restore(hidden, lm)
+    return found
+
+
+def text_words(text: str, lm: np.ndarray, cache: dict[str, frozenset[str]]) -> tuple[set[str], int]:
+    """Distinct words of a text as written and as restored, and the number of distinct tokens."""
+    tokens, apart = written_tokens(text)
     out: set[str] = set()
-    for token in set(low.split()):
+    for token in tokens:
         words = cache.get(token)
         if words is None:
-            word = token.strip(EDGE)
-            found = {word} if word else set()
-            if suspicious(token):
-                found |= restore(token.strip(".,;:?\"[]{}"), lm)
-            words = frozenset(found)
-            if len(cache) < 1 << 18:
+            words = frozenset(token_words(token, lm))
+            if len(cache) < 1 << 16:
                 cache[token] = words
         out |= words
-    even = " ".join(low.split())  # wider blanks part the letters in ``even``, words in ``low``
-    for stretch in {m.group() for t in {even, low} for m in _SPACED.finditer(t)}:
+    for stretch in apart:
         out |= restore(stretch, lm)
-    return out
+    return out, len(tokens)
 
 
 def word_features(word: str) -> list[str]:
@@ -186,26 +261,41 @@ class ToxicityModel:
     weights: dict[str, float] = field(default_factory=dict)
     logistic: np.ndarray | None = None
 
-    def score(self, words: set[str], cache: dict[str, float]) -> float:
+    def __post_init__(self):
+        self.skeletons = Skeletons(self.weights)
+
+    def weight(self, word: str) -> float:
+        return max((self.weights.get(f, 0.0) for f in word_features(word)), default=0.0)
+
+    def _weighted(self, words: set[str]) -> tuple[tuple[str, float], ...]:
+        return tuple((w, x) for w in words if (x := self.weight(w)) > 0)
+
+    def score(self, text: str, cache: dict[str, tuple], sift: bool = True) -> float:
+        """Score of a text; ``sift=False`` decodes every suspicious stretch, to the same result."""
         if self.logistic is None:
             return 0.0
-        z = float(self.logistic @ evidence(words, self.weights, cache))
+        may_hold = self.skeletons.may_hold if sift else None
+        tokens, apart = written_tokens(text)
+        strong: dict[str, float] = {}
+        for token in tokens:
+            found = cache.get(token)
+            if found is None:
+                found = self._weighted(token_words(token, self.lm, may_hold))
+                if len(cache) < 1 << 16:
+                    cache[token] = found
+            if found:
+                strong.update(found)
+        for stretch in apart:
+            if not sift or may_hold(stretch):
+                strong.update(self._weighted(restore(stretch, self.lm)))
+        z = float(self.logistic @ evidence(strong.values(), len(tokens)))
         return 1.0 / (1.0 + math.exp(-max(-50.0, min(50.0, z))))
 
 
-def evidence(words: set[str], weights: dict[str, float], cache: dict[str, float]) -> np.ndarray:
+def evidence(weights: Iterable[float], n_tokens: int) -> np.ndarray:
     """Weights of the three strongest words, size of the text, constant."""
-    top = [0.0, 0.0, 0.0]
-    for w in words:
-        x = cache.get(w)
-        if x is None:
-            x = max((weights.get(f, 0.0) for f in word_features(w)), default=0.0)
-            if len(cache) < 1 << 18:
-                cache[w] = x
-        if x > top[2]:
-            top[2] = x
-            top.sort(reverse=True)
-    return np.array([*top, math.log1p(len(words)), 1.0])
+    top = sorted(weights, reverse=True)[:3]
+    return np.array([*top, *[0.0] * (3 - len(top)), math.log1p(n_tokens), 1.0])
 
 
 def lower_log_odds(toxic: int, clean: int, n_toxic: int, n_clean: int) -> float:
@@ -220,10 +310,11 @@ def _word_batches(batches: Iterator[pa.RecordBatch], lm: np.ndarray) -> Iterator
     for whole in batches:
         for at in range(0, whole.num_rows, 200):
             part = whole.slice(at, 200)
-            words = [sorted(text_words(v or "", lm, cache)) for v in part.column("text").to_pylist()]
+            found = [text_words(v or "", lm, cache) for v in part.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), part.column("half"), part.column("toxic"), pa.array(words, pa.list_(pa.string()))],
-                names=["doc_id", "half", "toxic", "words"])
+                [part.column("doc_id"), part.column("half"), part.column("toxic"),
+                 pa.array([sorted(w) for w, _ in found], pa.list_(pa.string())), pa.array([n for _, n in found], pa.int64())],
+                names=["doc_id", "half", "toxic", "words", "n_tokens"])
 
 
 def _feature_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -243,11 +334,13 @@ def _feature_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
 
 
 def _evidence_batches(batches: Iterator[pa.RecordBatch], weights: list[dict[str, float]]) -> Iterator[pa.RecordBatch]:
-    caches: list[dict[str, float]] = [{}, {}]
+    models = [ToxicityModel(np.zeros(0), w) for w in weights]
     for part in batches:
         rows = []
-        for half, words in zip(part.column("half").to_pylist(), part.column("words").to_pylist(), strict=True):
-            rows.append(evidence(set(words), weights[1 - half], caches[half]).tolist())
+        for half, words, n in zip(part.column("half").to_pylist(), part.column("words").to_pylist(),
+                                  part.column("n_tokens").to_pylist(), strict=True):
+            model = models[1 - half]
+            rows.append(evidence([x for w in words if (x := model.weight(w)) > 0], n).tolist())
         yield pa.RecordBatch.from_arrays([part.column("toxic"), pa.array(rows, pa.list_(pa.float64()))],
                                          names=["toxic", "x"])
 
@@ -266,7 +359,7 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int =
 
 
 def fit(docs: DataFrame, labels: DataFrame, train: Column, *, id_col: str = "doc_id", text_col: str = "text",
-        rows: int = TRAIN_ROWS, max_features: int = MAX_FEATURES) -> ToxicityModel:
+        rows: int = TRAIN_ROWS) -> ToxicityModel:
     """Fit on the labelled rows where ``train`` (a condition on ``doc_id``) holds.
 
     ``labels`` has ``doc_id, toxic``.
@@ -280,7 +373,7 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column, *, id_col: str = "doc
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     lm = model.lm
     sample = cut(texts.join(known, "doc_id").select("doc_id", "half", "toxic", "text").mapInArrow(
-        lambda it: _word_batches(it, lm), "doc_id long, half int, toxic int, words array<string>"), "train-words")
+        lambda it: _word_batches(it, lm), "doc_id long, half int, toxic int, words array<string>, n_tokens long"), "train-words")
     size = {(r["half"], r["toxic"]): r["n"] for r in
             sample.groupBy("half", "toxic").agg(F.count("*").alias("n")).collect()}
     n = lambda h, t: size.get((h, t), 0)
@@ -291,8 +384,7 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column, *, id_col: str = "doc
     counts = (sample.select("half", "toxic", "words").mapInArrow(
         _feature_batches, "f string, c0 long, t0 long, c1 long, t1 long")
         .groupBy("f").agg(*[F.sum(x).alias(x) for x in ("c0", "t0", "c1", "t1")])
-        .filter((t >= 2) & (t > 3 * share * (t + c)))
-        .orderBy((t / F.sqrt(t + c + 1)).desc(), "f").limit(max_features).collect())
+        .filter((t >= 2) & (t > 3 * share * (t + c))).collect())   # features of at most ``rows`` texts
 
     def table(halves: tuple[int, ...]) -> dict[str, float]:
         nt, nc = sum(n(h, 1) for h in halves), sum(n(h, 0) for h in halves)
@@ -304,30 +396,34 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column, *, id_col: str = "doc
         return out
 
     parts = [table((0,)), table((1,))]
-    got = sample.select("half", "toxic", "words").mapInArrow(
+    got = sample.select("half", "toxic", "words", "n_tokens").mapInArrow(
         lambda it: _evidence_batches(it, parts), "toxic int, x array<double>").collect()
     x, y = np.array([r["x"] for r in got]), np.array([r["toxic"] for r in got], dtype=float)
     order = np.lexsort((*x.T, y))  # the sums do not depend on the order of arrival
-    model.weights, model.logistic = table((0, 1)), fit_logistic(x[order], y[order])
-    return model
+    return ToxicityModel(model.lm, table((0, 1)), fit_logistic(x[order], y[order]))
 
 
-def _score_batches(batches: Iterator[pa.RecordBatch], model: ToxicityModel) -> Iterator[pa.RecordBatch]:
-    words: dict[str, frozenset[str]] = {}
-    weights: dict[str, float] = {}
+def _score_batches(batches: Iterator[pa.RecordBatch], model: ToxicityModel, with_text: bool) -> Iterator[pa.RecordBatch]:
+    cache: dict[str, tuple] = {}
     for whole in batches:
         for at in range(0, whole.num_rows, 500):
             part = whole.slice(at, 500)
-            scores = [model.score(text_words(v.as_py() or "", model.lm, words), weights) for v in part.column("text")]
-            yield pa.RecordBatch.from_arrays([part.column("row"), pa.array(scores, pa.float64())], names=["row", "score"])
+            text = part.column("text")
+            scores = pa.array([model.score(v.as_py() or "", cache) for v in text], pa.float64())
+            cols = {"row": part.column("row"), **({"text": text} if with_text else {}), "score": scores}
+            yield pa.RecordBatch.from_arrays(list(cols.values()), names=list(cols))
 
 
 def score(docs: DataFrame, model: ToxicityModel, *, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """``row`` (a struct of the columns ``keep``, by default all) and ``score`` per document."""
-    row = F.struct(*[F.col(f"`{c}`") for c in (keep or docs.columns)]).alias("row")
+    """``row`` (a struct of the columns ``keep``) and ``score`` per document.
+
+    Without ``keep`` the struct holds all columns but the text, which follows as ``text``.
+    """
+    row = F.struct(*[F.col(f"`{c}`") for c in (keep or [c for c in docs.columns if c != text_col])]).alias("row")
     shape = docs.select(row).schema["row"].dataType.simpleString()
+    text = "" if keep else "text string, "
     return docs.select(row, F.col(text_col).alias("text")).mapInArrow(
-        lambda it: _score_batches(it, model), f"row {shape}, score double")
+        lambda it: _score_batches(it, model, not keep), f"row {shape}, {text}score double")
 
 
 def fold(doc_id: Column) -> Column:
