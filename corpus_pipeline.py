@@ -33,7 +33,8 @@ THRESHOLD = 0.7
 
 def stage_toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"), toxicity.fold(F.col("doc_id")) != 1)
-    return toxicity.score(docs, model).filter(F.col("score") < THRESHOLD).select("row.*")
+    return toxicity.score(docs, model).filter(F.col("score") < THRESHOLD).select(
+        *[F.col("text") if c == "text" else F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
 def stage_line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
