@@ -172,7 +172,7 @@ def test_archive(spark):
         assert len(got) == len(rows)
         assert {k: r["refers_to"] for k, r in got.items() if r["record_type"] == "revisit"} == {2: 1, 9: 8, None: 8}
         assert got[9]["payload_bytes"] == len(big) and got[10]["payload_bytes"] == 100 and got[5]["payload_bytes"] == 0
-        assert got[7]["payload"] == rows[6][2]
+        assert got[7]["payload"] == rows[6][2].encode()
     assert convert_pages(df.limit(0)).count() == 0
 
 
@@ -195,3 +195,28 @@ def test_pipeline_stages(spark, odd, none, tmp_path):
             if name != "pack":
                 assert docs.columns == odd.columns
         docs.collect()
+
+
+def test_archive_of_other_encodings(spark, tmp_path):
+    """Bytes that are not UTF-8 pass through both formats as they are; digests are of the bytes."""
+    import gzip
+    import hashlib
+
+    from tidepool.llm import archive
+    body = "naïve café".encode("latin-1") * 20
+    head = b"HTTP/1.0 200 OK\r\nServer: caf\xe9\r\n\r\n"
+    block = b"1 0 Old\nURL IP-address Archive-date Content-type Archive-length\n"
+    data = b"filedesc://x 0.0.0.0 19990101000000 text/plain %d\n%s\n" % (len(block), block)
+    for url in (b"http://a/caf\xe9", b"http://b/"):
+        data += b"%s 1.2.3.4 19990102030405 text/html %d\n%s\n" % (url, len(head + body), head + body)
+    (tmp_path / "arc").mkdir()
+    (tmp_path / "arc" / "old.arc.gz").write_bytes(gzip.compress(data))
+    arc = archive.read_arc(spark, str(tmp_path / "arc"))
+    rows = arc.collect()
+    assert [(r["url"], bytes(r["payload"]), bytes(r["http_head"])) for r in rows] == [
+        ("http://a/caf%E9", body, head), ("http://b/", body, head)]
+    archive.write_warc(archive.to_warc(arc), str(tmp_path / "warc"))
+    back = archive.read_warc(spark, str(tmp_path / "warc")).collect()
+    assert {r["payload_digest"] for r in back} == {hashlib.sha256(body).hexdigest()}
+    assert sorted(r["record_type"] for r in back) == ["response", "revisit"]
+    assert [bytes(r["payload"]) for r in back if r["record_type"] == "response"] == [body]

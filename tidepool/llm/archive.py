@@ -15,7 +15,9 @@ the ``response``, the others are ``revisit`` records that refer to it.
 Files are written by Spark's text writer with the record separator as line
 separator: an archive of UTF-8 records is exactly that, here gzip-compressed as a
 whole.  They are read back as binary files (``max_records`` bounds a file) and
-parsed by length.
+parsed by length.  Payloads and HTTP heads are bytes throughout (an old archive may
+hold any encoding); columns of text are only taken from header lines, in which
+bytes that are not UTF-8 become percent codes.
 
 Edge cases: a null body is an empty payload; a null or blank URL becomes
 ``unknown:``; white space and control characters in a URL are percent-encoded;
@@ -54,9 +56,10 @@ def _clean_url(url: Column) -> Column:
 def write_arc(pages: DataFrame, path: str, *, key: str, url: str, body: str,
               version: int = 1, date: str = "20080430204825",
               max_records: int = 1000) -> None:
-    """Write ``pages`` as ARC files: a version block opens every file's record stream.
+    """Write ``pages`` as ARC files.
 
-    Each body is stored as an HTTP response; the key goes into an HTTP field.
+    A version block stands before every record, as the text writer knows no first
+    line of a file; readers skip repeated ones.  Each body is stored as an HTTP response; the key goes into an HTTP field.
     """
     head = F.concat(
         F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"),
@@ -89,7 +92,7 @@ def parse_arc(data: bytes) -> Iterator[dict]:
         stop = data.find(b"\n", at)
         if stop < 0:
             raise ValueError(f"ARC header line without an end at byte {at}")
-        parts = data[at:stop].rstrip(b"\r").decode("utf-8").split(" ")
+        parts = _as_text(data[at:stop].rstrip(b"\r")).split(" ")
         is_block = parts[0].startswith("filedesc://")
         if len(parts) != (10 if len(parts) == 10 and (is_block or version == 2) else 5):
             raise ValueError(f"ARC header line with {len(parts)} fields at byte {at}")
@@ -108,32 +111,39 @@ def parse_arc(data: bytes) -> Iterator[dict]:
                "version": version, "content": body}
 
 
-def _http_split(content: bytes) -> tuple[str, bytes, str | None]:
+def _as_text(line: bytes) -> str:
+    """A header line; bytes of another encoding become percent codes."""
+    try:
+        return line.decode("utf-8")
+    except UnicodeDecodeError:
+        return "".join(chr(b) if b < 128 else f"%{b:02X}" for b in line)
+
+
+def _http_split(content: bytes) -> tuple[bytes, bytes, str | None]:
     """HTTP head, payload and the key field of an archived response."""
     cut_at = content.find(b"\r\n\r\n")
     if not content.startswith(b"HTTP/") or cut_at < 0:
-        return "", content, None
-    head = content[:cut_at + 4].decode("utf-8")
-    keys = [ln.split(":", 1)[1].strip() for ln in head.split("\r\n")
-            if ln.startswith(KEY_FIELD + ":")]
-    return head, content[cut_at + 4:], keys[0] if keys else None
+        return b"", content, None
+    head, mark = content[:cut_at + 4], f"{KEY_FIELD}:".encode()
+    keys = [ln.split(b":", 1)[1].strip() for ln in head.split(b"\r\n") if ln.startswith(mark)]
+    return head, content[cut_at + 4:], keys[0].decode("ascii") if keys and keys[0].lstrip(b"-").isdigit() else None
 
 
 ARC_SCHEMA = ("key long, url string, ip string, date string, mime string, version int, "
-              "http_head string, payload string")
+              "http_head binary, payload binary")
 
 
 def _read_arc_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = ["key", "url", "ip", "date", "mime", "version", "http_head", "payload"]
     kinds = [pa.int64(), pa.string(), pa.string(), pa.string(), pa.string(), pa.int32(),
-             pa.string(), pa.string()]
+             pa.binary(), pa.binary()]
     for batch in batches:
         for data in _contents(batch):
             rows, size = [], 0
             for r in parse_arc(data):
                 head, payload, key = _http_split(r["content"])
                 rows.append((None if key is None else int(key), r["url"], r["ip"], r["date"],
-                             r["mime"], r["version"], head, payload.decode("utf-8")))
+                             r["mime"], r["version"], head, payload))
                 size += len(payload)
                 if size > 1 << 23:
                     yield _batch(rows, names, kinds)
@@ -198,7 +208,8 @@ def _record_id(*parts: Column) -> Column:
 def warc_text(records: DataFrame) -> DataFrame:
     """The bytes of each record as one ``value`` column (without the closing separator)."""
     is_rev = F.col("record_type") == "revisit"
-    block = F.concat(F.col("http_head"), F.when(is_rev, F.lit("")).otherwise(F.col("payload")))
+    none = F.lit("").cast("binary")
+    block = F.concat(F.col("http_head"), F.when(is_rev, none).otherwise(F.col("payload")))   # bytes
 
     def field(name: str, value: Column) -> Column:
         return F.when(value.isNull(), F.lit("")).otherwise(
@@ -219,7 +230,8 @@ def warc_text(records: DataFrame) -> DataFrame:
         field("X-Payload-Length", F.col("bytes")),
         F.lit("Content-Type: application/http; msgtype=response\r\n"),
         field("Content-Length", F.octet_length(block)), F.lit("\r\n"))
-    return records.select(F.concat(head, block).alias("value"))
+    # the text writer writes a string's bytes as they are
+    return records.select(F.concat(head.cast("binary"), block).cast("string").alias("value"))
 
 
 def write_warc(records: DataFrame, path: str, *, max_records: int = 1000) -> None:
@@ -233,7 +245,7 @@ def parse_warc(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
     at = 0
     while at < len(data):
         stop = data.find(b"\r\n\r\n", at)
-        lines = data[at:stop].decode("utf-8").split("\r\n")
+        lines = _as_text(data[at:stop]).split("\r\n")
         if stop < 0 or not lines[0].startswith("WARC/1."):
             raise ValueError(f"no WARC record at byte {at}")
         fields = {k.strip().lower(): v.strip() for k, _, v in (ln.partition(":") for ln in lines[1:])}
@@ -247,14 +259,14 @@ def parse_warc(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
 
 WARC_SCHEMA = ("key long, url string, stamp string, record_id string, record_type string, "
                "refers_to long, refers_ident string, payload_bytes long, payload_digest string, "
-               "payload string")
+               "payload binary")
 
 
 def _read_warc_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = ["key", "url", "stamp", "record_id", "record_type", "refers_to", "refers_ident",
              "payload_bytes", "payload_digest", "payload"]
     kinds = [pa.int64(), pa.string(), pa.string(), pa.string(), pa.string(), pa.int64(),
-             pa.string(), pa.int64(), pa.string(), pa.string()]
+             pa.string(), pa.int64(), pa.string(), pa.binary()]
     num = lambda v: None if v is None else int(v)
     for batch in batches:
         for data in _contents(batch):
@@ -272,7 +284,7 @@ def _read_warc_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
                              num(f.get("x-refers-to-key")),
                              (f.get("warc-refers-to") or "").strip("<>") or None,
                              len(payload) if response else int(f["x-payload-length"]), digest,
-                             payload.decode("utf-8") if response else None))
+                             payload if response else None))
                 size += len(payload)
                 if size > 1 << 23:
                     yield _batch(rows, names, kinds)

@@ -18,6 +18,7 @@ from tidepool.llm.mixing import entropy_mix
 from tidepool.llm.packing import pack
 from tidepool.llm.permutation import permutation_search
 from tidepool.llm.repair import damaged_repair
+from tidepool.llm.repair_sql import repair_sql
 from tidepool.llm.secrets import find_secrets
 from tidepool.llm.suffix import remove_repeats
 from tidepool.sources.tables import table
@@ -42,10 +43,25 @@ def op1_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken", "copies", "rate")
 
 
-@register("op2_minhash_join")
+@register("op2_minhash_join", """
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(ws[i:i + 4], ' ') AS shingle
+  FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 2))) AS i FROM w WHERE len(ws) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common
+           FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY ALL),
+link AS (SELECT a, b FROM shared JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * common >= 75 * (x.n + y.n - common)),
+reach(a, b) AS (SELECT a, b FROM link UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a)
+SELECT doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, least(doc_id, coalesce(r.low, doc_id)) AS component_id,
+       least(doc_id, coalesce(r.low, doc_id)) = doc_id AS kept
+FROM documents LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT a AS doc_id, min(b) AS low FROM reach GROUP BY a) r USING (doc_id)
+""")
 def op2_minhash_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents (five-word shingles, Jaccard 0.75)."""
-    return near_duplicates(table(spark, sf_dir, "documents"))
+    return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
 
 
 @register("op3_toxicity")
@@ -82,7 +98,22 @@ def op6_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         "row.doc_id", "n_lines", "n_removed", "text")
 
 
-@register("op7_repeated_bytes")
+@register("op7_repeated_bytes", """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS hx FROM documents),
+w AS (SELECT doc_id, i, md5(substr(hx, 2 * i + 1, 200)) AS h
+      FROM (SELECT doc_id, hx, unnest(range(0, length(hx) // 2 - 99)) AS i FROM d)),
+again AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY h ORDER BY doc_id, i) AS k FROM w) WHERE k > 1),
+run AS (SELECT doc_id, i, sum(is_new) OVER (PARTITION BY doc_id ORDER BY i) AS r
+        FROM (SELECT doc_id, i, CASE WHEN i <= 100 + lag(i) OVER (PARTITION BY doc_id ORDER BY i) THEN 0 ELSE 1 END AS is_new FROM again)),
+span AS (SELECT doc_id, r, min(i) AS a, max(i) + 100 AS b FROM run GROUP BY doc_id, r),
+piece AS (SELECT doc_id, r, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY r), 0) AS done FROM span),
+kept AS (SELECT doc_id, count(*) AS n_spans, sum(b - a) AS n_removed, max(b) AS tail,
+                string_agg(substr(hx, 2 * done + 1, 2 * (a - done)), '' ORDER BY r) AS parts
+         FROM piece JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, (length(hx) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+       sha256(unhex(coalesce(parts, '') || substr(hx, 2 * coalesce(tail, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+""")
 def op7_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without the bytes of repeated 100-byte strings, the first copy kept."""
     return remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
@@ -118,7 +149,7 @@ def op10_merkle_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_edits(table(spark, sf_dir, "documents"))
 
 
-@register("op11_conversation_repair")
+@register("op11_conversation_repair", repair_sql())
 def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations, damaged as stated and repaired at the least cost."""
     return damaged_repair(table(spark, sf_dir, "conversations"))
