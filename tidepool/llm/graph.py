@@ -134,13 +134,19 @@ def connecting_links(nodes: list[int], comps: list[int], sets: list[np.ndarray],
     return out
 
 
-def _block_links(lists: DataFrame, items: DataFrame, to_set: ToSet, percent: int) -> DataFrame:
-    """Links between members of long lists (``token, node, comp``), compared block by block."""
-    first = cut(lists.groupBy("token").agg(F.min("node").alias("b")), "list-firsts")
-    group = components(lists.join(first, "token").filter("node <> b").select(F.col("node").alias("a"), "b").distinct())
-    nodes = (lists.select("node", "comp").distinct().join(group, "node", "left")
-             .select("node", "comp", F.coalesce("root", "node").alias("grp")))
-    nodes = cut(nodes, "group-nodes")
+def _block_links(lists: DataFrame, items: DataFrame, to_set: ToSet, percent: int, alone: bool) -> DataFrame:
+    """Links between members of long lists (``token, node, comp``), compared block by block.
+
+    A list is a group of its own (``alone``), or lists that share members are one.
+    """
+    if alone:
+        nodes = cut(lists.select("node", "comp", F.col("token").alias("grp")), "group-nodes")
+    else:
+        first = cut(lists.groupBy("token").agg(F.min("node").alias("b")), "list-firsts")
+        group = components(lists.join(first, "token").filter("node <> b").select(F.col("node").alias("a"), "b").distinct())
+        nodes = (lists.select("node", "comp").distinct().join(group, "node", "left")
+                 .select("node", "comp", F.coalesce("root", "node").alias("grp")))
+        nodes = cut(nodes, "group-nodes")
     sizes = nodes.groupBy("grp", "comp").agg(F.count("*").alias("n"))
     small = sizes.filter(F.col("n") <= BLOCK).groupBy("grp").agg(F.sum("n").alias("rest"))
     sizes = cut(sizes.join(small, "grp", "left").withColumnRenamed("grp", "g").withColumnRenamed("comp", "c"), "group-sizes")
@@ -168,13 +174,16 @@ def _block_links(lists: DataFrame, items: DataFrame, to_set: ToSet, percent: int
 
 
 def linked_components(postings: DataFrame, items: DataFrame | Callable[[DataFrame], DataFrame], to_set: ToSet, percent: int,
-                      likely: Callable[[DataFrame], DataFrame] = lambda pairs: pairs) -> tuple[DataFrame, DataFrame]:
+                      likely: Callable[[DataFrame], DataFrame] = lambda pairs: pairs,
+                      alone: bool = False) -> tuple[DataFrame, DataFrame]:
     """Components (``node, root``) and confirmed links (``a, b``) of posting lists.
 
     ``postings`` has ``token, node, weight`` (the member of a list with the
     largest weight is its foremost), ``items`` has ``node, item`` (or gives that for
     a table of the nodes in question); ``to_set`` turns an item into its sorted distinct 64-bit elements.  ``likely`` may drop
-    candidate pairs (``a < b``) that cannot reach ``percent``.
+    candidate pairs (``a < b``) that cannot reach ``percent``.  ``alone`` compares
+    each long list for itself: better where lists share members by chance, as joined
+    lists are compared across, and worse where many lists have the same members.
     """
     def items_of(rows: DataFrame, *cols: str) -> DataFrame:
         if isinstance(items, DataFrame):
@@ -213,5 +222,5 @@ def linked_components(postings: DataFrame, items: DataFrame | Callable[[DataFram
     links = links.unionByName(confirm(pairs))
     long = members.filter(F.col("m") > SHORT).select("token", "node", "comp")
     if not long.isEmpty():
-        links = links.unionByName(cut(_block_links(long, items_of(long, "node"), to_set, percent), "block-links"))
+        links = links.unionByName(cut(_block_links(long, items_of(long, "node"), to_set, percent, alone), "block-links"))
     return cut(components(links), "components"), links

@@ -204,6 +204,7 @@ def repeated_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     release(docs.sparkSession)
 
     def likely(pairs: DataFrame) -> DataFrame:
+        release(docs.sparkSession)
         pairs = cut(pairs.filter(_sizes_allow("a", "b", percent)), "sized-pairs")
         nodes = listed(cut(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "sized-nodes"))
         sig = cut(first_met.select("node", "bands").join(nodes, "node").groupBy("node").agg(F.first("bands").alias("bands")),
@@ -223,7 +224,7 @@ def repeated_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
         picked = base.join(where, ["doc_id", "h"]).select("text", "nos").mapInArrow(_pick_lines, "node long, item string")
         return cut(picked.groupBy("node").agg(F.first("item").alias("item")), "line-forms")
 
-    roots, _ = linked_components(posted, forms, form_set, percent, likely)
+    roots, _ = linked_components(posted, forms, form_set, percent, likely, alone=True)
     keyed = (lines.select("doc_id", "h", "line_no", "node").join(roots, "node", "left")
              .select("doc_id", "h", "line_no", F.coalesce("root", "node").alias("comp")))
     place = F.struct("doc_id", "h", "line_no")
