@@ -192,6 +192,26 @@ SELECT event_type, time_bucket(INTERVAL '1 hour', ts) AS window_start,
 FROM events GROUP BY ALL
 """
 
+ORACLE["json_decimal"] = """
+SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS transaction_time,
+       CAST(CAST(CAST(o_totalprice AS DECIMAL(12, 2)) AS DECIMAL(38, 18)) AS VARCHAR) AS transaction_amount
+FROM orders
+"""
+
+ORACLE["parse_tuples"] = """
+SELECT CAST(o_orderkey AS BIGINT) AS o_orderkey, CAST(o_custkey AS BIGINT) AS o_custkey,
+       CASE WHEN o_orderkey % 7 <> 0 THEN o_totalprice END AS o_totalprice
+FROM orders
+"""
+
+ORACLE["key_number_lines"] = """
+SELECT c_name AS name, CASE WHEN c_custkey % 5 <> 0 THEN CAST(c_custkey AS BIGINT) END AS number FROM customer
+"""
+
+ORACLE["marked_lines"] = """
+SELECT event_type = 'error' AS is_marker, epoch_us(ts) // 1000 AS t_ms, user_id, value FROM events
+"""
+
 ORACLE["broadcast_lookup"] = """
 SELECT c.c_custkey, c.c_nationkey, n.n_name,
        CAST(c.c_nationkey AS VARCHAR) || ' ---> ' || coalesce(n.n_name, 'null') AS line

@@ -22,7 +22,7 @@ from tidepool.operators.aggregates import max_row, min_row
 from tidepool.operators.delta import delta_trigger_split
 from tidepool.operators.hot import hot_items
 from tidepool.operators.lookup import broadcast_lookup, last_per_key
-from tidepool.operators.records import attach_json, counted, project_json, tuple_text
+from tidepool.operators.records import attach_json, counted, parse_key_number, parse_tuples, project_json, tuple_text
 from tidepool.operators.sequences import count_window, every_n_average, full_batches, position_from
 from tidepool.operators.sequence import running_totals, sized_blocks
 from tidepool.operators.text import running_count, split_words, tokenize, word_count
@@ -31,7 +31,7 @@ from tidepool.operators.user_aggregate import TrimmedMean, user_aggregate, whole
 from tidepool.operators.windows import sliding, split_sessions, tumbling
 from tidepool.plans.registry import register
 from tidepool.sources.tables import events_with_item, table
-from tidepool.streaming.punctuated import punctuated_windows
+from tidepool.streaming.punctuated import MARKER_PREFIX, parse_marked_lines, punctuated_windows
 
 EVENT_ORDER = ["ts", "event_id"]
 SPREAD = 32               # tasks for tokenizing a table that is one row group
@@ -295,6 +295,43 @@ def q_json_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return attach_json(_with_bad_json(spark, sf_dir), "props", ["event_id"], rejects=True)
 
 
+@register("json_decimal")
+def q_json_decimal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as JSON with a text and a decimal field, projected to typed columns without loss of digits."""
+    text = F.to_json(F.struct(F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("transaction_time"),
+                              F.col("o_totalprice").cast("decimal(12,2)").alias("transaction_amount")))
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", text.alias("raw_data"))
+    out = project_json(rows, "raw_data", "transaction_time string, transaction_amount decimal(38,18)", keep=["o_orderkey"])
+    return out.withColumn("transaction_amount", F.col("transaction_amount").cast("string"))
+
+
+@register("parse_tuples")
+def q_parse_tuples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as ``(key,customer,price)`` text parsed back to typed columns; every seventh price is not a number."""
+    o = table(spark, sf_dir, "orders")
+    price = F.when(F.col("o_orderkey") % 7 == 0, "n/a").otherwise(F.col("o_totalprice").cast("string"))
+    lines = o.select(tuple_text(["o_orderkey", "o_custkey", price]).alias("line"))
+    return parse_tuples(lines, "line", ["o_orderkey", "o_custkey", "o_totalprice"], ["bigint", "bigint", "double"])
+
+
+@register("key_number_lines")
+def q_key_number_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as ``name,number`` lines parsed to typed pairs; every fifth number is missing."""
+    c = table(spark, sf_dir, "customer")
+    number = F.when(F.col("c_custkey") % 5 == 0, "").otherwise(F.col("c_custkey").cast("string"))
+    return parse_key_number(c.select(F.concat_ws(",", "c_name", number).alias("line")), "line", "name", "number")
+
+
+@register("marked_lines")
+def q_marked_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as ``[punctuated_]<ms>,<user>,<value>`` lines (errors are markers), parsed to typed columns."""
+    ev = table(spark, sf_dir, "events")
+    ms = F.unix_millis(F.col("ts").cast("timestamp"))
+    mark = F.when(F.col("event_type") == "error", MARKER_PREFIX).otherwise("")
+    lines = ev.select(F.concat(mark, F.concat_ws(",", ms, "user_id", "value")).alias("line"))
+    return parse_marked_lines(lines, "line", [("user_id", "bigint"), ("value", "double")]).drop("line")
+
+
 @register("tuple_text_nulls")
 def q_tuple_text_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as tuple text; a status other than O is null."""

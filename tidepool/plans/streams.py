@@ -178,6 +178,21 @@ def q_stream_delta_trigger(spark: SparkSession, sf_dir: str) -> DataFrame:
         "user_id", *_wall("fire_ts"), "fire_event_id", "event_id", *_wall("ts"), "value", "pos")
 
 
+@register("stream_out_of_order")
+def q_stream_out_of_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly sums of events that arrive up to two hours late, under a watermark three hours behind the
+    latest time seen: no row is lost."""
+    ev = table(spark, sf_dir, "events")
+    arrival = F.unix_seconds(F.col("ts").cast("timestamp")) + F.col("event_id") * 7919 % 7200
+    ev = _replayed(ev.withColumn("arrival", arrival), "stream_out_of_order", ["arrival", "event_id"], time="ts",
+                   reach="5 hours", closing={})
+    out = tumbling(with_event_time(ev, "ts", "3 hours"), "ts", "1 hour", ["event_type"],
+                   [F.round(F.sum("value"), 2).alias("value_sum"), F.count(F.lit(1)).alias("n")])
+    out = out.select("event_type", F.col("window.start").alias("window_start"),
+                     F.col("window.end").alias("window_end"), "value_sum", "n")
+    return _result(out, "stream_out_of_order").select("event_type", *_wall("window_start", "window_end"), "value_sum", "n")
+
+
 @register("stream_processing_time")
 def q_stream_processing_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows per event type over processing-time windows of 10 s; the windows differ from run to run, their total does not."""
@@ -222,7 +237,7 @@ SELECT event_id, ts, arrival, time_bucket(INTERVAL '1 hour', ts) + INTERVAL '1 h
        coalesce(time_bucket(INTERVAL '1 hour', ts) + INTERVAL '1 hour' <= watermark, false) AS is_late
 FROM e JOIN m USING (arrival)
 """
-ORACLE["stream_tumbling"] = ORACLE["tumbling_sum"]
+ORACLE["stream_tumbling"] = ORACLE["stream_out_of_order"] = ORACLE["tumbling_sum"]
 ORACLE["stream_hot_items"] = HOT_ITEMS
 ORACLE["stream_hot_items_timer"] = (HOT_ITEMS.replace("INTERVAL '5 minutes'", "INTERVAL '15 minutes'")
                                     .replace("(5 * k)", "(15 * k)").replace("series(1, 12)", "series(1, 4)"))
