@@ -121,7 +121,7 @@ def test_toxicity(spark, odd, none, labels):
     model = toxicity.fit(odd, labels, toxicity.fold(F.col("doc_id")) != 1)
     got = toxicity.score(odd, model).collect()
     assert len(got) == len(_rows()) and all(0 <= r["score"] <= 1 for r in got)
-    assert len({r["score"] for r in got if not (r["row"]["text"] or "").split()}) == 1
+    assert len({r["score"] for r in got if not (r["text"] or "").split()}) == 1
     empty = toxicity.fit(none, labels.limit(0), F.lit(True))
     assert toxicity.score(none, empty).count() == 0
     assert {r["score"] for r in toxicity.score(odd, empty).collect()} == {0.0}

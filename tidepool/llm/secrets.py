@@ -30,6 +30,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
@@ -89,7 +90,7 @@ def candidates(text: str, base: list[tuple[int, int, int]], lower: str | None =
     lower = text.lower() if lower is None else lower
     if not any(w in lower for w in CUE_WORDS):
         return []
-    found = {}
+    found, assigned_at = {}, set()
     for cue in CUE.finditer(text):
         at = cue.end()
         assigned = ASSIGNED.match(text, at)
@@ -103,8 +104,11 @@ def candidates(text: str, base: list[tuple[int, int, int]], lower: str | None =
             m = VALUE.match(text, m.start())        # to its end
             value = m.group()
             mixed = any(c.isdigit() for c in value) and any(c.isalpha() for c in value)
-            if mixed or (first and assigned and assigned.end() == m.start()):
+            own = bool(first and assigned and assigned.end() == m.start())
+            if mixed or own:
                 found.setdefault(m.start(), m.end())
+                if own:
+                    assigned_at.add(m.start())
             at, first = m.end(), False
     taken: list[list[int]] = []                      # the matches' characters as disjoint ranges
     for a, _, b in base:
@@ -112,8 +116,12 @@ def candidates(text: str, base: list[tuple[int, int, int]], lower: str | None =
             taken[-1][1] = max(taken[-1][1], b)
         else:
             taken.append([a, b])
+    sure = sorted(assigned_at)                       # `name=value` is told by its value alone
     out, done, i = [], 0, 0
     for a, b in sorted(found.items()):
+        k = bisect_right(sure, a)
+        if a not in assigned_at and k < len(sure) and sure[k] < b:
+            continue
         while i < len(taken) and taken[i][1] <= a:
             i += 1
         if a >= done and not (i < len(taken) and taken[i][0] < b):

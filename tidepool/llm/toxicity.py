@@ -139,6 +139,8 @@ def decode(stretch: str, lm: np.ndarray, best: int = BEST) -> list[str]:
 
 
 def suspicious(token: str) -> bool:
+    if token.isalpha():     # no digit or symbol inside
+        return _DOUBLE.search(token) is not None
     return bool(_INSIDE.search(token) or _DOUBLE.search(token))
 
 
@@ -214,7 +216,7 @@ def written_tokens(text: str) -> tuple[set[str], set[str]]:
     low = text.lower()
     tokens = low.split()
     apart: set[str] = set()
-    if sum(len(t) == 1 for t in tokens) > 2:
+    if list(map(len, tokens)).count(1) > 2:
         even = " ".join(tokens)  # wider blanks part the letters in ``even``, words in ``low``
         apart = {m.group() for t in {even, low} for m in _SPACED.finditer(t)}
     return set(tokens), apart
@@ -263,8 +265,11 @@ class ToxicityModel:
 
     def __post_init__(self):
         self.skeletons = Skeletons(self.weights)
+        self.heads = {f[1:5] for f in self.weights}     # beginnings of the words that can have a weight
 
     def weight(self, word: str) -> float:
+        if word[:4] not in self.heads:
+            return 0.0
         return max((self.weights.get(f, 0.0) for f in word_features(word)), default=0.0)
 
     def _weighted(self, words: set[str]) -> tuple[tuple[str, float], ...]:
