@@ -283,6 +283,11 @@ class ToxicityModel:
         tokens, apart = written_tokens(text)
         strong: dict[str, float] = {}
         for token in tokens:
+            if token.isalpha():
+                if token[:4] not in self.heads and _DOUBLE.search(token) is None:
+                    continue        # most tokens: plain, and without weight
+            elif token.strip(EDGE)[:4] not in self.heads and not suspicious(token):
+                continue
             found = cache.get(token)
             if found is None:
                 found = self._weighted(token_words(token, self.lm, may_hold))
