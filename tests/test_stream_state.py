@@ -169,3 +169,33 @@ def test_delta_trigger_stream_beyond_the_digits_of_a_double(spark):
     got = _run(stateful.delta_trigger_stream(stream, "k", "ts", ["id"], "p", "m", 5, "1 hour", ["m"]), *_dirs())
     want = delta_trigger_split(df, "k", "ts", ["id"], "p", "m", 5, "1 hour", ["m"])
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and got.count() == 3
+
+
+def test_stream_calls_follow_the_buckets_not_the_keys(spark):
+    """A micro-batch writes a state per bucket of keys; nulls in keys and fields and large longs stay exact."""
+    src = tempfile.mkdtemp(prefix="tp-src-")
+    rows = [(k if k else None, BIG + 10 * i + k, 100 * i + k, None if k == 5 else BIG + i, f"n{k}") for i in range(4) for k in range(900)]
+    df = (spark.createDataFrame(rows, "k int, id long, t long, v long, name string")
+          .select("k", "id", F.timestamp_seconds("t").alias("ts"), "v", "name"))
+    df.filter("ts < timestamp_seconds(200)").coalesce(1).write.parquet(os.path.join(src, "part=0"))
+    df.filter("ts >= timestamp_seconds(200)").coalesce(1).write.parquet(os.path.join(src, "part=1"))
+    out, ck = _dirs()
+    stream = stateful.buffered_stream(_stream(spark, src), "k", ["ts", "id"], 2, ["id", "v", "name"])
+    query = drain(start(stream, sink="parquet", path=out, checkpoint=ck))
+    written = [op["numRowsUpdated"] for p in query.recentProgress if p["numInputRows"] for op in p["stateOperators"]]
+    assert written and max(written) <= stateful.BUCKETS + 1
+    got = sorted(((r.k or 0), r.batch_no, r.slot, r.id, r.v, r.name) for r in spark.read.schema(stream.schema).parquet(out).collect())
+    assert [g[:4] + g[5:] for g in got] == [(k, i // 2 + 1, i % 2 + 1, BIG + 10 * i + k, f"n{k}") for k in range(900) for i in range(4)]
+    assert [g[4] for g in got] == [None if k == 5 else BIG + i for k in range(900) for i in range(4)]
+
+
+def test_running_count_stream_calls_follow_the_entries(spark):
+    """Ten words in one entry: a state row written, not ten."""
+    rows = [(1, i, i, i, f"w{i % 10}") for i in range(60)]
+    src, (out, ck) = tempfile.mkdtemp(prefix="tp-src-"), _dirs()
+    _write(spark, rows, 30, src)
+    stream = running_count_stream(_stream(spark, src), ["id"], ["id"], "name", buckets=1, slots=1)
+    query = drain(start(stream, sink="parquet", path=out, checkpoint=ck))
+    written = [op["numRowsUpdated"] for p in query.recentProgress if p["numInputRows"] for op in p["stateOperators"]]
+    assert written == [1, 1]
+    assert {(r.id, r.running_count) for r in spark.read.parquet(out).collect()} == {(i, i // 10 + 1) for i in range(60)}

@@ -5,8 +5,9 @@ key's own time, then hands them to a function and clears the state: the keyed
 process with a timer at window end + 1.  ``keep`` may thin the list whenever rows
 arrive, so that a state that only needs the best few never holds more.
 
-``running_count_stream`` keeps one entry per word in a map state: a micro-batch
-reads and writes the words it holds and no others.
+``running_count_stream`` keeps its counts in a map state with an entry for a few words
+each: a micro-batch reads and writes the entries of its own words and no others, and
+makes no more calls than there are entries, however many words it has.
 
 The state store must be RocksDB; ``rocksdb`` sets the provider where it is unset.
 Spark starts a process of its own on the driver to register a query's states; files
@@ -16,9 +17,11 @@ sent with ``addPyFile`` do not reach it, so this module's classes travel by valu
 from __future__ import annotations
 
 import sys
+import zlib
 from collections.abc import Callable, Iterator, Sequence
 from datetime import datetime, timedelta, timezone
 
+import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -117,27 +120,35 @@ def top_n_on_timer(counts: DataFrame, end: str, item: str, count: str, n: int, b
 
 
 class RunningCount(StatefulProcessor):
-    """Counts of a bucket's words, one map entry each."""
+    """Counts of a bucket's words, a map entry for those of a slot."""
 
-    def __init__(self, word: str, order: Sequence[str], keep: Sequence[str], out: str):
-        self.word, self.order, self.keep, self.out = word, list(order), list(keep), out
+    def __init__(self, word: str, order: Sequence[str], keep: Sequence[str], out: str, slots: int):
+        self.word, self.order, self.keep, self.out, self.slots = word, list(order), list(keep), out, slots
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.counts = handle.getMapState("counts", T.StructType([T.StructField("word", T.StringType())]),
-                                         T.StructType([T.StructField("n", T.LongType())]))
+        self.counts = handle.getMapState("counts", T.StructType([T.StructField("slot", T.LongType())]),
+                                         T.StructType([T.StructField("words", T.ArrayType(T.StringType())),
+                                                       T.StructField("n", T.ArrayType(T.LongType()))]))
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         frames = [p for p in rows if len(p)]
         if not frames:
             return
         frame = pd.concat(frames, ignore_index=True).sort_values(self.order, kind="stable").reset_index(drop=True)
-        before = {}
-        for w, new in frame[self.word].value_counts().items():
-            old = self.counts.getValue((w,))
-            before[w] = 0 if old is None else int(old[0])
-            self.counts.updateValue((w,), (before[w] + int(new),))
+        code, words = pd.factorize(frame[self.word])
+        words, new, before = list(words), np.bincount(code).tolist(), np.zeros(len(words), dtype=np.int64)
+        slot = np.array([zlib.crc32(w.encode("utf-8", "surrogatepass")) % self.slots for w in words])
+        by_slot = np.argsort(slot, kind="stable")
+        for at in np.split(by_slot, np.flatnonzero(np.diff(slot[by_slot])) + 1):
+            entry = (int(slot[at[0]]),)
+            old = self.counts.getValue(entry)
+            held = {} if old is None else dict(zip(old[0], old[1]))
+            for i in at:
+                before[i] = held.get(words[i], 0)
+                held[words[i]] = int(before[i]) + new[i]
+            self.counts.updateValue(entry, (list(held), list(held.values())))
         res = frame[[*self.keep, self.word]].copy()
-        res[self.out] = frame[self.word].map(before).astype("int64") + frame.groupby(self.word, sort=False).cumcount() + 1
+        res[self.out] = before[code] + pd.Series(code).groupby(code).cumcount().to_numpy() + 1
         yield res
 
     def close(self) -> None:
@@ -145,13 +156,15 @@ class RunningCount(StatefulProcessor):
 
 
 def running_count_stream(words: DataFrame, order: Sequence[str], keep: Sequence[str],
-                         word: str = "word", out: str = "running_count", buckets: int = 64) -> DataFrame:
+                         word: str = "word", out: str = "running_count", buckets: int = 64,
+                         slots: int = 256) -> DataFrame:
     """Running count of each word, one output row per token: the counts are the state.
 
     Words are dealt to ``buckets`` by hash (a call per bucket and micro-batch, not
-    per word); a bucket's counts are a map state of which a micro-batch touches the
-    entries of its own words only, so what it reads and writes grows with the batch
-    and not with the vocabulary.  Take more buckets for more tasks.
+    per word); a bucket's counts are a map state of ``slots`` entries, each for the
+    words of a hash, of which a micro-batch touches those of its own words only: at
+    most an entry per word of the batch, and ``buckets * slots`` calls.  Take more
+    buckets for more tasks, more slots for small micro-batches of large vocabularies.
     Output: ``keep``, ``word``, the count.
     """
     rocksdb(words.sparkSession)
@@ -160,4 +173,4 @@ def running_count_stream(words: DataFrame, order: Sequence[str], keep: Sequence[
     schema = ", ".join([*[f"{c} {kind[c]}" for c in keep], f"{word} {kind[word]}", f"{out} long"])
     bucketed = words.withColumn("_tp_bucket", F.pmod(F.xxhash64(word), F.lit(buckets)))
     return bucketed.groupBy("_tp_bucket").transformWithStateInPandas(
-        RunningCount(word, order, keep, out), schema, "Append", "None")
+        RunningCount(word, order, keep, out, slots), schema, "Append", "None")
