@@ -1,6 +1,7 @@
 """Pieces of the operators on small inputs worked by hand or by brute force."""
 
 import random
+from pathlib import Path
 
 import brute
 import numpy as np
@@ -9,10 +10,11 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tidepool.llm import archive, graph, lines, ordinal, packing, suffix, toxicity
+from tidepool.llm import archive, common, graph, lines, ordinal, packing, suffix, toxicity
 from tidepool.llm.common import shingle_set, word_hashes
 from tidepool.llm.graph import components
 from tidepool.llm.merkle import edits, likeness, with_fingerprints
+from tidepool.session import checkpoint_dir
 
 
 def _lpf(text, floor):
@@ -165,3 +167,30 @@ def test_merkle_locates_edits(spark):
         "empty": likeness(F.col("fc"), F.col("fd"))}).first()
     assert len(r["at"]) == 1 and r["at"][0] in r["fb"] and r["fa"] != r["fb"]
     assert 0.5 < r["near"] < 1 and r["same"] == 1.0 and r["none"] == 0.0 and r["empty"] == 1.0
+
+
+def _written(spark, name):
+    """Data files of each table ``name`` that was written to the shared folder."""
+    return [len(list(p.glob("part-*"))) for p in Path(checkpoint_dir(spark).removeprefix("file:")).glob(f"{name}-*")]
+
+
+def test_small_tables_are_few_files_whatever_the_number_of_partitions(spark):
+    was = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        before = sorted(_written(spark, "large-star"))
+        pairs = spark.createDataFrame([(i, i + 1) for i in range(300) if i % 10 != 9], "a long, b long")
+        got = {r["node"]: r["root"] for r in components(pairs).collect()}
+        assert got == {i: i // 10 * 10 for i in range(300) if i % 10}
+        after = _written(spark, "large-star")
+        assert len(after) > len(before) and max(after) <= common.LEAST_TASKS
+    finally:
+        for k, v in was.items():
+            spark.conf.set(k, v)
+
+
+def test_counted_cut_of_some_and_no_rows(spark):
+    for n in (0, 5):
+        df, seen = common.counted_cut(spark.range(n).filter("id >= 0"), "counted", 10)
+        assert seen == n and df.count() == n

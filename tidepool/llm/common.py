@@ -8,7 +8,7 @@ import uuid
 from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidepool.session import checkpoint_dir
@@ -19,16 +19,37 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return os.path.join(checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex}")
 
 
-def cut(df: DataFrame, name: str) -> DataFrame:
+TASK_ROWS = 1 << 16  # rows of two or three longs that are worth a task and a file of their own
+LEAST_TASKS = 8
+
+
+def tasks(rows: int) -> int:
+    """Tasks worth starting for ``rows`` rows of two or three longs."""
+    return max(LEAST_TASKS, -(-rows // TASK_ROWS))
+
+
+def cut(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
     """Write ``df`` as a parquet table in the shared folder and read it back.
 
     The table replaces the lineage: every executor and the driver see the same
-    files, so a lost executor costs only the tasks it was running.
+    files, so a lost executor costs only the tasks it was running.  With ``rows``, at
+    most so many rows of two or three longs, no more tasks write than those need:
+    a small table is then not hundreds of files.
     """
     spark = df.sparkSession
     path = shared_path(spark, name)
+    schema = df.schema
+    if rows is not None:
+        df = df.coalesce(tasks(rows))
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(schema).parquet(path)
+
+
+def counted_cut(df: DataFrame, name: str, rows: int | None = None) -> tuple[DataFrame, int]:
+    """``cut`` and the number of rows written, which is taken while they are written."""
+    seen = Observation()
+    out = cut(df.observe(seen, F.count(F.lit(1)).alias("n")), name, rows)
+    return out, seen.get["n"]
 
 
 LISTED = 2_000_000  # rows of a list of ids that may be broadcast (16 bytes each)

@@ -31,41 +31,43 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidepool.llm.common import cut
+from tidepool.llm.common import counted_cut, cut, release, tasks
 
 SHORT = 64
 BLOCK = 256
 COLUMNS = 8192      # elements whose incidence is held at a time
+PAIR_WORK = 64      # rows whose writing is the work of comparing a pair
 ToSet = Callable[[bytes], np.ndarray]
 
 
-def _is_stars(e: DataFrame) -> bool:
-    """Whether every node has one edge to a root that has none (one pass over the edges)."""
+def _is_stars(e: DataFrame, n: int) -> bool:
+    """Whether every node has one edge to a root that has none (one pass over the ``n`` edges)."""
     ends = e.select("u", "v", F.explode(F.array(F.lit(0), F.lit(1))).alias("end"))
     ends = ends.select(F.when(F.col("end") == 0, F.col("u")).otherwise(F.col("v")).alias("x"), "end")
     return (ends.groupBy("x").agg(F.count(F.when(F.col("end") == 0, 1)).alias("up"), F.max("end").alias("root"))
-            .filter("up > 1 or (up = 1 and root = 1)").isEmpty())
+            .filter("up > 1 or (up = 1 and root = 1)").coalesce(tasks(2 * n)).isEmpty())
 
 
-def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+def components(links: DataFrame, a: str = "a", b: str = "b", rows: int | None = None) -> DataFrame:
     """``node, root`` for every linked node that is not the smallest of its component.
 
-    Null ends and self-links are ignored; repeated links count once.
+    Null ends and self-links are ignored; repeated links count once.  ``links`` has
+    at most ``rows`` rows, if that is given.
     """
     e = (links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"),
                       F.col(a).isNull().alias("na"), F.col(b).isNull().alias("nb"))
          .filter("u > v and not na and not nb").select("u", "v").distinct())
-    e = cut(e, "edges")
-    while not _is_stars(e):
+    e, n = counted_cut(e, "edges", rows)
+    while n and not _is_stars(e, n):
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = cut(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "large-star")
+        low = cut(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "large-star", 2 * n)
         e = (both.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
              .distinct())
-        e = cut(e, "edges")
-        low = cut(e.groupBy("u").agg(F.min("v").alias("m")), "small-star")
+        e, n = counted_cut(e, "edges", n)
+        low = cut(e.groupBy("u").agg(F.min("v").alias("m")), "small-star", n)
         e = (e.join(low, "u").filter("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
              .unionByName(low.select("u", F.col("m").alias("v"))).distinct())
-        e = cut(e, "edges")
+        e, n = counted_cut(e, "edges", n)
     return e.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
@@ -134,28 +136,30 @@ def connecting_links(nodes: list[int], comps: list[int], sets: list[np.ndarray],
     return out
 
 
-def _block_links(lists: DataFrame, items: DataFrame, to_set: ToSet, percent: int, alone: bool) -> DataFrame:
-    """Links between members of long lists (``token, node, comp``), compared block by block.
+def _block_links(lists: DataFrame, items: DataFrame, to_set: ToSet, percent: int, alone: bool,
+                 rows: int) -> DataFrame:
+    """Links between members of long lists (``token, node, comp``, at most ``rows``), compared block by block.
 
     A list is a group of its own (``alone``), or lists that share members are one.
     """
     if alone:
-        nodes = cut(lists.select("node", "comp", F.col("token").alias("grp")), "group-nodes")
+        nodes = cut(lists.select("node", "comp", F.col("token").alias("grp")), "group-nodes", rows)
     else:
-        first = cut(lists.groupBy("token").agg(F.min("node").alias("b")), "list-firsts")
-        group = components(lists.join(first, "token").filter("node <> b").select(F.col("node").alias("a"), "b").distinct())
+        first = cut(lists.groupBy("token").agg(F.min("node").alias("b")), "list-firsts", rows)
+        group = components(lists.join(first, "token").filter("node <> b").select(F.col("node").alias("a"), "b").distinct(),
+                           rows=rows)
         nodes = (lists.select("node", "comp").distinct().join(group, "node", "left")
                  .select("node", "comp", F.coalesce("root", "node").alias("grp")))
-        nodes = cut(nodes, "group-nodes")
+        nodes = cut(nodes, "group-nodes", rows)
     sizes = nodes.groupBy("grp", "comp").agg(F.count("*").alias("n"))
     small = sizes.filter(F.col("n") <= BLOCK).groupBy("grp").agg(F.sum("n").alias("rest"))
-    sizes = cut(sizes.join(small, "grp", "left").withColumnRenamed("grp", "g").withColumnRenamed("comp", "c"), "group-sizes")
+    sizes = cut(sizes.join(small, "grp", "left").withColumnRenamed("grp", "g").withColumnRenamed("comp", "c"), "group-sizes", rows)
     large = F.col("n") > BLOCK
     parts = F.ceil(F.when(large, F.col("n")).otherwise(F.col("rest")) / BLOCK)
     part = F.pmod(F.xxhash64(F.when(large, F.col("node")).otherwise(F.col("comp"))), parts)
     placed = (nodes.join(sizes, (F.col("grp") == F.col("g")) & (F.col("comp") == F.col("c")))
               .select("grp", "node", "comp", F.when(large, F.col("comp")).alias("pure"), part.alias("part")))
-    placed = cut(placed.withColumn("blk", F.xxhash64("grp", "pure", "part")), "blocks")
+    placed = cut(placed.withColumn("blk", F.xxhash64("grp", "pure", "part")), "blocks", 2 * rows)
     blocks = placed.select("grp", "pure", "blk").distinct()
     x, y = blocks.toDF("grp", "pure1", "blk1"), blocks.toDF("grp", "pure2", "blk2")
     pairs = (x.join(y, "grp").filter((F.col("blk1") <= F.col("blk2"))
@@ -175,7 +179,8 @@ def _block_links(lists: DataFrame, items: DataFrame, to_set: ToSet, percent: int
 
 def linked_components(postings: DataFrame, items: DataFrame | Callable[[DataFrame], DataFrame], to_set: ToSet, percent: int,
                       likely: Callable[[DataFrame], DataFrame] = lambda pairs: pairs,
-                      alone: bool = False) -> tuple[DataFrame, DataFrame]:
+                      alone: bool = False, rows: int | None = None,
+                      met: bool = False) -> tuple[DataFrame, DataFrame]:
     """Components (``node, root``) and confirmed links (``a, b``) of posting lists.
 
     ``postings`` has ``token, node, weight`` (the member of a list with the
@@ -184,43 +189,55 @@ def linked_components(postings: DataFrame, items: DataFrame | Callable[[DataFram
     candidate pairs (``a < b``) that cannot reach ``percent``.  ``alone`` compares
     each long list for itself: better where lists share members by chance, as joined
     lists are compared across, and worse where many lists have the same members.
+    ``rows``, if known, is the number of postings at most.  ``met``: the postings are
+    written, ``rows`` of them, and no list has a single member.
     """
     def items_of(rows: DataFrame, *cols: str) -> DataFrame:
         if isinstance(items, DataFrame):
             return items
         return items(rows.select(F.explode(F.array(*cols)).alias("node")).distinct())
 
-    def confirm(pairs: DataFrame) -> DataFrame:
-        pairs = cut(likely(pairs), "pairs")
+    def confirm(pairs: DataFrame, rows: int | None) -> tuple[DataFrame, int]:
+        pairs, n = counted_cut(likely(pairs), "pairs", rows)
+        release(pairs.sparkSession)
         own = items_of(pairs, "a", "b")
         full = (pairs.join(own.toDF("b", "item_b"), "b").join(own.toDF("a", "item_a"), "a")
                 .select("a", "b", "item_a", "item_b"))
-        return cut(full.mapInArrow(lambda it: _pair_batches(it, to_set, percent), "a long, b long"), "links")
+        return counted_cut(full.mapInArrow(lambda it: _pair_batches(it, to_set, percent), "a long, b long"), "links",
+                           n * PAIR_WORK)
 
     def ordered(x: str, y: str) -> list:
         return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
-    def open_lists(roots: DataFrame) -> DataFrame:
+    def open_lists(roots: DataFrame, rows: int) -> tuple[DataFrame, int]:
         """Members of the lists that are not one component."""
         known = (postings.join(roots, "node", "left")
                  .select("token", "node", F.coalesce("root", "node").alias("comp")))
         left = cut(known.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("m"))
-                   .filter("lo <> hi").select("token", "m"), "open-lists")
-        return cut(known.join(left, "token"), "open-members")
+                   .filter("lo <> hi").select("token", "m"), "open-lists", rows)
+        return counted_cut(known.join(left, "token"), "open-members", 2 * rows)
 
-    postings = cut(postings.join(cut(postings.groupBy("token").agg(F.count("*").alias("m")).filter("m > 1")
-                                     .select("token"), "lists"), "token"), "postings")
+    if met:
+        n = rows
+    else:
+        postings, n = counted_cut(
+            postings.join(cut(postings.groupBy("token").agg(F.count("*").alias("m")).filter("m > 1").select("token"),
+                              "lists", rows), "token"), "postings", rows)
     # the foremost member, map-side combined: a long list is one row per task
     head = cut(postings.groupBy("token").agg(F.max(F.struct("weight", F.bitwise_not("node").alias("n"))).alias("h"))
-               .select("token", F.bitwise_not("h.n").alias("head")), "heads")
-    links = confirm(postings.join(head, "token").filter("node <> head").select(*ordered("node", "head")).distinct())
-    roots = cut(components(links), "components")
-    members = open_lists(roots)
+               .select("token", F.bitwise_not("h.n").alias("head")), "heads", n)
+    links, n_star = confirm(postings.join(head, "token").filter("node <> head").select(*ordered("node", "head")).distinct(), n)
+    roots = cut(components(links, rows=n_star), "components", n_star)
+    members, n = open_lists(roots, n)
     short = members.filter(F.col("m") <= SHORT).select("token", "node", "comp")
     pairs = (short.join(short.toDF("token", "node2", "comp2"), "token").filter("node < node2 and comp <> comp2")
              .select(*ordered("node", "node2")).distinct())
-    links = links.unionByName(confirm(pairs))
+    more, n_more = confirm(pairs, SHORT * n)
+    found_later, found = more, n_star + n_more
     long = members.filter(F.col("m") > SHORT).select("token", "node", "comp")
     if not long.isEmpty():
-        links = links.unionByName(cut(_block_links(long, items_of(long, "node"), to_set, percent, alone), "block-links"))
-    return cut(components(links), "components"), links
+        more, n_more = counted_cut(_block_links(long, items_of(long, "node"), to_set, percent, alone, n), "block-links")
+        found_later, found = found_later.unionByName(more), found + n_more
+    # what was connected by the stars stays so
+    joined = roots.toDF("a", "b").unionByName(found_later)
+    return cut(components(joined, rows=found), "components", found), links.unionByName(found_later)

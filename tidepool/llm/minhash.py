@@ -36,7 +36,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidepool.llm.common import coordinates, cut, mix, shingle_set, signature, word_hashes
+from tidepool.llm.common import coordinates, counted_cut, cut, mix, shingle_set, signature, word_hashes
 from tidepool.llm.graph import linked_components
 
 K = 48
@@ -108,22 +108,23 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     smallest reachable over links, ``n_links`` the links that were confirmed at
     the class's representative on the way (not all of its links).
     """
-    feats = cut(sketches(docs, id_col, text_col, k), "sketches")
+    feats, n = counted_cut(sketches(docs, id_col, text_col, k), "sketches")
     some = feats.filter("n_shingles > 0 and doc_id is not null")
     classes = (some.groupBy("h1", "h2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
                .groupBy("rep").agg(F.min(F.struct("h1", "h2")).alias("h")))
     reps = (some.join(classes, (F.col("doc_id") == F.col("rep")) & (F.col("h1") == F.col("h.h1"))
                       & (F.col("h2") == F.col("h.h2")))
             .dropDuplicates(["rep"]).select("rep", "sig"))
-    reps = cut(reps, "representatives")
+    reps, n_reps = counted_cut(reps, "representatives", n * k)
     tokens = reps.select("rep", F.explode("sig").alias("token"))
-    counts = cut(tokens.groupBy("token").agg(F.count("*").alias("n")).filter("n > 1"), "token-counts")
+    counts = cut(tokens.groupBy("token").agg(F.count("*").alias("n")).filter("n > 1"), "token-counts",
+                 n_reps * k // 2)
     ranked = (tokens.join(counts, "token").groupBy("rep")
               .agg(F.sort_array(F.collect_list(F.struct("n", "token"))).alias("t"), F.sum("n").alias("weight"))
               .filter(F.size("t") >= match))
-    cand = cut(ranked.select(
+    cand, n_cand = counted_cut(ranked.select(
         "rep", "weight", F.col("t.token").alias("toks"),
-        F.slice("t.token", F.lit(1), F.size("t") - (match - 1)).alias("prefix")), "candidates")
+        F.slice("t.token", F.lit(1), F.size("t") - (match - 1)).alias("prefix")), "candidates", n_reps * k)
     texts = cut(packed_texts(docs, id_col, text_col).join(cand.select("rep"), F.col("doc_id") == F.col("rep"))
                 .dropDuplicates(["rep"]).select("rep", "z"), "candidate-texts")
 
@@ -135,13 +136,14 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
 
     roots, links = linked_components(
         cand.select(F.explode("prefix").alias("token"), F.col("rep").alias("node"), "weight"),
-        texts.select(F.col("rep").alias("node"), F.col("z").alias("item")), text_set, percent, colliding)
+        texts.select(F.col("rep").alias("node"), F.col("z").alias("item")), text_set, percent, colliding,
+        rows=n_cand * (k - match + 1))
     ends = links.select(F.explode(F.array("a", "b")).alias("r")).groupBy("r").agg(F.count("*").alias("n_links"))
     label = cut(classes.select("rep", "h.h1", "h.h2").join(roots, F.col("rep") == F.col("node"), "left")
                 .join(ends, F.col("rep") == F.col("r"), "left")
                 .select(F.col("h1").alias("k1"), F.col("h2").alias("k2"), F.col("rep").alias("class_id"),
                         F.coalesce("root", "rep").alias("root"),
-                        F.coalesce("n_links", F.lit(0)).alias("n_links")), "labels")
+                        F.coalesce("n_links", F.lit(0)).alias("n_links")), "labels", 2 * n)
     out = feats.drop("sig").join(label, (F.col("h1") == F.col("k1")) & (F.col("h2") == F.col("k2"))
                                  & F.col("doc_id").isNotNull(), "left")
     comp = F.coalesce("root", "doc_id")
