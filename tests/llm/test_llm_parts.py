@@ -194,3 +194,39 @@ def test_counted_cut_of_some_and_no_rows(spark):
     for n in (0, 5):
         df, seen = common.counted_cut(spark.range(n).filter("id >= 0"), "counted", 10)
         assert seen == n and df.count() == n
+
+
+def test_nibbles_agree_wherever_tokens_do(spark):
+    rng = np.random.default_rng(1)
+    rows, least = [], []
+    for k in range(40):
+        a = rng.integers(0, 1 << 16, (lines.BANDS, lines.ROWS), dtype=np.uint64)
+        b = a.copy()
+        new = rng.random(a.shape) < k / 40
+        b[new] = rng.integers(0, 1 << 16, int(new.sum()), dtype=np.uint64)
+        least.append(int(((a & np.uint64(15)) == (b & np.uint64(15))).sum()))
+        rows.append((k, *[(x << np.array([0, 16, 32, 48], dtype=np.uint64)).sum(axis=1, dtype=np.uint64).view(np.int64).tolist()
+                          for x in (a, b)]))
+    df = spark.createDataFrame(rows, "k int, a array<long>, b array<long>")
+    df = df.select("k", lines.nibbles("a").alias("a"), lines.nibbles("b").alias("b"))
+    assert [r["n"] for r in df.select("k", lines._agreeing("a", "b").alias("n")).orderBy("k").collect()] == least
+
+
+def test_bands_of_lines_are_exchanged_in_steps(spark, monkeypatch):
+    posted = []
+    real = lines.counted_cut
+
+    def seen(df, name, rows=None):
+        out, n = real(df, name, rows)
+        if name == "postings":
+            posted.append(out)
+        return out, n
+
+    monkeypatch.setattr(lines, "counted_cut", seen)
+    text = "one line that stands in both of the texts, nearly{}\nanother {}"
+    docs = spark.createDataFrame([(1, text.format("", "x" * 30)), (2, text.format(".", "y" * 30))], "doc_id long, text string")
+    got = {r["doc_id"]: r["drop"] for r in lines.repeated_lines(docs).collect()}
+    assert got == {2: [0]}
+    assert len(posted) == lines.BANDS // lines.STEP > 1
+    tokens = [{r["token"] for r in p.collect()} for p in posted]
+    assert sum(map(len, tokens)) == len(set().union(*tokens)) and any(tokens)
