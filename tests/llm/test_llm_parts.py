@@ -57,6 +57,18 @@ def test_words_and_shingles_match_plain_python():
         assert len(shingle_set(h)) == len(brute.shingles(t))
 
 
+def test_sets_and_signatures_of_many_texts_are_those_of_each():
+    rng = random.Random(5)
+    texts = ["a", "a b c d", "a b c d e", "x " * 50, "a b c d e " * 7, "Ä ö ü", " ".join(rng.choices("abc", k=900))]
+    words = list(word_hashes([t.encode() for t in texts]))
+    sets = [shingle_set(w) for w in words]
+    flat, starts = common.shingle_sets(words)
+    assert [x.tolist() for x in np.split(flat, starts[1:])] == [s.tolist() for s in sets]
+    masks, muls = common.coordinates(20, 48)
+    want = [((s[:, None] ^ masks) * muls).min(axis=0).tolist() for s in sets]
+    assert common.signatures(flat, starts, masks, muls).tolist() == want
+
+
 def test_components_and_links(spark):
     rng = random.Random(3)
     pairs = [(i, i + 1) for i in range(60)] + [(100, 90 + i) for i in range(10)] + \
