@@ -242,3 +242,19 @@ def test_bands_of_lines_are_exchanged_in_steps(spark, monkeypatch):
     assert len(posted) == lines.BANDS // lines.STEP > 1
     tokens = [{r["token"] for r in p.collect()} for p in posted]
     assert sum(map(len, tokens)) == len(set().union(*tokens)) and any(tokens)
+
+
+def test_lists_are_taken_apart_where_no_pair_may_be_similar(monkeypatch):
+    rng = np.random.default_rng(2)
+    kinds = rng.integers(0, 1 << 63, (3, 2))
+    # one list: two kinds of three nodes, of 100 shingles; a kind of its own; one that is near by its sketch, but much larger
+    nodes = [(i << lines.SIZE_BITS) + 100 for i in range(7)] + [(7 << lines.SIZE_BITS) + 200]
+    kind = [0, 0, 0, 1, 1, 1, 2, 0]
+    rows = np.array([[5, n, *kinds[k]] for n, k in zip(nodes, kind)] * 2 + [[6, nodes[0], *kinds[0]]], dtype=np.int64)
+    token, node = lines.near_lists(rows, 80)
+    lists = sorted(sorted(node[token == t].tolist()) for t in set(token.tolist()))
+    assert lists == [nodes[:3], nodes[3:6]]
+    monkeypatch.setattr(lines, "LIST", 3)
+    token, node = lines.near_lists(rows, 80)
+    assert len(set(token.tolist())) == 1 and sorted(node.tolist()) == nodes
+    assert [len(x) for x in lines.near_lists(rows[-1:], 80)] == [0, 0]
