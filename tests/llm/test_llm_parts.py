@@ -321,3 +321,66 @@ def test_footrule_of_an_inverted_file(near, n, seed):
 def test_nearest_share(same, take):
     want = sorted(sorted(range(len(same)), key=lambda i: (-same[i], i))[:take])
     assert permutation.nearest_share(np.array(same, dtype=np.uint16), take).tolist() == want
+
+
+def test_no_pair_is_tested_twice(spark, monkeypatch):
+    """What the stars have tested is not tested again: lists of two, and the foremost member of short lists."""
+    monkeypatch.setattr(graph, "SHORT", 8)
+    sets = {n: {*range(100 * n, 100 * n + 40)} for n in range(7)}       # no two are alike, but
+    sets[5] = sets[6] = {*range(1000, 1040)}
+    to_set = lambda data: np.frombuffer(data, dtype=np.uint64)
+    items = spark.createDataFrame([(n, bytearray(np.array(sorted(x), dtype=np.uint64).tobytes())) for n, x in sets.items()],
+                                  "node long, item binary")
+    lists = {1: [0, 1], 2: [0, 1, 2], 3: [3, 4], 4: [2, 4, 5, 6]}
+    asked = []
+
+    def likely(pairs):
+        asked.append(sorted((r["a"], r["b"]) for r in pairs.collect()))
+        return pairs
+
+    posts = spark.createDataFrame([(t, n, 1) for t, nodes in lists.items() for n in nodes], "token long, node long, weight long")
+    roots, links = graph.linked_components(posts, items, to_set, 75, likely)
+    assert [(r["node"], r["root"]) for r in roots.collect()] == [(6, 5)]
+    assert [(r["a"], r["b"]) for r in links.collect()] == [(5, 6)]
+    assert asked == [[(0, 1), (0, 2), (2, 4), (2, 5), (2, 6), (3, 4)], [(1, 2), (4, 5), (4, 6), (5, 6)]]
+    met = spark.createDataFrame([(t, n, min(x), len(x)) for t, x in lists.items() for n in x], "token long, node long, head long, m long")
+    asked.clear()
+    roots, _ = graph.linked_components(met, items, to_set, 75, likely, rows=met.count(), met=True)
+    assert [(r["node"], r["root"]) for r in roots.collect()] == [(6, 5)]
+    assert asked == [[(0, 1), (0, 2), (2, 4), (2, 5), (2, 6), (3, 4)], [(1, 2), (4, 5), (4, 6), (5, 6)]]
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.text("ab \U0001f600\uffff", max_size=30), max_size=8), st.data())
+def test_sets_of_many_forms(forms, data):
+    sets = lines.form_sets(forms)
+    assert [x.tolist() for x in sets] == [lines.form_set(f).tolist() for f in forms]
+    for f, x in zip(forms, sets):
+        grams = {f[i:i + lines.GRAM] for i in range(len(f) - lines.GRAM + 1)}
+        plain = [sum(int(common.mix(np.array([ord(c) + 1], dtype=np.uint64))[0]) * int(w) for c, w in zip(g, lines._GRAM_LANES))
+                 for g in grams]
+        assert x.tolist() == sorted(common.mix(np.array([v % (1 << 64) for v in plain], dtype=np.uint64)).tolist())
+    if forms:
+        at = st.lists(st.integers(0, len(forms) - 1), min_size=1, max_size=9)
+        a, b = np.array(data.draw(at)), np.array(data.draw(at))
+        a, b = a[:len(b)], b[:len(a)]
+        assert graph.common_sizes(sets, a, b).tolist() == [len({*sets[i].tolist()} & {*sets[j].tolist()}) for i, j in zip(a, b)]
+
+
+def test_nibbles_of_many_forms(spark):
+    tokens = np.random.default_rng(2).integers(-1 << 63, 1 << 63, (9, lines.BANDS), dtype=np.int64)
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(tokens.tolist())], "k int, t array<long>")
+    want = [list(r["n"]) for r in df.select("k", lines.nibbles("t").alias("n")).orderBy("k").collect()]
+    assert lines.nibble_words(tokens).tolist() == want
+
+
+def test_forms_met_again_are_posted_once():
+    import pyarrow as pa
+
+    text = ["one line of text\nOne  line of text\nabc\nanother line here", "another line here\nabc", "x" * 300_000 + "\none line of text"]
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2, 3]), pa.array([4, 5, 6]), pa.array(text)], names=["doc_id", "h", "text"])
+    rows = [r for b in lines._line_batches(iter([batch]), 6) for r in b.to_pylist()]
+    forms = [lines.form(x) for t in text for x in t.split("\n")]
+    assert [r["node"] for r in rows] == [lines.node_of(f, len(lines.form_set(f))) for f in forms]
+    assert [r["b0"] is not None for r in rows] == [True, False, False, True, False, False, True, False]
+    assert all((r["b0"] is None) == (r["b3"] is None) and len(r["b3"] or b"x" * 40) == 8 * lines.STEP for r in rows)
